@@ -1,9 +1,10 @@
 """Queries of the subpackage: ``opN_<name>`` over whole tables, and SQL where it can express them."""
 
-from inkmill.llm import lines, near, packing, quality
+from inkmill.llm import decontamination, lines, near, packing, quality
 
 QUERIES = {
     "op1_ngram_jaccard": near.op1,
+    "op2_decontamination": decontamination.op2,
     "op5_line_dedup": lines.op5,
     "op7_quality_fm": quality.op7,
     "op9_packing": packing.op9,
@@ -11,5 +12,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_ngram_jaccard": near.OP1_SQL,
+    "op2_decontamination": decontamination.OP2_SQL,
     "op5_line_dedup": lines.OP5_SQL,
 }
