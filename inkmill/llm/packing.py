@@ -15,7 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,26 +29,27 @@ CAPACITY = 4096
 GROUP = 32
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks kept by a worker; the cache starts anew beyond it.
-CACHE_CHUNKS = 400_000
-CACHED_CHARS = 64
+#: Words kept by a worker; the older half goes beyond it.
+CACHE_WORDS = 400_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
-#: White space of Python's str.split() that the tokenizer's \s doesn't have.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_SPACES = re.compile("[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Texts outside of printable Latin-1, or with a special token, are encoded whole.
+_OTHER = re.compile("[^\t\n\r -~\xa0-\xff]|<[|](?:startof|endof)text[|]>")
+#: The tokenizer's own pattern for words, for lower-case Latin-1.
+_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 
 
-class ChunkTokenizer:
-    """Ids of whole texts as little-endian bytes, by a cache of white-space separated chunks.
+class CachedTokenizer:
+    """Ids of whole texts as little-endian bytes, by a cache of words.
 
-    The tokenizer's pre-tokenization never crosses white space and its
-    normalization is local to a chunk, so a text's ids are its chunks' ids
-    in order (tested against whole texts).
+    The tokenizer composes, lower-cases and splits a text into words, and merges
+    within a word only.  In Latin-1 the first is void and the others are Python's
+    ``lower`` and one pattern, so a text's ids are its words' ids in order (tested
+    against whole texts).  Any other text is encoded by the tokenizer as it is.
     """
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, most: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         if path is None:
@@ -56,23 +57,26 @@ class ChunkTokenizer:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
+        self.most = most
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, owner = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            ends = np.searchsorted(owner, np.arange(len(part) + 1))
+            self.known.update((w, ids[i:j].tobytes()) for w, i, j in zip(part, ends, ends[1:], strict=False))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [_SPACES.split(t) if _SEPARATORS.search(t) else t.split() for t in (x or "" for x in texts)]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        new = sorted(set(chain.from_iterable(split)).difference(self.known))
-        found = dict(zip(new, self._ids(new), strict=True))
-        self.known.update((c, i) for c, i in found.items() if len(c) <= CACHED_CHARS)
-        if all(len(c) <= CACHED_CHARS for c in new):
-            found = self.known
-        else:
-            found = {**found, **{c: self.known[c] for c in set(chain.from_iterable(split)) if c in self.known}}
-        return [b"".join(map(found.__getitem__, chunks)) for chunks in split]
+        texts = [t or "" for t in texts]
+        words = [None if _OTHER.search(t) else _WORD.findall(t.lower()) for t in texts]
+        if len(self.known) > self.most:
+            for w in list(islice(self.known, self.most // 2)):
+                del self.known[w]
+        self._learn(sorted(set(chain.from_iterable(w for w in words if w)).difference(self.known)))
+        get = self.known.__getitem__
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -238,7 +242,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = ChunkTokenizer(tokenizer).encode
+        encode = CachedTokenizer(tokenizer).encode
         packer = _Packer(TaskContext.get().partitionId(), capacity, group)
         end = np.array([end_id], "<u4").tobytes()
         rows: list[tuple] = []
