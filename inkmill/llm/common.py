@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +50,7 @@ def remainder(doc_id: str | Column, n: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(n)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 1000) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, rows: int = 1000) -> DataFrame:
     """``mapInArrow`` with ``fn`` over slices of at most ``rows`` rows of each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,3 +61,8 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+def with_field(schema: T.StructType, name: str, kind: str) -> T.StructType:
+    """A copy of the schema with one more field."""
+    return T.StructType([*schema.fields, *T.StructType().add(name, kind).fields])

@@ -19,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inkmill.llm import common
 from inkmill.llm.wordhash import blocks, code_points, distinct_in_groups, words_of
@@ -201,7 +200,7 @@ def score(docs: DataFrame, model: FactorisationMachine, column: str = "score") -
     keep = [c for c in docs.columns if c != column]
     base = docs.select(*keep)
     stated = "n_chars" in keep
-    schema = T.StructType([*base.schema.fields, T.StructField(column, T.DoubleType())])
+    schema = common.with_field(base.schema, column, "double")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts = b.column(keep.index("text")).to_pylist()
