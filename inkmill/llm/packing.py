@@ -30,14 +30,15 @@ GROUP = 32
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words kept by a worker; the older half goes beyond it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 #: Texts outside of printable Latin-1, or with a special token, are encoded whole.
-_OTHER = re.compile("[^\t\n\r -~\xa0-\xff]|<[|](?:startof|endof)text[|]>")
-#: The tokenizer's own pattern for words, for lower-case Latin-1.
-_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+_OTHER = re.compile("[^\t\n\r -~\xa0-\xff]")
+_SPECIAL = "<|"
+#: The words of the tokenizer's own pattern, for lower-case Latin-1.
+_WORD = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|'(?:[stmd]|re|ve|ll)|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 
 
 class CachedTokenizer:
@@ -70,7 +71,7 @@ class CachedTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        words = [None if _OTHER.search(t) else _WORD.findall(t.lower()) for t in texts]
+        words = [None if _SPECIAL in t or _OTHER.search(t) else _WORD.findall(t.lower()) for t in texts]
         if len(self.known) > self.most:
             for w in list(islice(self.known, self.most // 2)):
                 del self.known[w]
