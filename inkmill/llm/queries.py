@@ -1,10 +1,11 @@
 """Queries of the subpackage: ``opN_<name>`` over whole tables, and SQL where it can express them."""
 
-from inkmill.llm import decontamination, html, language, lines, near, packing, quality
+from inkmill.llm import decontamination, fingerprints, html, language, lines, near, packing, quality
 
 QUERIES = {
     "op1_ngram_jaccard": near.op1,
     "op2_decontamination": decontamination.op2,
+    "op3_fingerprints": fingerprints.op3,
     "op4_language_id": language.op4,
     "op5_line_dedup": lines.op5,
     "op7_quality_fm": quality.op7,
