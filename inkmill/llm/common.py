@@ -65,4 +65,32 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
 
 def with_field(schema: T.StructType, name: str, kind: str) -> T.StructType:
     """A copy of the schema with one more field."""
-    return T.StructType([*schema.fields, *T.StructType().add(name, kind).fields])
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields])
+
+
+#: Hash slots of ``split``: what it broadcasts is at most so many longs, whatever the size of the keys.
+SLOTS = 1 << 20
+
+
+def split(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be among ``keys`` (a single column), and rows whose key is not.
+
+    A broadcast of the keys' hash slots, bounded by SLOTS, tells them apart before any shuffle, so
+    that only the first need to be shuffled to meet their keys.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c.cast(keys.schema[0].dataType)), F.lit(SLOTS))
+    slots = F.broadcast(keys.select(slot(F.col(keys.columns[0])).alias("_slot")).distinct())
+    slotted = df.withColumn("_slot", slot(key))
+    return slotted.join(slots, "_slot", "left_semi").drop("_slot"), slotted.join(slots, "_slot", "left_anti").drop("_slot")
+
+
+def semi(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys``."""
+    maybe, _ = split(df, key, keys)
+    return maybe.join(keys.withColumnRenamed(keys.columns[0], "_among"), key == F.col("_among"), "left_semi")
+
+
+def anti(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``keys``, or null."""
+    maybe, others = split(df, key, keys)
+    return others.union(maybe.join(keys.withColumnRenamed(keys.columns[0], "_among"), key == F.col("_among"), "left_anti"))

@@ -69,7 +69,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CON
     probes = worded.select("key", F.explode(shingle_hashes("words", k)).alias("h"))
     candidates = common.cut(probes.join(_small(sketch), "h").select("key", "item").distinct(), "candidates")
 
-    held = texts.join(candidates.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    keys = common.cut(candidates.select("key").distinct(), "candidate-keys")
+    held = common.semi(texts, F.col("key"), keys).groupBy("key").agg(F.first("text").alias("text"))
     in_texts = held.select("key", words_of(F.col("text")).alias("words")).select("key", F.explode(F.array_distinct(shingle_texts("words", k))).alias("s"))
     of_items = common.cut(items.select("item", F.array_distinct(shingle_texts("words", k)).alias("all")).select("item", F.size("all").alias("n_shingles"), F.explode("all").alias("s")), "item-shingles")
     shared = in_texts.join(_small(of_items), "s").groupBy("key", "item").agg(F.count("*").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
@@ -93,8 +94,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTA
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT, k: int = WORDS) -> DataFrame:
     """Rows of ``docs`` whose text contains no item, with all their columns."""
-    keys = common.cut(contaminated(docs, benchmark, containment, k).select(F.col("key").alias("_key")).distinct(), "leaks")
-    return docs.join(keys, F.md5(F.coalesce("text", F.lit("")).cast("binary")) == F.col("_key"), "left_anti")
+    keys = common.cut(contaminated(docs, benchmark, containment, k).select("key").distinct(), "leaks")
+    return common.anti(docs, F.md5(F.coalesce("text", F.lit("")).cast("binary")), keys)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
