@@ -201,7 +201,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     weighed = candidates.join(reps.filter("n > 0").select("node", "copies", "n"), "node")
     parts = weighed.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / block_shingles, F.count("*") / block_texts)).cast("int").alias("blocks"))
     dealt = weighed.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    sets = shingle_sets(own.withColumnRenamed("doc_id", "node").join(candidates.select("node"), "node", "left_semi"), words)
+    sets = shingle_sets(common.semi(own.withColumnRenamed("doc_id", "node"), F.col("node"), candidates.select("node")), words)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = (
         dealt.join(sets, "node")
@@ -224,12 +224,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     A doc_id that is there more than once stays once.
     """
     classes = jaccard_classes(docs, **options)
-    kept = classes.filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = common.cut(kept, "kept")
-    one = docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
+    classes = common.cut(classes, "classes")
+    one = common.anti(docs, F.col("doc_id").cast("long"), classes.filter("doc_id <> class_id").select("doc_id").distinct())
     if docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").limit(1).count():
-        one = one.dropDuplicates(["doc_id"])
-    return one.union(docs.filter("doc_id is null"))
+        one = one.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(one.filter("doc_id is null"))
+    return one
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
