@@ -57,9 +57,11 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     positions.  A text that loses all its lines becomes empty; no row goes.
     Columns named n_lines or n_removed are replaced.  An empty table gives none.
     """
-    found = repeated_lines(docs, width).withColumnRenamed("doc_id", "_of").withColumnRenamed("drop", "_drop")
+    found = common.cut(repeated_lines(docs, width).withColumnRenamed("doc_id", "_of").withColumnRenamed("drop", "_drop"), "repeated-lines")
     own = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
-    joined = own.join(found, own["doc_id"].cast("long").eqNullSafe(found["_of"]), "left")
+    maybe, others = common.split(own, F.col("doc_id").cast("long"), found.select("_of"))
+    joined = maybe.join(found, maybe["doc_id"].cast("long").eqNullSafe(found["_of"]), "left").drop("_of")
+    joined = joined.union(others.withColumn("_drop", F.lit(None).cast("array<int>")))
     joined = joined.withColumn("_lines", F.split("text", "\n"))
     joined = joined.withColumn("_drop", F.filter("_drop", lambda i: i < F.size("_lines")))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
