@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,11 +54,16 @@ def fold_radicals(c: Column) -> Column:
     return F.translate(c, *_foldings())
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: within lambdas a plain expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def single_repeats(c: Column) -> Column:
     """Runs of a Han character to one, for characters that follow themselves three times in the text."""
     again = F.regexp_extract_all(c, F.lit(rf"([{HAN}])(?=\1)"), 1)
-    often = F.filter(F.array_distinct(again), lambda x: F.size(F.filter(again, lambda y: y == x)) >= 3)
-    return F.when(F.size(often) > 0, F.regexp_replace(c, F.concat(F.lit("(["), F.array_join(often, ""), F.lit(r"])\1+")), F.lit("$1"))).otherwise(c)
+    often = bound(again, lambda a: F.array_join(F.filter(F.array_distinct(a), lambda x: F.size(F.filter(a, lambda y: y == x)) >= 3), ""))
+    return F.when(often != "", F.regexp_replace(c, F.concat(F.lit("(["), often, F.lit(r"])\1+")), F.lit("$1"))).otherwise(c)
 
 
 def repair(c: Column) -> Column:
@@ -78,18 +84,27 @@ def keywords(c: Column, top: int = 6, least: int = 4) -> Column:
     within a row: sorting the pairs with their places, and the starts of equal runs, gives counts and first
     places, so nothing is shuffled however many pairs a corpus has.
     """
+    none = F.array().cast("array<string>")
     placed = F.array_sort(F.transform(pairs(c), lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    # A run of equal pairs of n has its n-th last neighbour unequal: starts and the next start.
-    starts = F.filter(F.sequence(F.lit(0), F.size(placed)), lambda i: (i == F.size(placed)) | (i == 0) | (F.get(placed, i)["w"] != F.get(placed, i - 1)["w"]))
-    counted = F.transform(
-        F.sequence(F.lit(0), F.size(starts) - 2),
-        lambda j: F.struct((F.get(starts, j) - F.get(starts, j + 1)).alias("minus_n"), F.get(placed, F.get(starts, j))["i"].alias("first"), F.get(placed, F.get(starts, j))["w"].alias("w")),
-    )
-    best = F.filter(F.slice(F.array_sort(counted), 1, 4 * top), lambda x: x["minus_n"] <= -least)
+
+    def runs(p: Column) -> Column:
+        """Where a pair differs from the one before, and the end."""
+        return F.filter(F.sequence(F.lit(0), F.size(p)), lambda i: (i == F.size(p)) | (i == 0) | (F.get(p, i)["w"] != F.get(p, i - 1)["w"]))
+
+    def counted(p: Column, starts: Column) -> Column:
+        def run(j: Column) -> Column:
+            first = F.get(p, F.get(starts, j))
+            return F.struct((F.get(starts, j) - F.get(starts, j + 1)).alias("minus_n"), first["i"].alias("first"), first["w"].alias("w"))
+
+        return F.transform(F.sequence(F.lit(0), F.size(starts) - 2), run)
 
     def taken(acc: Column, x: Column) -> Column:
         clash = F.exists(acc, lambda p: F.contains(p, F.substring(x["w"], 1, 1)) | F.contains(p, F.substring(x["w"], 2, 1)))
         return F.when((F.size(acc) < top) & ~clash, F.array_append(acc, x["w"])).otherwise(acc)
 
-    none = F.array().cast("array<string>")
-    return F.when(F.size(placed) > 0, F.aggregate(best, none, taken)).otherwise(none)
+    def chosen(p: Column) -> Column:
+        ranked = F.array_sort(bound(runs(p), lambda starts: counted(p, starts)))
+        best = F.filter(F.slice(ranked, 1, 4 * top), lambda x: x["minus_n"] <= -least)
+        return F.when(F.size(p) > 0, F.aggregate(best, none, taken)).otherwise(none)
+
+    return F.coalesce(bound(placed, chosen), none)

@@ -115,8 +115,9 @@ def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.plan(listing(spark, sf_dir), prior(spark, sf_dir), incremental.digests(archive(spark, sf_dir)))
 
 
-def fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fresh(spark: SparkSession, sf_dir: str, han: bool = False) -> DataFrame:
     """Manifest of a first run over all files, every text in its place in ``fresh_archive``."""
+    digest = text.text_sha256(han_text(F.col("text"))) if han else F.col("source_sha256")
     f = incremental.with_books(files(spark, sf_dir))
     ext, good = F.col("ext"), F.col("ext").isin(*incremental.EXTRACTABLE)
     values = {
@@ -124,7 +125,7 @@ def fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quality": F.when(good, rules.judge_by_ext(ext, F.col("chars"), F.col("units"))).when(ext == ".ppt", "needs_conversion").when(F.col("duplicate_of").isNotNull(), "skip_duplicate").otherwise("unsupported"),
         "unit": F.when(good, F.element_at(F.create_map(*(F.lit(x) for kv in UNITS.items() for x in kv)), ext)),
         "count": F.when(good, F.col("units")), "chars": F.when(good, F.col("chars")),
-        "raw": F.when(good, names.raw_path(F.col("rel"))), "raw_sha256": F.when(good & (F.col("g") % 9 != 4), F.when(F.col("g") % 9 == 5, "f" * 64).otherwise(F.col("source_sha256"))),
+        "raw": F.when(good, names.raw_path(F.col("rel"))), "raw_sha256": F.when(good & (F.col("g") % 9 != 4), F.when(F.col("g") % 9 == 5, "f" * 64).otherwise(digest)),
         "source_sha256": F.when(good | F.col("duplicate_of").isNotNull(), F.when(F.col("g") % 11 == 3, "e" * 64).otherwise(F.col("source_sha256"))),
         "duplicate_of": F.col("duplicate_of"), "ocr": F.when((ext == ".pdf") & (F.col("g") % 2 == 0), True), "converted": F.when((ext == ".pptx") & (F.col("g") % 3 == 0), True),
     }
