@@ -85,6 +85,22 @@ def test_substrings_keep_the_first_and_shift(spark):
     assert kept + text[at:] == got[2].text
 
 
+def test_substrings_find_every_passage_over_50_words(spark):
+    def prose(seed: str, n: int) -> str:
+        return " ".join(hashlib.sha256(f"{seed}-{i}".encode()).hexdigest()[: 2 + i * 7 % 8] for i in range(n))
+
+    passages = {(n, i): prose(f"p{n}-{i}", n) for n in range(51, 61) for i in range(10)}
+    rows = [(j, prose(f"a{j}", 40 + j % 9) + ", " + p + " " + prose(f"b{j}", 30)) for j, p in enumerate(passages.values())]
+    rows += [(1000 + j, prose(f"c{j}", 35 + j % 7) + " " + p + ". " + prose(f"d{j}", 45)) for j, p in enumerate(passages.values())]
+    rows += [(2000, "a b c " * 17 + prose("e", 60)), (2001, prose("f", 60) + " x " + "a b c " * 17), (None, rows[0][1] + " own words"), (None, prose("g", 60)), (None, prose("g", 60))]
+    out = substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r for r in out if r.doc_id is not None}
+    for j, p in enumerate(passages.values()):
+        assert got[j].n_removed == 0 and p not in got[1000 + j].text and got[1000 + j].n_removed == len(p)
+    assert got[2001].n_removed >= 99 and got[2000].n_removed == 0
+    assert sorted(r.text for r in out if r.doc_id is None) == sorted([" own words", "", prose("g", 60)])
+
+
 def test_html_main_text():
     body = " ".join(PROSE).capitalize() + "."
     page = f"<html><head><title>t</title><style>p{{}}</style></head><body><nav><a href=#>Home</a></nav><article><p>{body} &amp; so\n on</p><p>{body}</p></article><footer>foot</footer><script>x()</script></body></html>"
