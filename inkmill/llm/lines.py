@@ -2,7 +2,7 @@
 
 Lines are what ``\\n`` separates, compared without edge spaces.  Every window of
 three consecutive lines, but for three blank ones, is hashed to 128 bits; a window seen
-before, in the order of (doc_id, line number), is a later occurrence, and the
+before, in the order of (doc_id, row, line number), is a later occurrence, and the
 lines that later occurrences cover are removed.  Only hashes and positions are
 shuffled for the search; texts move once, to meet the lines to remove.
 """
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from inkmill.llm import common
 
 WIDTH = 3
+_FIRST = -(1 << 63)
 
 
 def window_hashes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, pos, h1, h2) of each window; pos is the number of its first line from 0."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.split(F.coalesce(F.col("text"), F.lit("")), "\n").alias("_raw"))
-    lines = lines.filter(F.size("_raw") >= width).select("doc_id", F.transform("_raw", F.trim).alias("_lines"))
+    """(_row, pos, h1, h2) of each window; pos is the number of its first line from 0."""
+    lines = docs.select("_row", F.split(F.coalesce(F.col("text"), F.lit("")), "\n").alias("_raw"))
+    lines = lines.filter(F.size("_raw") >= width).select("_row", F.transform("_raw", lambda line: F.trim(line)).alias("_lines"))
 
     def hashed(at, *seed):
         return F.xxhash64(*seed, *(F.get("_lines", at + F.lit(i)) for i in range(width)))
@@ -31,36 +32,37 @@ def window_hashes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             blank = blank & (F.get("_lines", at + F.lit(i)) == "")
         return F.when(~blank, F.struct(at.alias("pos"), hashed(at).alias("h1"), hashed(at, F.lit("second")).alias("h2")))
 
-    made = lines.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("_lines") - F.lit(width)), one)).alias("w"))
-    return made.filter("w is not null").select("doc_id", "w.pos", "w.h1", "w.h2")
+    made = lines.select("_row", F.explode(F.transform(F.sequence(F.lit(0), F.size("_lines") - F.lit(width)), one)).alias("w"))
+    return made.filter("w is not null").select("_row", "w.pos", "w.h1", "w.h2")
 
 
 def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, drop): the sorted numbers of the lines that later occurrences cover."""
+    """(_row, drop): the sorted numbers of the lines that later occurrences cover."""
     w = common.cut(window_hashes(docs, width), "line-windows")
     first = (
         w.groupBy("h1", "h2")
-        .agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "pos")).alias("f"), F.count("*").alias("n"))
+        .agg(F.min(F.struct("_row", "pos")).alias("f"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("h1", "h2", F.col("f.doc_id").alias("first_doc"), F.col("f.pos").alias("first_pos"))
+        .select("h1", "h2", F.col("f._row").alias("first_row"), F.col("f.pos").alias("first_pos"))
     )
-    later = w.join(first, ["h1", "h2"]).filter(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("pos") == F.col("first_pos"))))
-    return later.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.col("pos") + i))))).alias("drop"))
+    later = w.join(first, ["h1", "h2"]).filter("_row <> first_row or pos <> first_pos")
+    return later.groupBy("_row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.col("pos") + i))))).alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """All columns of ``docs`` with ``text`` cleaned, and n_lines and n_removed added.
 
     The first occurrence of every window stays.  A null text stays null and has 0
-    lines; an empty text has one.  A null doc_id comes before all others and its rows count as one
-    document; so do repeated doc_ids: rows of one doc_id lose the same lines
-    positions.  A text that loses all its lines becomes empty; no row goes.
+    lines; an empty text has one.  Null doc_ids come before all others; their rows, and rows that repeat a
+    doc_id, are rows of their own, in the order they are read in, and lose only what they repeat
+    themselves.  A text that loses all its lines becomes empty; no row goes.
     Columns named n_lines or n_removed are replaced.  An empty table gives none.
     """
-    found = common.cut(repeated_lines(docs, width).withColumnRenamed("doc_id", "_of").withColumnRenamed("drop", "_drop"), "repeated-lines")
     own = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
-    maybe, others = common.split(own, F.col("doc_id").cast("long"), found.select("_of"))
-    joined = maybe.join(found, maybe["doc_id"].cast("long").eqNullSafe(found["_of"]), "left").drop("_of")
+    held = common.numbered(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)), "line-rows")
+    found = common.cut(repeated_lines(held, width).withColumnRenamed("_row", "_of").withColumnRenamed("drop", "_drop"), "repeated-lines")
+    maybe, others = common.split(held, F.col("_row"), found.select("_of"))
+    joined = maybe.join(found, F.col("_row") == F.col("_of"), "left").drop("_of")
     joined = joined.union(others.withColumn("_drop", F.lit(None).cast("array<int>")))
     joined = joined.withColumn("_lines", F.split("text", "\n"))
     joined = joined.withColumn("_drop", F.filter("_drop", lambda i: i < F.size("_lines")))

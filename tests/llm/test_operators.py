@@ -101,6 +101,16 @@ def test_substrings_find_every_passage_over_50_words(spark):
     assert sorted(r.text for r in out if r.doc_id is None) == sorted([" own words", "", prose("g", 60)])
 
 
+def test_lines_go_by_row_not_by_doc_id(spark):
+    def text(*names: str) -> str:
+        return "\n".join(f"{n} line {i}" for n in names for i in range(3))
+
+    rows = [(None, text("s", "a")), (None, text("b", "s", "c")), (None, text("d", "e", "f")), (None, text("s")), (7, text("g", "h")), (7, text("i", "s")), (7, text("g", "j")), (8, text("k"))]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    want = [text("s", "a"), text("b", "c"), text("d", "e", "f"), "", text("g", "h"), text("i"), text("j"), text("k")]
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for (i, _), t in zip(rows, want))
+
+
 def test_html_main_text():
     body = " ".join(PROSE).capitalize() + "."
     page = f"<html><head><title>t</title><style>p{{}}</style></head><body><nav><a href=#>Home</a></nav><article><p>{body} &amp; so\n on</p><p>{body}</p></article><footer>foot</footer><script>x()</script></body></html>"
