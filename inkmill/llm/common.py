@@ -44,13 +44,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def distinct(docs: DataFrame, key: Column) -> bool:
+    """Whether no two rows share a key, null taken as one."""
+    return not docs.groupBy(key.alias("_key")).count().filter("count > 1").limit(1).count()
+
+
 def numbered(docs: DataFrame, place: Column, name: str) -> DataFrame:
     """``docs`` and a long ``_row``, another for each row, in the order of the long ``place``.
 
     It is ``place`` itself where no two rows share one; else the rows are sorted into a table and numbered.
     """
     keyed = docs.withColumn("_row", place)
-    if not keyed.groupBy("_row").count().filter("count > 1").limit(1).count():
+    if distinct(docs, place):
         return keyed
     ordered = keyed.withColumn("_at", F.monotonically_increasing_id()).orderBy("_row", "_at").drop("_row", "_at")
     return cut(ordered.withColumn("_row", F.monotonically_increasing_id()), name)

@@ -1,7 +1,7 @@
 """N-gram Jaccard join: MinHash banding, then exact verification on full n-gram sets.
 
 1. Texts with equal word sequences (a 128-bit digest) are one class of copies
-   with the least doc_id as representative; copies never meet in pairs.
+   with the first row, in the order of doc_id, as representative; copies never meet in pairs.
 2. Representatives get a MinHash signature; ``bands_for`` chooses rows and bands so
    that a pair at the threshold shares a band with the target recall.  Only band
    hashes are shuffled.  A bucket links its members to its least member: a star,
@@ -35,6 +35,7 @@ RECALL = 0.9999
 #: n-grams and texts of a block at most, on average; one longer text is a block's worth by itself.
 BLOCK_SHINGLES = 1 << 18
 BLOCK_TEXTS = 1024
+_LAST = (1 << 63) - 1
 
 
 def bands_for(threshold: float, recall: float, rows: int = 5) -> int:
@@ -65,10 +66,10 @@ def digest(words: np.ndarray, text: str) -> bytes:
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, key, n, bands) of each row; n is its number of distinct shingles."""
+    """(_row, doc_id, key, n, bands) of each row; n is its number of distinct shingles."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts = b.column(1).to_pylist()
+        texts = b.column(2).to_pylist()
         keys: list[bytes] = []
         counts, all_bands = [], []
         for lo, hi in blocks(texts):
@@ -83,9 +84,9 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             counts.append(np.diff(distinct_in_groups(s, offsets)[1]))
         flat = np.concatenate(all_bands)
         hashes = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, bands), pa.int32()), pa.array(flat.reshape(-1).view(np.int64)))
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(np.concatenate(counts).astype(np.int64)), hashes], names=["doc_id", "key", "n", "bands"])
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(np.concatenate(counts).astype(np.int64)), hashes], names=["_row", "doc_id", "key", "n", "bands"])
 
-    return common.map_arrow(docs, run, "doc_id long, key binary, n long, bands array<long>")
+    return common.map_arrow(docs, run, "_row long, doc_id long, key binary, n long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -178,30 +179,20 @@ def _verify(units: DataFrame, threshold: float) -> DataFrame:
     return units.mapInArrow(run, "node long, links long, root long")
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: int = 5, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """(doc_id, class_id, n_links): one row per row of ``docs`` (doc_id, text, ...).
-
-    n_links is the number of other rows whose n-gram sets are at least as similar as the
-    threshold, copies included; class_id is the least doc_id of the
-    rows that links join.  A text of fewer than ``words`` words is one n-gram; a null text is
-    empty; texts without words link to equal texts only.  A row without doc_id counts
-    as a copy of equal texts, and its class is null if no equal text has an id.
-    Repeated rows are copies of each other.  Rows of one doc_id with different texts
-    fall into one class if both stand for their copies.  Other columns are not read.
-    """
+def _linked(held: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: int = 5, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS) -> DataFrame:
+    """(_row, doc_id, root, n_links) of each row of ``held`` (_row, doc_id, text); root is the first row of its class."""
     bands = bands_for(threshold, recall, rows)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = common.cut(signatures(own, words, bands, rows), "signatures")
-    reps = common.cut(sig.groupBy("key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "representatives")
+    sig = common.cut(signatures(held.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text"), words, bands, rows), "signatures")
+    reps = common.cut(sig.groupBy("key").agg(F.min("_row").alias("node"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "representatives")
 
-    postings = reps.filter("n > 0 and node is not null").select("node", F.explode("bands").alias("band"))
+    postings = reps.filter("n > 0").select("node", F.explode("bands").alias("band"))
     leads = postings.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("c")).filter("c > 1")
     candidates = connected_components(postings.join(leads, "band").filter("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v")))
 
     weighed = candidates.join(reps.filter("n > 0").select("node", "copies", "n"), "node")
     parts = weighed.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / block_shingles, F.count("*") / block_texts)).cast("int").alias("blocks"))
     dealt = weighed.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    sets = shingle_sets(common.semi(own.withColumnRenamed("doc_id", "node"), F.col("node"), candidates.select("node")), words)
+    sets = shingle_sets(common.semi(held.select(F.col("_row").alias("node"), "text"), F.col("node"), candidates.select("node")), words)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = (
         dealt.join(sets, "node")
@@ -214,21 +205,41 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     classes = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     by_node = reps.select("key", "node", "copies").join(links, "node", "left").join(classes, "node", "left")
-    by_key = by_node.select("key", F.coalesce("component", "node").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return sig.select("doc_id", "key").join(by_key, "key").select("doc_id", "class_id", "n_links")
+    by_key = by_node.select("key", F.coalesce("component", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return sig.select("_row", "doc_id", "key").join(by_key, "key").select("_row", "doc_id", "root", "n_links")
+
+
+def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: int = 5, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS) -> DataFrame:
+    """(doc_id, class_id, n_links): one row per row of ``docs`` (doc_id, text, ...).
+
+    n_links is the number of other rows whose n-gram sets are at least as similar as the
+    threshold, copies included; class_id is the least doc_id of the
+    rows that links join.  A text of fewer than ``words`` words is one n-gram; a null text is
+    empty; texts without words link to equal texts only.  A row without doc_id comes
+    after all others; a class is null if no row of it has an id.  Repeated rows are copies of
+    each other; rows of one doc_id with different texts are rows of their own.  Other columns are not read.
+    """
+    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+    own = docs.select("doc_id", "text")
+    found = _linked(common.numbered(own, place, "near-rows"), threshold, words, recall, rows, block_shingles, block_texts)
+    if common.distinct(own, place):
+        return found.select("doc_id", F.when(F.col("root") == F.col("_row"), F.col("doc_id")).otherwise(F.col("root")).alias("class_id"), "n_links")
+    found = common.cut(found, "near-classes")
+    ids = found.filter("root = _row").select("root", F.col("doc_id").alias("class_id"))
+    return found.join(ids, "root").select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` but for those that are not their class's least doc_id; rows without an id stay.
+    """The first row of each class of ``docs`` in the order of doc_id, and of its rows without an id the first too.
 
-    A doc_id that is there more than once stays once.
+    Rows that share a doc_id but not their texts are told apart.
     """
-    classes = jaccard_classes(docs, **options)
-    classes = common.cut(classes, "classes")
-    one = common.anti(docs, F.col("doc_id").cast("long"), classes.filter("doc_id <> class_id").select("doc_id").distinct())
-    if docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").limit(1).count():
-        one = one.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(one.filter("doc_id is null"))
-    return one
+    held = common.numbered(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "near-rows")
+    classes = common.cut(_linked(held, **options), "classes")
+    unnamed = classes.filter("doc_id is null")
+    firsts = unnamed.groupBy("root").agg(F.min("_row").alias("first"))
+    drop = classes.filter("doc_id is not null and _row <> root").select("_row").union(unnamed.join(firsts, "root").filter("_row <> first").select("_row"))
+    return common.anti(held, F.col("_row"), drop).select(*docs.columns)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,6 +111,18 @@ def test_lines_go_by_row_not_by_doc_id(spark):
     assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for (i, _), t in zip(rows, want))
 
 
+def test_near_copies_are_told_by_row(spark):
+    def prose(seed: str, *more: str) -> str:
+        return " ".join([hashlib.sha256(f"{seed}-{i}".encode()).hexdigest()[:7] for i in range(80)] + list(more))
+
+    rows = [(1, prose("a")), (1, prose("b")), (2, prose("b", "x")), (None, prose("c")), (None, prose("c", "y")), (None, prose("c")), (3, prose("a", "z"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kept = sorted((str(r.doc_id), r.text) for r in near.keep_one(docs).collect())
+    assert kept == sorted([("1", rows[0][1]), ("1", rows[1][1]), ("None", rows[3][1])])
+    links = sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in near.jaccard_classes(docs).collect())
+    assert links == [("1", "1", 1), ("1", "1", 1), ("2", "1", 1), ("3", "1", 1)] + [("None", "None", 2)] * 3
+
+
 def test_html_main_text():
     body = " ".join(PROSE).capitalize() + "."
     page = f"<html><head><title>t</title><style>p{{}}</style></head><body><nav><a href=#>Home</a></nav><article><p>{body} &amp; so\n on</p><p>{body}</p></article><footer>foot</footer><script>x()</script></body></html>"
