@@ -80,3 +80,13 @@ def test_markdown_files(spark, tmp_path):
     got = {r.path: r for r in manifests.parse_markdown(docs).collect()}
     assert got["c/a.md"].fields == {"title": "x: y", "k": "1"} and got["c/a.md"].body == "\n\nbody\nmore"
     assert got["../b.md"].fields == {} and got["../b.md"].body == "plain"
+
+
+def test_report_lists_every_record(spark):
+    from pyspark.sql import functions as F
+
+    from inkmill.operators import library
+
+    rows = spark.range(1005).select(F.col("id").alias("manifest_pos"), F.format_string("f%d", "id").alias("name"), F.lit("failed").alias("quality"), F.lit(None).cast("string").alias("category"), F.col("id").cast("int").alias("chars"))
+    listed = [x for x in library.report_text(rows).split("\n") if x.startswith("- [")]
+    assert listed == [f"- [{i}字] [?] f{i}" for i in range(1004, -1, -1)]
