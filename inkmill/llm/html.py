@@ -1,11 +1,18 @@
 """Main text of HTML pages: text-to-tag ratios of lines from the standard library's parser.
 
-The parser's events cut a page into lines at block elements.  A line's ratio is
-its characters over its tags; lines in menus, adverts, forms and the like have 0.
-The ratios are smoothed with a Gaussian kernel, and lines above a threshold (the
-standard deviation of the smoothed ratios, as is usual for this method) are
-content.  The element that holds most of the content is the content region, and
-its lines are the main text, short ones too: a region is kept or left as a whole.
+The parser's events cut a page into lines at block elements.
+
+1. A line's ratio is its characters over its tags; a tag of a link counts more, as lines of links are menus.
+   ``PRIOR`` weighs it by what HTML says of the elements around: more in an article, much less in a form or where
+   a class or id has a word of ``DOUBTFUL``.  A weight alone takes nothing out: if a whole page is in a form, all lines weigh less.
+2. The ratios are smoothed over the lines with a Gaussian kernel.
+3. The threshold is the standard deviation of the smoothed ratios, as is usual for this method, and their
+   maximum at most.  Lines of one container are a cluster; it is content if lines from the threshold on hold most of its characters.
+4. Clusters beside content in the same container join it if they are neither doubtful nor mostly links, so that short
+   paragraphs and lists of an article stay; so do headings right before content.
+
+Only elements that HTML itself sets apart from the text (navigation, footers, scripts and the like) are left out
+whatever their ratios are.
 """
 
 from __future__ import annotations
@@ -26,91 +33,108 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section select "
     "summary table tbody template textarea tfoot thead title tr ul".split()
 )
-CONTAINER = frozenset("article body center div main section td".split())
-#: Elements that never hold main text.
-LEFT_OUT = frozenset("aside audio button canvas datalist dialog fieldset footer form head iframe input label menu nav noscript object option script search select style svg template textarea title video".split())
-ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-#: Words of class and id names that mark what is not main text.
-NAMES = frozenset(
-    "ad ads adsense advert advertisement advertising adverts adbox alert banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies "
-    "disclaimer disqus discussion dropdown footer gdpr hidden infobox login masthead menu modal nav navbar navigation newsletter notice notices notification "
-    "outbrain overlay pager pagination paywall popup promo promoted promotion recommendations recommended related replies respond rail "
-    "search share sharing sidebar sidenav signup skip skyscraper social sponsor sponsored subscribe subscription taboola teaser toc toolbar topbar trending widget".split()
-)
-#: Names and elements of a page's head, which may be the head of the article inside one.
-HEADS = frozenset("header topbar masthead".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTAINER = frozenset("article blockquote body center details div dl figure form header hgroup main ol section table ul".split())
+#: Elements that HTML sets apart from the text, or that hold no text to read.
+LEFT_OUT = frozenset("aside audio button canvas datalist dialog footer head iframe input label menu nav noscript object option script search select style svg template textarea title video".split())
+ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 ARTICLE = frozenset("article main".split())
+#: Words of class and id names that make a container doubtful; they weigh a ratio and exclude nothing.
+DOUBTFUL = frozenset("ad ads advert advertisement banner comment comments consent cookie disqus notice popup promo related replies share sidebar social sponsored subscribe widget".split())
+#: Weights of a line's ratio inside an article, and inside a form or a doubtful container.
+IN_ARTICLE, IN_DOUBT = 4.0, 1 / 16
+#: Tags that each tag of a link counts as.
+LINK_TAGS = 3
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-SHARE = 0.75
+SHARE = 0.5
+RADIUS, SIGMA = 2, 1.0
+
+
+class Container:
+    """A place in the tree of containers; each line belongs to the innermost around it."""
+
+    __slots__ = ("parent", "prior", "doubtful")
+
+    def __init__(self, parent: Container | None, prior: float, doubtful: bool) -> None:
+        self.parent, self.prior, self.doubtful = parent, prior, doubtful
+
+
+class Line:
+    __slots__ = ("text", "tags", "linked", "at", "heading")
+
+    def __init__(self, text: str, tags: int, linked: int, at: Container | None, heading: bool) -> None:
+        self.text, self.tags, self.linked, self.at, self.heading = text, tags, linked, at, heading
 
 
-class _Lines(HTMLParser):
-    """Lines of a page: text pieces, tags, the containers around, left out or not, heading or not."""
+class PageLines(HTMLParser):
+    """Lines of a page in order; a line that is left out has no container (``at`` is None) and no text."""
 
-    def __init__(self):
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, tuple[int, ...], bool]] = [("", False, (), False)]
-        self.names = [""]
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
-        self.kinds: list[str] = []
-        self.text: list[str] = []
-        self.tags = 0
+        root = Container(None, 1.0, False)
+        #: Open elements: tag, container (None: left out), whether an article is around.
+        self.stack: list[tuple[str, Container | None, bool]] = [("", root, False)]
+        self.places: dict[str, list[int]] = {}
+        self.lines: list[Line] = []
+        self.parts: list[str] = []
+        self.tags = self.linked = 0
 
     def cut(self) -> None:
-        text = " ".join("".join(self.text).split())
+        tag, at, _ = self.stack[-1]
+        text = " ".join("".join(self.parts).split()) if at is not None else ""
         if text or self.tags:
-            tag, out, around, _ = self.stack[-1]
-            self.lines.append((text, self.tags, around, out, tag in ("h1", "h2")))
-        self.text, self.tags = [], 0
+            self.lines.append(Line(text, self.tags, self.linked, at, tag in HEADINGS))
+        self.parts, self.tags, self.linked = [], 0, 0
 
     def _pop(self, to: int) -> None:
-        del self.stack[to:]
+        while len(self.stack) > to:
+            self.places[self.stack.pop()[0]].pop()
 
-    def _open(self, tag: str, stop: frozenset) -> int | None:
+    def _open(self, tag: str, stop: frozenset[str]) -> int | None:
         """Place of the innermost open ``tag`` above any of ``stop``."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                return i
-            if self.stack[i][0] in stop:
-                return None
-        return None
+        own = self.places.get(tag)
+        if not own or own[-1] < len(self.stack) - 1 and any(p and p[-1] > own[-1] for p in map(self.places.get, stop) if p):
+            return None
+        return own[-1]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
-            self.text.append(" ")
+            self.parts.append(" ")
             self.tags += 1
             return
-        block = tag in BLOCK
-        if block:
+        if tag in BLOCK:
             self.cut()
-            if (at := self._open("p", CONTAINER | {"button", "li", "table"})) is not None:
+            if (at := self._open("p", CONTAINER | {"button", "li", "td"})) is not None:
                 self._pop(at)
             if tag in ("li", "dd", "dt", "tr") and (at := self._open(tag, frozenset(("ul", "ol", "dl", "table")))) is not None:
                 self._pop(at)
         elif tag in ("td", "th"):
-            self.text.append(" ")
-        self.tags += 1
+            self.parts.append(" ")
+        self.tags += LINK_TAGS if tag == "a" else 1
         if tag in VOID:
             return
-        _, out, around, inside = self.stack[-1]
-        out = out or self._left_out(tag, dict(attrs), inside)
-        if tag in CONTAINER:
-            around = (*around, len(self.kinds))
-            self.kinds.append(tag)
-        self.stack.append((tag, out, around, inside or tag in ARTICLE))
-
-    def _left_out(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
+        _, at, inside = self.stack[-1]
+        if at is not None:
+            at = self._within(tag, dict(attrs), at, inside)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, at, inside or tag in ARTICLE))
+
+    def _within(self, tag: str, attrs: dict[str, str | None], at: Container, inside: bool) -> Container | None:
+        """The container for what is in this element; None if that is left out."""
         if tag in LEFT_OUT or tag == "header" and not inside:
-            return True
-        if tag in ("html", "body", "article", "main") and not (tag == "article" and attrs):
-            return False
-        if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or _HIDDEN.search(attrs.get("style") or ""):
-            return True
-        if (attrs.get("role") or "").lower() in ROLES:
-            return True
-        names = {x.lower() for x in _NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
-        return bool(names & NAMES) and not (inside and names & HEADS) or not inside and bool(names & HEADS)
+            return None
+        if tag not in ("html", "body"):
+            if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or _HIDDEN.search(attrs.get("style") or ""):
+                return None
+            if (attrs.get("role") or "").lower() in ROLES:
+                return None
+        names = attrs.get("class") or attrs.get("id")
+        doubtful = tag == "form" or bool(names) and any(x.lower() in DOUBTFUL for x in _NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}"))
+        if tag not in CONTAINER and not doubtful:
+            return at
+        prior = at.prior * (IN_DOUBT if doubtful and not at.doubtful else 1) * (IN_ARTICLE if tag in ARTICLE and not inside else 1)
+        return Container(at, prior, doubtful or at.doubtful)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -118,62 +142,91 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags += 1
+        self.tags += LINK_TAGS if tag == "a" else 1
         if tag in BLOCK:
             self.cut()
         elif tag in ("td", "th"):
-            self.text.append(" ")
+            self.parts.append(" ")
         if (at := self._open(tag, frozenset() if tag in BLOCK or tag in LEFT_OUT else BLOCK)) is not None:
             self._pop(at)
 
     def handle_data(self, data: str) -> None:
-        self.text.append(data)
+        if self.stack[-1][1] is None:
+            return
+        self.parts.append(data)
+        if self.places.get("a"):
+            self.linked += len(data)
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...`` of any kind is a comment, as in browsers."""
+        return self.parse_bogus_comment(i)
 
 
-def smoothed(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray:
+def lines_of(html: str) -> list[Line]:
+    page = PageLines()
+    page.feed(html)
+    page.close()
+    page.cut()
+    return page.lines
+
+
+def text_to_tag(lines: list[Line]) -> np.ndarray:
+    """Weighed ratios; 0 for what is left out."""
+    return np.array([0.0 if x.at is None else x.at.prior * len(x.text) / max(1, x.tags) for x in lines])
+
+
+def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
     x = np.arange(-radius, radius + 1)
     kernel = np.exp(-(x**2) / (2 * sigma**2))
-    padded = np.pad(ratios, radius)
-    return np.convolve(padded, kernel / kernel.sum(), "valid")
+    return np.convolve(np.pad(ratios, radius), kernel / kernel.sum(), "valid")
+
+
+def content_lines(lines: list[Line], level: np.ndarray) -> list[int]:
+    """Numbers of the lines that are main text, by the smoothed ratios ``level``."""
+    use = [i for i, x in enumerate(lines) if x.text]
+    if not use:
+        return []
+    threshold = min(level.std(), level[use].max())
+    clusters: dict[int, list[int]] = {}
+    for i in use:
+        clusters.setdefault(id(lines[i].at), []).append(i)
+    size = {c: sum(len(lines[i].text) for i in own) for c, own in clusters.items()}
+    above = {c: sum(len(lines[i].text) for i in own if level[i] >= threshold) for c, own in clusters.items()}
+    chosen = {c for c in clusters if above[c] >= SHARE * size[c]}
+    if not chosen:
+        chosen = {max(clusters, key=lambda c: (above[c], size[c]))}
+
+    # Clusters beside content: in a container of content, or between contents of one parent.
+    held = {id(lines[own[0]].at): lines[own[0]].at for own in clusters.values()}
+    rank = {c: k for k, c in enumerate(clusters)}  # by first line
+    between: dict[int, tuple[int, int]] = {}
+    for c in chosen:
+        lo, hi = between.get(id(held[c].parent), (rank[c], rank[c]))
+        between[id(held[c].parent)] = min(lo, rank[c]), max(hi, rank[c])
+    doubt = all(held[c].doubtful for c in chosen)
+    for c, own in clusters.items():
+        around = id(held[c].parent)
+        lo, hi = between.get(around, (rank[c], rank[c]))
+        if (around in chosen or lo < rank[c] < hi) and (doubt or not held[c].doubtful) and 2 * sum(lines[i].linked for i in own) <= size[c]:
+            chosen.add(c)
+    taken = [i for i in use if id(lines[i].at) in chosen]
+    # Headings right before content.
+    place = {i: k for k, i in enumerate(use)}
+    heads = set()
+    for i in taken:
+        k = place[i] - 1
+        while k >= 0 and lines[use[k]].heading and id(lines[use[k]].at) not in chosen and use[k] not in heads and (doubt or not lines[use[k]].at.doubtful):
+            heads.add(use[k])
+            k -= 1
+    return sorted(heads.union(taken))
 
 
 def main_text(html: str | None) -> str:
-    """Blocks of the content region in page order, joined by an empty line; '' if there is none."""
+    """Blocks of the content in page order, joined by an empty line; '' if there is none."""
     if not html:
         return ""
-    page = _Lines()
-    page.feed(html)
-    page.close()
-    page.cut()
-    lines = page.lines
-    use = [i for i, (text, _, _, out, _) in enumerate(lines) if text and not out]
-    if not use:
-        return ""
-    ratios = np.array([0.0 if out else len(text) / max(1, tags) for text, tags, _, out, _ in lines])
-    level = smoothed(ratios)
-    threshold = min(level.std(), level[use].max())
-    content = [i for i in use if level[i] >= threshold]
-    total = sum(len(lines[i][0]) for i in content)
-    held: dict[int, int] = {}
-    for i in content:
-        for c in lines[i][2]:
-            held[c] = held.get(c, 0) + len(lines[i][0])
-    best = max((c for c, n in held.items() if n >= SHARE * total), default=None)  # the innermost opened last
-    if best is None:
-        return "\n\n".join(lines[i][0] for i in use)
-    path = next(lines[i][2] for i in content if best in lines[i][2])
-    path = path[: path.index(best) + 1]
-    outer = [c for c in path if page.kinds[c] in ARTICLE]
-    if outer:
-        best = outer[-1]
-    else:
-        chosen = set(content)
-        for c in reversed(path[:-1]):
-            more = [i for i in use if c in lines[i][2] and best not in lines[i][2]]
-            if not all(i in chosen or lines[i][4] for i in more):
-                break
-            best = c
-    return "\n\n".join(lines[i][0] for i in use if best in lines[i][2])
+    lines = lines_of(html)
+    return "\n\n".join(lines[i].text for i in content_lines(lines, smoothed(text_to_tag(lines))))
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
@@ -181,7 +234,7 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
 
     A column of that name is replaced.  A null or empty page, and one without main
     text, has ''.  Repeated rows stay; an empty table stays empty.  Broken HTML is read as
-    far as the parser reads it; the whole page is read, however long.
+    far as the parser reads it; the whole page is read, however long or deep.
     """
     keep = [c for c in pages.columns if c not in (html_col, text_col)]
     base = pages.select(*keep, html_col)

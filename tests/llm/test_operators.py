@@ -123,12 +123,6 @@ def test_near_copies_are_told_by_row(spark):
     assert links == [("1", "1", 1), ("1", "1", 1), ("2", "1", 1), ("3", "1", 1)] + [("None", "None", 2)] * 3
 
 
-def test_html_main_text():
-    body = " ".join(PROSE).capitalize() + "."
-    page = f"<html><head><title>t</title><style>p{{}}</style></head><body><nav><a href=#>Home</a></nav><article><p>{body} &amp; so\n on</p><p>{body}</p></article><footer>foot</footer><script>x()</script></body></html>"
-    assert html.main_text(page) == f"{body} & so on\n\n{body}"
-    assert html.main_text(None) == html.main_text("") == ""
-
 
 EDGE = [(1, None, None), (2, "", "en"), (None, " ".join(PROSE), None), (3, " ".join(PROSE), "en"), (3, " ".join(PROSE), "en"), (4, "a\nb\nc\na\nb\nc", None), (5, "word " * 60_000, "en"), (6, "?!", None)]
 NEED = "doc_id long, text string, lang string, source string, n_chars long, n_removed string, node long, key string, score string"
