@@ -1,13 +1,13 @@
 """Packing of token sequences into windows by Karmarkar-Karp differencing.
 
-Each Spark partition packs its own documents in a stream.  Documents fill a
-group of ``group`` windows; the last one is cut where the group is full and
-goes on in the next.  Within a group, pieces longer than a window give whole
-windows first; multiway differencing then merges partial partitions with
-opposing imbalances until near-equal windows are left.  What still exceeds the
-capacity is cut off and moved to windows with room; only when none has room
-does the window count rise.  No state passes between partitions, so a lost
-task is simply run again.
+Each Spark partition packs its own documents in a stream.  A document that is
+longer than a window gives whole windows; what is left of it, or a shorter
+document, is a piece.  Once a group has pieces for about ``group`` windows,
+multiway differencing merges partial partitions with opposing imbalances into near-equal
+windows.  Where one exceeds the capacity the window count rises and
+differencing starts anew, so no piece of a group is ever cut.  The small, near-equal gaps that
+are left are filled with the documents that come next, cut to size.  No state passes
+between partitions, so a lost task is simply run again.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from inkmill.llm import common
 from inkmill.llm.wordhash import blocks
 
 CAPACITY = 4096
-GROUP = 32
+#: Windows that the pieces of a group are worth.
+GROUP = 64
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words kept by a worker; the older half goes beyond it.
@@ -112,120 +113,122 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return out
 
 
-def windows(sizes: list[int], capacity: int = CAPACITY, cut: bool = True) -> list[list[tuple[int, int, int]]]:
-    """Windows of (item, start, length) parts that hold every item once.
+def windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
+    """Item numbers of near-equal windows, none of which exceeds the capacity.
 
-    Without ``cut`` the window count rises until no window exceeds the capacity
-    (an item longer than it raises ValueError).  With ``cut`` items longer than
-    a window give whole windows first, and what exceeds the capacity moves to
-    windows with room; the count is then the least possible.
+    The count begins at the least that could do and rises until differencing gives no
+    window over the capacity.  An item longer than that raises ValueError; without items there is no window.
     """
-    full: list[list[tuple[int, int, int]]] = []
-    parts: list[tuple[int, int, int]] = []
-    for i, s in enumerate(sizes):
-        at = 0
-        while cut and s - at >= capacity:
-            full.append([(i, at, capacity)])
-            at += capacity
-        if s > at:
-            parts.append((i, at, s - at))
-    if not parts:
-        return full
-    lengths = [p[2] for p in parts]
-    if max(lengths) > capacity:
+    if not sizes:
+        return []
+    if max(sizes) > capacity:
         raise ValueError("an item exceeds the capacity")
-    k = -(-sum(lengths) // capacity)
+    k = max(1, -(-sum(sizes) // capacity))
     while True:
-        sets = [[parts[i] for i in items] for items in differencing(lengths, k)]
-        sums = [sum(p[2] for p in s) for s in sets]
-        if max(sums) <= capacity:
-            return full + [s for s in sets if s]
-        if cut:
-            return full + _levelled(sets, sums, capacity)
+        sets = differencing(sizes, k)
+        if max(sum(sizes[i] for i in items) for items in sets) <= capacity:
+            return [items for items in sets if items]
         k += 1
 
 
-def _levelled(sets: list[list[tuple[int, int, int]]], sums: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
-    """Move what exceeds the capacity, cut from a window's longest part, to windows with room."""
-    room = [(i, capacity - s) for i, s in enumerate(sums) if s < capacity]
-    for i, s in enumerate(sums):
-        while s > capacity:
-            j = max(range(len(sets[i])), key=lambda x: sets[i][x][2])
-            item, start, length = sets[i][j]
-            to, free = room.pop()
-            moved = min(s - capacity, free, length)
-            if moved == length:
-                sets[i].pop(j)
-            else:
-                sets[i][j] = (item, start, length - moved)
-            sets[to].append((item, start + length - moved, moved))
-            s -= moved
-            if free > moved:
-                room.append((to, free - moved))
-    return sets
-
-
 def powers_of_two(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
+#: doc_id, start, ids, doc_tokens
+Piece = tuple[int | None, int, np.ndarray, int]
+
+
 class _Packer:
-    """Groups of pieces of one partition, with sequence ids of its own."""
+    """Windows of one partition, with sequence ids of its own."""
 
     def __init__(self, partition: int, capacity: int, group: int):
         self.capacity, self.full = capacity, capacity * group
         self.sequence = partition << 40
-        self.items: list[tuple[int | None, int, np.ndarray, int]] = []  # doc_id, start, ids, doc_tokens
+        self.pieces: list[Piece] = []
         self.held = 0
+        #: Windows of a group that still have gaps, the largest gap last.
+        self.gaps: list[tuple[int, list[Piece]]] = []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> Iterator[tuple]:
-        at = 0
-        while at < len(ids):
-            take = min(len(ids) - at, self.full - self.held)
-            self.items.append((doc_id, at, ids[at : at + take], len(ids)))
-            self.held += take
-            at += take
-            if self.held == self.full:
-                yield from self.flush()
-
-    def flush(self) -> Iterator[tuple]:
-        yield from self._write(windows([len(x[2]) for x in self.items], self.capacity))
-        self.items, self.held = [], 0
+        n, at = len(ids), 0
+        while at < n:
+            if self.gaps:
+                gap, window = self.gaps.pop()
+                part = ids[at : at + gap]
+                window.append((doc_id, at, part, n))
+                if len(part) < gap:
+                    self.gaps.append((gap - len(part), window))
+                else:
+                    yield from self._write(window)
+            else:
+                part = ids[at : at + self.capacity]
+                if len(part) == self.capacity:
+                    yield from self._write([(doc_id, at, part, n)])
+                else:
+                    self.pieces.append((doc_id, at, part, n))
+                    self.held += len(part)
+            at += len(part)
+        if self.held >= self.full and not self.gaps:
+            yield from self._close()
+
+    def _close(self) -> Iterator[tuple]:
+        """Windows of the group: full ones are written, the others wait for what fills their gaps."""
+        sizes = [len(p[2]) for p in self.pieces]
+        for items in windows(sizes, self.capacity):
+            window = [self.pieces[i] for i in items]
+            gap = self.capacity - sum(sizes[i] for i in items)
+            if gap:
+                self.gaps.append((gap, window))
+            else:
+                yield from self._write(window)
+        self.gaps.sort(key=lambda x: x[0])
+        self.pieces, self.held = [], 0
 
     def finish(self) -> Iterator[tuple]:
-        """The last group: whole windows, and the rest in lengths that are powers of two, which need no padding."""
-        rest = self.held % self.capacity
-        tail: list[tuple[int | None, int, np.ndarray, int]] = []
-        while rest:
-            doc_id, start, ids, n = self.items.pop()
-            own = min(rest, len(ids))
-            if own < len(ids):
-                self.items.append((doc_id, start, ids[:-own], n))
-            tail.append((doc_id, start + len(ids) - own, ids[-own:], n))
-            rest -= own
-        yield from self.flush()
-        self.items = tail[::-1]
-        out: list[list[tuple[int, int, int]]] = []
-        i, at = 0, 0
-        for size in powers_of_two(sum(len(x[2]) for x in self.items)):
-            out.append([])
+        """What is left: its last documents fill gaps, and what has nothing to fill it goes in lengths that need no padding.
+
+        These are whole windows and then powers of two.
+        """
+        last: list[Piece] = []
+        spare = 0
+        while self.pieces and spare < max(self.held // 16, self.capacity):
+            last.append(self.pieces.pop())
+            spare += len(last[-1][2])
+        if not self.gaps:
+            yield from self._close()
+        rest = self.pieces + last[::-1]
+        self.pieces = []
+        while self.gaps and rest:
+            gap, window = self.gaps.pop()
+            doc_id, start, ids, n = rest.pop()
+            window.append((doc_id, start, ids[:gap], n))
+            if len(ids) < gap:
+                self.gaps.append((gap - len(ids), window))
+            else:
+                yield from self._write(window)
+            if len(ids) > gap:
+                rest.append((doc_id, start + gap, ids[gap:], n))
+        rest += [p for _, window in self.gaps for p in window]
+        self.gaps = []
+        total = sum(len(p[2]) for p in rest)
+        rest.reverse()
+        for size in [self.capacity] * (total // self.capacity) + powers_of_two(total % self.capacity):
+            window = []
             while size:
-                own = min(size, len(self.items[i][2]) - at)
-                out[-1].append((i, at, own))
-                size, at = size - own, at + own
-                if at == len(self.items[i][2]):
-                    i, at = i + 1, 0
-        yield from self._write(out)
-        self.items = []
-
-    def _write(self, sets: list[list[tuple[int, int, int]]]) -> Iterator[tuple]:
-        for parts in sets:
-            offset = 0
-            for i, at, length in parts:
-                doc_id, start, ids, n = self.items[i]
-                yield doc_id, start + at, length, ids[at : at + length].tobytes(), n, self.sequence, offset
-                offset += length
-            self.sequence += 1
+                doc_id, start, ids, n = rest.pop()
+                window.append((doc_id, start, ids[:size], n))
+                if len(ids) > size:
+                    rest.append((doc_id, start + size, ids[size:], n))
+                size -= len(window[-1][2])
+            yield from self._write(window)
+
+    def _write(self, window: list[Piece]) -> Iterator[tuple]:
+        offset = 0
+        for doc_id, start, ids, n in window:
+            yield doc_id, start, len(ids), ids.tobytes(), n, self.sequence, offset
+            offset += len(ids)
+        self.sequence += 1
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, group: int = GROUP, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
