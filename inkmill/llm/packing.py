@@ -15,7 +15,8 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain, islice
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,11 @@ from inkmill.llm.wordhash import blocks
 
 CAPACITY = 4096
 #: Windows that the pieces of a group are worth.
-GROUP = 64
+GROUP = 32
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Words kept by a worker; the older half goes beyond it.
-CACHE_WORDS = 1_000_000
+#: Words of a generation; a worker keeps two.
+CACHE_WORDS = 200_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -61,6 +62,7 @@ class CachedTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         for at in range(0, len(words), 20_000):
@@ -74,13 +76,21 @@ class CachedTokenizer:
         texts = [t or "" for t in texts]
         words = [None if _SPECIAL in t or _OTHER.search(t) else _WORD.findall(t.lower()) for t in texts]
         if len(self.known) > self.most:
-            for w in list(islice(self.known, self.most // 2)):
-                del self.known[w]
-        self._learn(sorted(set(chain.from_iterable(w for w in words if w)).difference(self.known)))
+            self.older, self.known = self.known, {}
+        missing = set(chain.from_iterable(w for w in words if w)).difference(self.known)
+        again = missing & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        self._learn(sorted(missing - again))
         get = self.known.__getitem__
         return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
 
 
+@cache
+def tokenizer_of(path: str | None) -> CachedTokenizer:
+    """One for all tasks of a worker, so that words are learned once."""
+    return CachedTokenizer(path)
+
+
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
     """Multiway Karmarkar-Karp: item numbers of k subsets with near-equal sums.
 
@@ -246,7 +256,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = CachedTokenizer(tokenizer).encode
+        encode = tokenizer_of(tokenizer).encode
         packer = _Packer(TaskContext.get().partitionId(), capacity, group)
         end = np.array([end_id], "<u4").tobytes()
         rows: list[tuple] = []
