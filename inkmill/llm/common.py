@@ -17,31 +17,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the session's checkpoint folder.
 
-    Only a session without one (tests on one machine) gets a folder of its own.
+    Only a local session (tests on one machine) gets a folder of its own without either; on a
+    cluster, executors could not share one of the driver's, so that raises RuntimeError.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             found = held.get()
-        else:
+        elif spark.sparkContext.master.startswith("local"):
             found = tempfile.mkdtemp(prefix="inkmill-shared-")
             spark.sparkContext.setCheckpointDir(found)
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return found.rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as a table in the shared folder and read them back.
 
     The lineage ends there, so lost executors cost no recomputation, and what
-    several consumers read is computed once.
+    several consumers read is computed once.  The table goes when the application ends, or by ``drop``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, where = _hadoop(spark, path)
+    fs.deleteOnExit(where)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._inkmill_path = path
+    return out
+
+
+def drop(table: DataFrame) -> None:
+    """Delete a table of ``cut`` that nothing will read again."""
+    fs, where = _hadoop(table.sparkSession, table._inkmill_path)
+    fs.delete(where, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has in any case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def col(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def distinct(docs: DataFrame, key: Column) -> bool:
@@ -49,16 +80,35 @@ def distinct(docs: DataFrame, key: Column) -> bool:
     return not docs.groupBy(key.alias("_key")).count().filter("count > 1").limit(1).count()
 
 
-def numbered(docs: DataFrame, place: Column, name: str) -> DataFrame:
-    """``docs`` and a long ``_row``, another for each row, in the order of the long ``place``.
+def numbered(docs: DataFrame, place: Column, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a long added, another for each row, in the order of the long ``place``; and that column's name.
 
     It is ``place`` itself where no two rows share one; else the rows are sorted into a table and numbered.
     """
-    keyed = docs.withColumn("_row", place)
+    row = fresh(docs, "_row")
+    keyed = docs.withColumn(row, place)
     if distinct(docs, place):
-        return keyed
-    ordered = keyed.withColumn("_at", F.monotonically_increasing_id()).orderBy("_row", "_at").drop("_row", "_at")
-    return cut(ordered.withColumn("_row", F.monotonically_increasing_id()), name)
+        return keyed, row
+    at = fresh(keyed, "_at")
+    ordered = keyed.withColumn(at, F.monotonically_increasing_id()).orderBy(row, at).drop(row, at)
+    return cut(ordered.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
+#: A key with more than one in so many rows is hot; there are at most so many hot keys.
+HOT = 4096
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner equi-join to a table with one row for each key; ``count`` says how many of ``rows`` have it.
+
+    A hot key's rows never meet in one task: keys of more than 1/HOT of the rows, at most HOT of them, are broadcast.
+    Both sides are read twice, so they should be tables.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(table.filter(F.col(count) > total / HOT))
+    others = rows.join(F.broadcast(table.filter(F.col(count) > total / HOT).select(*keys)), keys, "left_anti")
+    rest = table.filter(F.col(count) <= total / HOT)
+    return rows.join(hot, keys).unionByName(others.join(rest, keys))
 
 
 def remainder(doc_id: str | Column, n: int) -> Column:
@@ -95,19 +145,22 @@ def split(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataF
     A broadcast of the keys' hash slots, bounded by SLOTS, tells them apart before any shuffle, so
     that only the first need to be shuffled to meet their keys.
     """
+    name = fresh(df, "_slot")
     slot = lambda c: F.pmod(F.xxhash64(c.cast(keys.schema[0].dataType)), F.lit(SLOTS))
-    slots = F.broadcast(keys.select(slot(F.col(keys.columns[0])).alias("_slot")).distinct())
-    slotted = df.withColumn("_slot", slot(key))
-    return slotted.join(slots, "_slot", "left_semi").drop("_slot"), slotted.join(slots, "_slot", "left_anti").drop("_slot")
+    slots = F.broadcast(keys.select(slot(F.col(keys.columns[0])).alias(name)).distinct())
+    slotted = df.withColumn(name, slot(key))
+    return slotted.join(slots, name, "left_semi").drop(name), slotted.join(slots, name, "left_anti").drop(name)
 
 
 def semi(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key is among ``keys``."""
     maybe, _ = split(df, key, keys)
-    return maybe.join(keys.withColumnRenamed(keys.columns[0], "_among"), key == F.col("_among"), "left_semi")
+    name = fresh(df, "_among")
+    return maybe.join(keys.withColumnRenamed(keys.columns[0], name), key == F.col(name), "left_semi")
 
 
 def anti(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys``, or null."""
     maybe, others = split(df, key, keys)
-    return others.union(maybe.join(keys.withColumnRenamed(keys.columns[0], "_among"), key == F.col("_among"), "left_anti"))
+    name = fresh(df, "_among")
+    return others.union(maybe.join(keys.withColumnRenamed(keys.columns[0], name), key == F.col(name), "left_anti"))

@@ -43,9 +43,9 @@ def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         w.groupBy("h1", "h2")
         .agg(F.min(F.struct("_row", "pos")).alias("f"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("h1", "h2", F.col("f._row").alias("first_row"), F.col("f.pos").alias("first_pos"))
+        .select("h1", "h2", "n", F.col("f._row").alias("first_row"), F.col("f.pos").alias("first_pos"))
     )
-    later = w.join(first, ["h1", "h2"]).filter("_row <> first_row or pos <> first_pos")
+    later = common.join_counted(w, common.cut(first, "first-windows"), ["h1", "h2"], "n").filter("_row <> first_row or pos <> first_pos")
     return later.groupBy("_row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.col("pos") + i))))).alias("drop"))
 
 
@@ -56,22 +56,23 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     lines; an empty text has one.  Null doc_ids come before all others; their rows, and rows that repeat a
     doc_id, are rows of their own, in the order they are read in, and lose only what they repeat
     themselves.  A text that loses all its lines becomes empty; no row goes.
-    Columns named n_lines or n_removed are replaced.  An empty table gives none.
+    Columns named n_lines or n_removed are replaced; all others stay, whatever their names.  An empty table gives none.
     """
-    own = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
-    held = common.numbered(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)), "line-rows")
-    found = common.cut(repeated_lines(held, width).withColumnRenamed("_row", "_of").withColumnRenamed("drop", "_drop"), "repeated-lines")
-    maybe, others = common.split(held, F.col("_row"), found.select("_of"))
-    joined = maybe.join(found, F.col("_row") == F.col("_of"), "left").drop("_of")
-    joined = joined.union(others.withColumn("_drop", F.lit(None).cast("array<int>")))
-    joined = joined.withColumn("_lines", F.split("text", "\n"))
-    joined = joined.withColumn("_drop", F.filter("_drop", lambda i: i < F.size("_lines")))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
-    keep = F.when(F.size("_drop") > 0, F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")).otherwise(F.col("text"))
+    own = docs.select(*(common.col(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")))
+    held, row = common.numbered(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)), "line-rows")
+    of, drop = common.fresh(held, "_of"), common.fresh(held, "_drop")
+    found = common.cut(repeated_lines(held.select(F.col(row).alias("_row"), "text"), width).select(F.col("_row").alias(of), F.col("drop").alias(drop)), "repeated-lines")
+    maybe, others = common.split(held, F.col(row), found.select(of))
+    joined = maybe.join(found, F.col(row) == F.col(of), "left").drop(of)
+    joined = joined.union(others.withColumn(drop, F.lit(None).cast("array<int>")))
+    split_text = common.fresh(joined, "_lines")
+    joined = joined.withColumn(split_text, F.split("text", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(split_text) - 1), drop)
+    keep = F.when(F.size(drop) > 0, F.array_join(F.transform(left, lambda i: F.get(split_text, i)), "\n")).otherwise(F.col("text"))
     return joined.select(
-        *(keep.alias("text") if c == "text" else F.col(c) for c in own.columns),
-        F.coalesce(F.greatest(F.size("_lines"), F.lit(0)), F.lit(0)).alias("n_lines"),
-        F.when(F.col("text").isNull() | F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).alias("n_removed"),
+        *(keep.alias("text") if c == "text" else common.col(c) for c in own.columns),
+        F.coalesce(F.greatest(F.size(split_text), F.lit(0)), F.lit(0)).alias("n_lines"),
+        F.when(F.col("text").isNull() | F.col(drop).isNull(), 0).otherwise(F.size(drop)).alias("n_removed"),
     )
 
 

@@ -6,11 +6,13 @@
    that a pair at the threshold shares a band with the target recall.  Only band
    hashes are shuffled.  A bucket links its members to its least member: a star,
    not all pairs.
-3. Components of these links bound where linked pairs can be.  A component is
-   dealt to blocks of bounded weight; each pair of blocks is one unit of work,
+3. Components of these links bound where linked pairs can be.  Texts of a component of more than
+   ``MOST_BLOCKS`` blocks are banded again with more rows, which tells those apart that only share boilerplate, at
+   the same recall.
+4. A component is dealt to blocks of bounded weight; each pair of blocks is one unit of work,
    which compares every pair in it on the full n-gram sets.  So each
    pair is compared exactly once, and no task holds more than two blocks.
-4. A unit returns one row per text with links: how many documents it links to,
+5. A unit returns one row per text with links: how many documents it links to,
    and a local root.  Components of (text, root) are the classes.
 """
 
@@ -35,6 +37,9 @@ RECALL = 0.9999
 #: n-grams and texts of a block at most, on average; one longer text is a block's worth by itself.
 BLOCK_SHINGLES = 1 << 18
 BLOCK_TEXTS = 1024
+#: Rows of a band, at first and for texts of large components; components of more blocks are large.
+ROWS = (5, 9)
+MOST_BLOCKS = 2
 _LAST = (1 << 63) - 1
 
 
@@ -179,20 +184,37 @@ def _verify(units: DataFrame, threshold: float) -> DataFrame:
     return units.mapInArrow(run, "node long, links long, root long")
 
 
-def _linked(held: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: int = 5, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """(_row, doc_id, root, n_links) of each row of ``held`` (_row, doc_id, text); root is the first row of its class."""
-    bands = bands_for(threshold, recall, rows)
-    sig = common.cut(signatures(held.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text"), words, bands, rows), "signatures")
-    reps = common.cut(sig.groupBy("key").agg(F.min("_row").alias("node"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "representatives")
+def _candidates(banded: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of (node, bands) that share a band with another."""
+    postings = banded.select("node", F.explode("bands").alias("band"))
+    leads = common.cut(postings.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("c")).filter("c > 1"), "leads")
+    return connected_components(common.join_counted(postings, leads, ["band"], "c").filter("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v")))
 
-    postings = reps.filter("n > 0").select("node", F.explode("bands").alias("band"))
-    leads = postings.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("c")).filter("c > 1")
-    candidates = connected_components(postings.join(leads, "band").filter("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v")))
 
+def _dealt(candidates: DataFrame, reps: DataFrame, block_shingles: int, block_texts: int) -> DataFrame:
+    """(component, node, copies, blocks): blocks is how many the component is dealt to."""
     weighed = candidates.join(reps.filter("n > 0").select("node", "copies", "n"), "node")
-    parts = weighed.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / block_shingles, F.count("*") / block_texts)).cast("int").alias("blocks"))
-    dealt = weighed.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    sets = shingle_sets(common.semi(held.select(F.col("_row").alias("node"), "text"), F.col("node"), candidates.select("node")), words)
+    parts = weighed.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / block_shingles, F.count("*") / block_texts)).cast("int").alias("blocks"), F.count("*").alias("c"))
+    return common.cut(common.join_counted(common.cut(weighed, "weighed"), common.cut(parts, "parts"), ["component"], "c").select("component", "node", "copies", "blocks"), "dealt")
+
+
+def _linked(held: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: tuple[int, ...] = ROWS, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS, most_blocks: int = MOST_BLOCKS) -> DataFrame:
+    """(_row, doc_id, root, n_links) of each row of ``held`` (_row, doc_id, text); root is the first row of its class."""
+    sig = common.cut(signatures(held.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text"), words, bands_for(threshold, recall, rows[0]), rows[0]), "signatures")
+    reps = common.cut(sig.groupBy("key").agg(F.min("_row").alias("node"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "representatives")
+    texts = held.select(F.col("_row").alias("node"), "text")
+
+    dealt = _dealt(_candidates(reps.filter("n > 0").select("node", "bands")), reps, block_shingles, block_texts)
+    for more in rows[1:]:
+        large = dealt.filter(F.col("blocks") > most_blocks)
+        if not large.limit(1).count():
+            break
+        again = common.semi(texts, F.col("node"), large.select("node")).select(F.col("node").alias("_row"), F.lit(None).cast("long").alias("doc_id"), "text")
+        banded = common.cut(signatures(again, words, bands_for(threshold, recall, more), more).select(F.col("_row").alias("node"), "bands"), "signatures")
+        dealt = dealt.filter(F.col("blocks") <= most_blocks).unionByName(_dealt(_candidates(banded), reps, block_shingles, block_texts))
+
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sets = shingle_sets(common.semi(texts, F.col("node"), dealt.select("node")), words)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = (
         dealt.join(sets, "node")
@@ -205,11 +227,11 @@ def _linked(held: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, r
     classes = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     by_node = reps.select("key", "node", "copies").join(links, "node", "left").join(classes, "node", "left")
-    by_key = by_node.select("key", F.coalesce("component", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return sig.select("_row", "doc_id", "key").join(by_key, "key").select("_row", "doc_id", "root", "n_links")
+    by_key = common.cut(by_node.select("key", "copies", F.coalesce("component", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes-by-key")
+    return common.join_counted(sig.select("_row", "doc_id", "key"), by_key, ["key"], "copies").select("_row", "doc_id", "root", "n_links")
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: int = 5, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS) -> DataFrame:
+def jaccard_classes(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, class_id, n_links): one row per row of ``docs`` (doc_id, text, ...).
 
     n_links is the number of other rows whose n-gram sets are at least as similar as the
@@ -218,28 +240,31 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     empty; texts without words link to equal texts only.  A row without doc_id comes
     after all others; a class is null if no row of it has an id.  Repeated rows are copies of
     each other; rows of one doc_id with different texts are rows of their own.  Other columns are not read.
+    ``options`` are those of ``_linked``: threshold, words, recall, rows of a band, limits of blocks.
     """
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     own = docs.select("doc_id", "text")
-    found = _linked(common.numbered(own, place, "near-rows"), threshold, words, recall, rows, block_shingles, block_texts)
+    held, _ = common.numbered(own, place, "near-rows")
+    found = _linked(held, **options)
     if common.distinct(own, place):
         return found.select("doc_id", F.when(F.col("root") == F.col("_row"), F.col("doc_id")).otherwise(F.col("root")).alias("class_id"), "n_links")
     found = common.cut(found, "near-classes")
-    ids = found.filter("root = _row").select("root", F.col("doc_id").alias("class_id"))
-    return found.join(ids, "root").select("doc_id", "class_id", "n_links")
+    sizes = found.groupBy("root").agg(F.count("*").alias("c"))
+    ids = common.cut(sizes.join(found.filter("root = _row").select("root", F.col("doc_id").alias("class_id")), "root"), "class-ids")
+    return common.join_counted(found, ids, ["root"], "c").select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The first row of each class of ``docs`` in the order of doc_id, and of its rows without an id the first too.
 
-    Rows that share a doc_id but not their texts are told apart.
+    Rows that share a doc_id but not their texts are told apart.  All columns stay, whatever their names.
     """
-    held = common.numbered(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "near-rows")
-    classes = common.cut(_linked(held, **options), "classes")
+    held, row = common.numbered(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "near-rows")
+    classes = common.cut(_linked(held.select(F.col(row).alias("_row"), "doc_id", "text"), **options), "classes")
     unnamed = classes.filter("doc_id is null")
-    firsts = unnamed.groupBy("root").agg(F.min("_row").alias("first"))
-    drop = classes.filter("doc_id is not null and _row <> root").select("_row").union(unnamed.join(firsts, "root").filter("_row <> first").select("_row"))
-    return common.anti(held, F.col("_row"), drop).select(*docs.columns)
+    firsts = unnamed.groupBy("root").agg(F.min("_row").alias("first")).select("first")
+    drop = classes.filter("doc_id is not null and _row <> root").select("_row").union(common.anti(unnamed.select("_row"), F.col("_row"), firsts))
+    return common.anti(held, F.col(row), drop).select(*map(common.col, docs.columns))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,36 +179,40 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN, words: int = WORDS
     occurrence within a row goes too, unless it overlaps the first.  Of a passage, parts of words at its edges stay.
     Columns named n_removed or removed are replaced.  An empty table gives none.
     """
-    keep = [c for c in docs.columns if c not in ("n_removed", "removed")]
-    held = common.numbered(docs.select(*keep), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "substring-rows")
+    keep = [c for c in docs.columns if c.lower() not in ("n_removed", "removed")]
+    base, row = common.numbered(docs.select(*map(common.col, keep)), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "substring-rows")
+    held = base.select(F.col(row).alias("_row"), "text")
 
     digests = common.cut(held.filter("text <> ''").select("_row", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2")), "text-digests")
-    texts = digests.groupBy("h1", "h2").agg(F.min("_row").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = common.cut(digests.join(texts, ["h1", "h2"]).filter("_row <> first").select("_row"), "text-copies")
-    own = common.anti(held.select("_row", "text"), F.col("_row"), copies)
+    texts = common.cut(digests.groupBy("h1", "h2").agg(F.min("_row").alias("first"), F.count("*").alias("n")).filter("n > 1"), "equal-texts")
+    copies = common.cut(common.join_counted(digests, texts, ["h1", "h2"], "n").filter("_row <> first").select("_row"), "text-copies")
+    own = common.anti(held, F.col("_row"), copies)
 
     table = common.cut(stretch_table(own, min_run, words), "stretches")
-    often = table.groupBy("digest").agg(F.min("_row").alias("first"), F.count("*").alias("n"), (F.min("stretch") != F.max("stretch")).alias("several")).filter("n > 1").drop("n")
-    shared = common.cut(table.join(often, "digest").filter("several or again or _row <> first"), "shared-stretches")
+    often = table.groupBy("digest").agg(F.min("_row").alias("first"), F.count("*").alias("n"), (F.min("stretch") != F.max("stretch")).alias("several")).filter("n > 1")
+    shared = common.cut(common.join_counted(table, common.cut(often, "often"), ["digest"], "n").drop("n").filter("several or again or _row <> first"), "shared-stretches")
     several = shared.filter("several").drop("first")
-    heads = several.groupBy("digest", "stretch").agg(F.min("_row").alias("first"))
-    resolved = shared.filter("not several").select("_row", "digest", "span", "first").union(several.join(heads, ["digest", "stretch"]).select("_row", "digest", "span", "first"))
+    heads = common.cut(several.groupBy("digest", "stretch").agg(F.min("_row").alias("first"), F.count("*").alias("n")), "heads")
+    headed = common.join_counted(several, heads, ["digest", "stretch"], "n")
+    resolved = shared.filter("not several").select("_row", "digest", "span", "first").union(headed.select("_row", "digest", "span", "first"))
     resolved = common.cut(resolved.select("_row", "digest", "span", (F.col("_row") != F.col("first")).alias("later")), "resolved-stretches")
 
     left = common.cut(resolved.filter("not later").groupBy(F.col("_row").alias("_of")).agg(F.collect_list("digest").alias("_shared")), "shingles-left")
-    maybe, _ = common.split(held.select("_row", "text"), F.col("_row"), left.select("_of"))
+    maybe, _ = common.split(held, F.col("_row"), left.select("_of"))
     found = common.cut(passage_table(maybe.join(left, F.col("_row") == F.col("_of")), min_run, words), "passages")
     known = found.filter("h1 is not null")
-    first = known.groupBy("h1", "h2").agg(F.min("_row").alias("first"), F.max("_row").alias("most")).filter("most <> first").drop("most")
-    later = known.join(first, ["h1", "h2"]).filter("_row <> first").select("_row", "span").union(found.filter("h1 is null").select("_row", "span"))
+    first = known.groupBy("h1", "h2").agg(F.min("_row").alias("first"), F.max("_row").alias("most"), F.count("*").alias("n")).filter("most <> first").drop("most")
+    later = common.join_counted(known, common.cut(first, "first-passages"), ["h1", "h2"], "n").filter("_row <> first").select("_row", "span").union(found.filter("h1 is null").select("_row", "span"))
     later = later.union(resolved.filter("later").select("_row", "span"))
     spans = later.groupBy("_row").agg(F.collect_list("span").alias("_spans")).union(copies.select("_row", F.array(F.lit(-1).cast("long"))))
-    spans = common.cut(spans.withColumnRenamed("_row", "_of"), "repeated-spans")
+    of, which = common.fresh(base, "_of"), common.fresh(base, "_spans")
+    spans = common.cut(spans.select(F.col("_row").alias(of), F.col("_spans").alias(which)), "repeated-spans")
 
-    maybe, others = common.split(held, F.col("_row"), spans.select("_of"))
-    joined = maybe.join(spans, F.col("_row") == F.col("_of"), "left").select(*keep, "_spans").union(others.select(*keep, F.lit(None).cast("array<long>")))
+    maybe, others = common.split(base, F.col(row), spans.select(of))
+    columns = list(map(common.col, keep))
+    joined = maybe.join(spans, F.col(row) == F.col(of), "left").select(*columns, which).union(others.select(*columns, F.lit(None).cast("array<long>")))
     at = keep.index("text")
-    schema = common.with_field(docs.select(*keep).schema, "n_removed", "long")
+    schema = common.with_field(docs.select(*columns).schema, "n_removed", "long")
     schema = common.with_field(schema, "removed", "array<struct<start:bigint,`end`:bigint>>")
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
