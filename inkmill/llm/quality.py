@@ -154,17 +154,20 @@ class FactorisationMachine:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> FactorisationMachine:
     """Fit on labelled documents whose crc32(doc_id) mod 4 is not 2.
 
-    At most about ``max_rows`` labels are taken, those with the lowest hashes of
-    doc_id; the sample is so bounded, and so is what the driver collects.  Without
+    At most about ``max_rows`` labelled ids are taken, those with the lowest hashes of
+    doc_id; the sample is so bounded, and so is what the driver collects.  An id that is labelled several times counts
+    once, by its higher label; one with several texts by the least of them.  Without
     any usable label the model is the constant 0.5.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)").filter(common.remainder("_id", 4) != 2)
+    known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
     n = known.count()
     if n > max_rows:
-        known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < int(1_000_003 * max_rows / n))
+        known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 62)) < (max_rows << 62) // n)
     has = "n_chars" in docs.columns
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", (F.col("n_chars").cast("long") if has else F.lit(None).cast("long")).alias("stated"))
-    rows = texts.join(F.broadcast(known), "_id").select("text", "stated", "_y")  # bounded by max_rows
+    rows = texts.join(F.broadcast(known), "_id")  # bounded by max_rows
+    rows = rows.groupBy("_id", "_y").agg(F.min(F.struct("text", "stated")).alias("r")).select("r.text", "r.stated", "_y")
 
     def extract(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, stated = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -197,8 +200,8 @@ def score(docs: DataFrame, model: FactorisationMachine, column: str = "score") -
     empty; a table without ``n_chars`` is scored as one whose lengths are unknown.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c != column]
-    base = docs.select(*keep)
+    keep = [c for c in docs.columns if c.lower() != column.lower()]
+    base = docs.select(*map(common.col, keep))
     stated = "n_chars" in keep
     schema = common.with_field(base.schema, column, "double")
 
@@ -212,8 +215,9 @@ def score(docs: DataFrame, model: FactorisationMachine, column: str = "score") -
 
 
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Documents that the classifier keeps, with their columns."""
-    return score(docs, train(docs, labels, max_rows), "_quality").filter(F.col("_quality") >= threshold).select(*docs.columns)
+    """Documents that the classifier keeps, with their columns, whatever their names; null texts are scored as empty ones."""
+    column = common.fresh(docs, "_quality")
+    return score(docs, train(docs, labels, max_rows), column).filter(F.col(column) >= threshold).select(*map(common.col, docs.columns))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
