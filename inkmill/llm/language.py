@@ -3,7 +3,8 @@
 Each learned language has a zstandard raw-content dictionary, made of fragments
 of its documents.  A text's words, without immediate repeats, are encoded with every dictionary, in chunks so that the
 dictionary matters throughout; the language of the smallest total is chosen.
-Equal totals (very short texts) go to the dictionary with more of the words.
+A few words are too short for that: a block that would not shrink is stored as it is, in every language alike.  Equal totals
+are therefore encoded anew, each part of the text after a filler that shrinks, so that a match with a dictionary shows.
 The margin to the second smallest tells how sure that is, and narrow margins
 are rejected.
 """
@@ -27,6 +28,8 @@ MAX_DOCS = 256
 FRAGMENT = 384
 CHUNK = 2048
 LEVEL = -1
+#: What precedes each part, and the level, where totals are equal.
+FILLER, FINE_LEVEL = b"_" * 64, 3
 #: Least relative margin of a choice that is not rejected.
 MARGIN = 0.02
 SHARPNESS = 60.0
@@ -41,17 +44,17 @@ def normal(text: str) -> str:
 def learn(docs: DataFrame, max_docs: int = MAX_DOCS, fragment: int = FRAGMENT) -> dict[str, bytes]:
     """Dictionaries of the languages that ``lang`` names.
 
-    Of each language about ``max_docs`` documents with the lowest hashes of doc_id are
+    Of each language about ``max_docs`` different texts with the lowest hashes are
     taken, and ``fragment`` characters from the middle of each: what reaches the
-    driver is bounded by languages x 2 max_docs x fragment.
+    driver is bounded by languages x 2 max_docs x fragment, however many copies a text has.
     """
-    texts = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", "text")
-    counts = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
+    texts = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("text").alias("h"), "text")
+    counts = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    place = F.pmod(F.xxhash64("h"), F.lit(1 << 62))
     wanted = F.lit(False)
     for lang, n in sorted(counts.items()):
-        wanted = wanted | ((F.col("lang") == lang) & (place <= int(1_000_003 * min(1.0, 2 * max_docs / n))))
-    rows = texts.filter(wanted).select("lang", F.xxhash64("doc_id").alias("h"), "text")
+        wanted = wanted | ((F.col("lang") == lang) & (place < (1 << 62) * min(n, 2 * max_docs) // n))
+    rows = texts.filter(wanted).dropDuplicates(["lang", "h"])
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
         parts = [normal(t) for t in b.column(2).to_pylist()]
@@ -81,36 +84,38 @@ class Classifier:
     def __setstate__(self, state):
         self.dictionaries, self.level, self.chunk = state
 
-    def _compressors(self):
-        if "_made" not in self.__dict__:
+    def _compressors(self, level: int):
+        made = self.__dict__.setdefault("_made", {})
+        if level not in made:
             import zstandard as z
 
-            self._made = []
+            made[level] = []
             for data in self.dictionaries.values():
                 d = z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(level=self.level)
-                self._made.append(z.ZstdCompressor(level=self.level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
-        return self._made
-
-    def _words(self):
-        if "_held" not in self.__dict__:
-            self._held = [set(d.decode().split()) for d in self.dictionaries.values()]
-        return self._held
+                d.precompute_compress(level=level)
+                made[level].append(z.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
+        return made[level]
 
     def sizes(self, text: str) -> np.ndarray:
         data = normal(text).encode("utf-8", "replace")
         chunks = [data[i : i + self.chunk] for i in range(0, len(data), self.chunk)]
-        return np.array([sum(len(f(c)) for c in chunks) for f in self._compressors()])
+        return np.array([sum(len(f(c)) for c in chunks) for f in self._compressors(self.level)])
+
+    def fine_sizes(self, text: str) -> np.ndarray:
+        """Totals of the text, its words and its halves, each after a filler that makes a block shrink anyhow."""
+        t = normal(text)
+        parts = {t, *t.split(), t[1:], t[:-1], t[: len(t) // 2 + 2], t[max(0, len(t) // 2 - 2) :]}
+        data = [FILLER + f" {x} ".encode("utf-8", "replace") for x in parts]
+        return np.array([sum(len(f(c)) for c in data) for f in self._compressors(FINE_LEVEL)])
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and relative margin; ``und`` if the text has no letter or nothing was learned."""
         if not text or not self.dictionaries or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0
         sizes = self.sizes(text)
+        if (sizes == sizes.min()).sum() > 1:
+            sizes = np.where(sizes == sizes.min(), self.fine_sizes(text), np.iinfo(np.int64).max >> 8)
         best = int(sizes.argmin())
-        if (sizes == sizes[best]).sum() > 1:
-            words = set(normal(text).split())
-            best = max(np.flatnonzero(sizes == sizes[best]).tolist(), key=lambda i: len(words & self._words()[i]))
         others = np.delete(sizes, best)
         second = int(others.min()) if len(others) else int(sizes[best]) * 2
         margin = (second - int(sizes[best])) / second
@@ -123,12 +128,13 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
 
     lang_pred is the best language also where ``rejected`` says that its margin is narrow;
     it is ``und`` with score 0, and rejected, if the text is null or has no letter.  Columns of these
-    names are replaced.  Ties go to the first language in order.  Only the
+    names are replaced; others stay, whatever their names.  Where even the parts of a text take
+    the same room in several languages, the first in order is the best, with an equal share of the score and margin 0.  Only the
     text is read for a prediction.  Repeated rows stay; an empty table stays empty.
     """
     model = docs.sparkSession.sparkContext.broadcast(Classifier(dictionaries))  # a bounded fragment of each language
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "rejected")]
-    base = docs.select(*keep)
+    keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "margin", "rejected")]
+    base = docs.select(*map(common.col, keep))
     schema = base.schema
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("margin", "double"), ("rejected", "boolean")):
         schema = common.with_field(schema, name, kind)
