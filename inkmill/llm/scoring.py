@@ -5,11 +5,13 @@ has no count, it is ``alpha`` times the score one order below.  Counts
 come from all other documents: a document's own are taken off (else every n-gram
 would be known).  A document's score is the sum of its words' logarithms.
 
-The plan is an exploded n-gram relation, aggregated by n-gram, joined back and
-summed per document, in a packed form: documents are dealt to blocks by hash,
-a block sends each of its distinct n-grams once, to the bucket of its hash; a bucket adds up
-the counts of all blocks and answers each block in the order it was asked.  A
-frequent n-gram is so one entry a block, however many documents have it.
+1. Documents are dealt to blocks, and a block's n-grams of all orders are exploded to rows, a row for each
+   distinct one with its count.  A frequent n-gram is so one row a block, however many documents have it.
+   The order 0, one n-gram that every word has, counts the words of the corpus.
+2. The rows are partitioned by the n-gram's hash, and summed to the count table there.  It keeps the n-grams that
+   two documents have: another's count without its own is 0.
+3. The count table is joined to the exploded n-grams, in the partitions where both are.
+4. Joined rows meet their documents by block, and are summed per document.
 """
 
 from __future__ import annotations
@@ -24,26 +26,13 @@ from pyspark.sql import functions as F
 from inkmill.llm import common
 from inkmill.llm.wordhash import blocks, mix, words_of
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
-BLOCK_CHARS = 10_000_000
-
-
-def sizes_of(docs: DataFrame) -> tuple[int, int]:
-    """Characters and words of all texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chars = words = 0
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                texts = b.column(0).slice(at, 1000).to_pylist()
-                for lo, hi in blocks(texts):
-                    chars += sum(len(t or "") for t in texts[lo:hi])
-                    words += int(words_of(texts[lo:hi])[1][-1])
-        yield pa.RecordBatch.from_arrays([pa.array([chars]), pa.array([words])], names=["chars", "words"])
-
-    got = docs.select("text").mapInArrow(run, "chars long, words long").agg(F.sum("chars"), F.sum("words")).first()
-    return int(got[0] or 0), int(got[1] or 0)
+#: Characters of a block on average; one longer text is a block's worth by itself.
+BLOCK_CHARS = 5_000_000
+#: The n-gram of order 0.
+_EMPTY = np.uint64(0)
+_LAST = (1 << 63) - 1
 
 
 def block_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,68 +43,50 @@ def block_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.concatenate([[0], np.cumsum(counts)])
 
 
-def ngrams(words: np.ndarray, order: int) -> list[np.ndarray]:
-    """For k = 1 to order the hashes of the k-grams that end at each word; those that would begin before a text are hashes of fewer words and not to be used."""
-    out = [mix(words + np.uint64(1))]
+def ngrams(words: np.ndarray, offsets: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For k = 1 to order: the words where a k-gram of their text ends, and the hashes of these k-grams."""
+    place = np.arange(len(words)) - np.repeat(offsets[:-1], np.diff(offsets))
+    gram = mix(words + np.uint64(1))
+    yield np.arange(len(words)), gram
     for k in range(2, order + 1):
         longer = np.zeros(len(words), np.uint64)
-        longer[k - 1 :] = mix(out[-1][k - 1 :] * np.uint64(0x9E3779B97F4A7C15) + mix(words[: len(words) - k + 1] ^ np.uint64(k)))
-        out.append(longer)
-    return out
-
-
-def distinct_ngrams(words: np.ndarray, offsets: np.ndarray, order: int):
-    """Sorted distinct n-grams of a block with their counts, the n-grams by order, and where each word's stand in the first."""
-    place = np.arange(len(words)) - np.repeat(offsets[:-1], np.diff(offsets))
-    grams = ngrams(words, order)
-    used = [g[place >= k] for k, g in enumerate(grams)]
-    keys, inverse, counts = np.unique(np.concatenate(used), return_inverse=True, return_counts=True)
-    at = []
-    for k, part in enumerate(np.split(inverse, np.cumsum([len(u) for u in used])[:-1])):
-        full = np.full(len(words), -1, np.int64)
-        full[place >= k] = part
-        at.append(full)
-    return keys, counts, grams, at
+        longer[k - 1 :] = mix(gram[k - 1 :] * np.uint64(0x9E3779B97F4A7C15) + mix(words[: max(0, len(words) - k + 1)] ^ np.uint64(k)))
+        gram = longer
+        ends = np.flatnonzero(place >= k - 1)
+        yield ends, gram[ends]
 
 
-def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's range of the sorted hashes begins; buckets are equal ranges of hash values."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
-
-
-def _packed(counts: np.ndarray) -> bytes:
-    import zstandard
-
-    wide = np.uint64 if len(counts) and counts.max() >= 1 << 32 else np.uint32
-    return (b"\x08" if wide is np.uint64 else b"\x04") + zstandard.ZstdCompressor(level=1).compress(counts.astype(wide).tobytes())
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    import zstandard
-
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint64 if data[0] == 8 else np.uint32).astype(np.int64)
+def exploded(words: np.ndarray, offsets: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct n-grams of a block by order: hashes, counts, and whether a single document has each."""
+    yield np.array([_EMPTY]), np.array([len(words)]), np.array([False])
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    for ends, gram in ngrams(words, offsets, order):
+        if len(ends):
+            turn = np.argsort(gram, kind="stable")
+            gram, own = gram[turn], owner[ends][turn]
+            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            last = np.append(first[1:], len(gram)) - 1
+            yield gram[first], last - first + 1, own[first] == own[last]
 
 
-def backoff(grams: list[np.ndarray], at: list[np.ndarray], offsets: np.ndarray, totals: np.ndarray, n_words: int, alpha: float) -> np.ndarray:
-    """Log scores of all words of a block, by the counts of all other documents."""
+def log_scores(words: np.ndarray, offsets: np.ndarray, order: int, alpha: float, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Log scores of all words of a block, by the counts of all other documents; ``grams`` are sorted, the first is the empty one."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    place = np.arange(len(owner)) - offsets[:-1][owner]
     salt = mix(owner.astype(np.uint64) + np.uint64(0x5BD1E995))
-    others = []
-    for gram, where in zip(grams, at, strict=True):
-        use = where >= 0
-        _, inverse, own = np.unique((gram ^ salt)[use], return_inverse=True, return_counts=True)
-        other = np.zeros(len(gram), np.int64)
-        other[use] = totals[where[use]] - own[inverse]
-        others.append(other)
-    rest = np.maximum(1, n_words - np.diff(offsets))[owner]
-    score = np.log(np.maximum(1, others[0])) - np.log(rest)
-    for k in range(1, len(grams)):
-        context = np.concatenate([[0], others[k - 1][:-1]]) if len(owner) else others[k - 1]
-        known = (others[k] > 0) & (place >= k)
-        better = np.log(np.maximum(1, others[k])) - np.log(np.maximum(1, context))
-        score = np.where(known, better, np.where(place >= k, score + np.log(alpha), score))
+    n_words = np.diff(offsets)
+    context = np.log(np.maximum(1, totals[0] - n_words))[owner]
+    score = np.zeros(len(words))
+    for k, (ends, gram) in enumerate(ngrams(words, offsets, order), 1):
+        _, inverse, own = np.unique(gram ^ salt[ends], return_inverse=True, return_counts=True)
+        at = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
+        others = np.where(grams[at] == gram, totals[at] - own[inverse], 0)
+        logs = np.log(np.maximum(1, others))
+        if k == 1:
+            score[ends] = logs - context[ends]
+        else:
+            score[ends] = np.where(others > 0, logs - context[ends - 1], score[ends] + np.log(alpha))
+        context = np.zeros(len(words))
+        context[ends] = logs
     return score
 
 
@@ -127,42 +98,34 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_chars
     Null and repeated ids are allowed: every row is a document of its own, and copies count for each other.
     Other columns are not read; an empty table gives none.
     """
-    chars, words = sizes_of(docs)
-    n = max(1, -(-chars // block_chars))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = own.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block"), "doc_id", "text")
-
-    def ask(t: pa.Table) -> pa.Table:
-        keys, counts, _, _ = distinct_ngrams(*block_words(t["text"].to_pylist()), order)
-        edges = _bounds(keys, n)
-        full = np.flatnonzero(np.diff(edges))
-        block = t["block"][0].as_py()
-        return pa.table({"bucket": pa.array(full.astype(np.int64)), "block": pa.array([block] * len(full), pa.int64()), "keys": pa.array([keys[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()), "counts": pa.array([_packed(counts[edges[i] : edges[i + 1]]) for i in full], pa.binary())})
-
-    def answer(t: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, np.uint64) for k in t["keys"].to_pylist()]
-        counts = np.concatenate([_unpacked(c) for c in t["counts"].to_pylist()])
-        every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.zeros(len(every), np.int64)
-        np.add.at(totals, inverse, counts)
-        parts = np.split(totals[inverse], np.cumsum([len(k) for k in keys])[:-1])
-        return pa.table({"block": t["block"], "bucket": t["bucket"], "totals": pa.array([_packed(p) for p in parts], pa.binary())})
+    rows, row = common.numbered(own, F.coalesce("doc_id", F.lit(_LAST)), "scored-rows")
+    n = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
+    dealt = rows.select(F.pmod(F.xxhash64(row), F.lit(n)).alias("block"), "doc_id", "text").repartition(n, "block")
+
+    def explode(d: pa.Table) -> pa.Table:
+        parts = [*zip(*exploded(*block_words(d["text"].to_pylist()), order), strict=True)]
+        gram, count, single = (np.concatenate(x) for x in parts)
+        return pa.table({"gram": pa.array(gram.view(np.int64)), "block": pa.array(np.full(len(gram), d["block"][0].as_py())), "n": pa.array(count.astype(np.int64)), "single": pa.array(single)})
 
     def finish(d: pa.Table, a: pa.Table) -> pa.Table:
-        words_, offsets = block_words(d["text"].to_pylist())
+        words, offsets = block_words(d["text"].to_pylist())
         n_words = np.diff(offsets)
         total = np.zeros(len(n_words))
-        if len(words_):
-            _, _, grams, at = distinct_ngrams(words_, offsets, order)
-            rows = sorted(zip(a["bucket"].to_pylist(), a["totals"].to_pylist(), strict=True))
-            logs = backoff(grams, at, offsets, np.concatenate([_unpacked(x) for _, x in rows]), words, alpha)
+        if len(words):
+            grams = a["gram"].to_numpy().view(np.uint64)
+            turn = np.argsort(grams)
+            logs = log_scores(words, offsets, order, alpha, grams[turn], a["total"].to_numpy()[turn])
             full = n_words > 0
             total[full] = np.add.reduceat(logs, offsets[:-1][full])
         return pa.table({"doc_id": d["doc_id"], "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(total)})
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket long, block long, keys binary, counts binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, totals binary")
-    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, "doc_id long, n_words long, log_score double")
+    grams = dealt.groupBy("block").applyInArrow(explode, "gram long, block long, n long, single boolean").repartition(n, "gram")
+    # Rows of one n-gram are in one partition, where they are counted and joined without another shuffle.
+    shared = (F.count("*") > 1) | ~F.bool_and("single")
+    counts = grams.groupBy("gram").agg(F.sum("n").alias("total"), shared.alias("shared")).filter("shared").drop("shared")
+    known = grams.select("gram", "block").join(counts.hint("shuffle_hash"), "gram")
+    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(finish, "doc_id long, n_words long, log_score double")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,20 +135,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') AS w FROM documents),
-t AS (SELECT doc_id, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
-own1 AS (SELECT doc_id, word, count(*) AS n FROM t GROUP BY ALL),
-own2 AS (SELECT doc_id, prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY ALL),
-all1 AS (SELECT word, sum(n) AS n FROM own1 GROUP BY ALL),
-all2 AS (SELECT prev, word, sum(n) AS n FROM own2 GROUP BY ALL),
+t AS (
+  SELECT doc_id, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+),
+own1 AS (SELECT doc_id, c, count(*) AS n FROM t GROUP BY ALL),
+own2 AS (SELECT doc_id, b, c, count(*) AS n FROM t WHERE b IS NOT NULL GROUP BY ALL),
+own3 AS (SELECT doc_id, a, b, c, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY ALL),
+all1 AS (SELECT c, sum(n) AS n FROM own1 GROUP BY ALL),
+all2 AS (SELECT b, c, sum(n) AS n FROM own2 GROUP BY ALL),
+all3 AS (SELECT a, b, c, sum(n) AS n FROM own3 GROUP BY ALL),
+other1 AS (SELECT doc_id, c, all1.n - own1.n AS n FROM own1 JOIN all1 USING (c)),
+other2 AS (SELECT doc_id, b, c, all2.n - own2.n AS n FROM own2 JOIN all2 USING (b, c)),
+other3 AS (SELECT doc_id, a, b, c, all3.n - own3.n AS n FROM own3 JOIN all3 USING (a, b, c)),
 total AS (SELECT count(*) AS n FROM t),
 logs AS (
-  SELECT d1.doc_id,
-    CASE WHEN d1.prev IS NOT NULL AND g.n - o.n > 0 THEN ln(g.n - o.n) - ln(greatest(1, c.n - oc.n))
-         ELSE CASE WHEN d1.prev IS NOT NULL THEN ln(0.4) ELSE 0 END + ln(greatest(1, u.n - ou.n)) - ln(greatest(1, total.n - len(d.w))) END AS s
-  FROM t d1 JOIN d USING (doc_id) CROSS JOIN total
-  JOIN all1 u ON u.word = d1.word JOIN own1 ou ON ou.doc_id = d1.doc_id AND ou.word = d1.word
-  LEFT JOIN all1 c ON c.word = d1.prev LEFT JOIN own1 oc ON oc.doc_id = d1.doc_id AND oc.word = d1.prev
-  LEFT JOIN all2 g ON g.prev = d1.prev AND g.word = d1.word LEFT JOIN own2 o ON o.doc_id = d1.doc_id AND o.prev = d1.prev AND o.word = d1.word
+  SELECT t.doc_id,
+    CASE WHEN g.n > 0 THEN ln(g.n) - ln(greatest(1, gc.n)) ELSE CASE WHEN t.a IS NOT NULL THEN ln(0.4) ELSE 0 END +
+      CASE WHEN h.n > 0 THEN ln(h.n) - ln(greatest(1, hc.n)) ELSE CASE WHEN t.b IS NOT NULL THEN ln(0.4) ELSE 0 END +
+        ln(greatest(1, u.n)) - ln(greatest(1, total.n - len(d.w))) END END AS s
+  FROM t JOIN d USING (doc_id) CROSS JOIN total
+  JOIN other1 u ON u.doc_id = t.doc_id AND u.c = t.c
+  LEFT JOIN other2 h ON h.doc_id = t.doc_id AND h.b = t.b AND h.c = t.c
+  LEFT JOIN other1 hc ON hc.doc_id = t.doc_id AND hc.c = t.b
+  LEFT JOIN other3 g ON g.doc_id = t.doc_id AND g.a = t.a AND g.b = t.b AND g.c = t.c
+  LEFT JOIN other2 gc ON gc.doc_id = t.doc_id AND gc.b = t.a AND gc.c = t.b
 ), sums AS (SELECT doc_id, sum(s) AS s FROM logs GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, round(coalesce(s, 0), 3) AS log_score FROM d LEFT JOIN sums USING (doc_id)
 """
