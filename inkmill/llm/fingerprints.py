@@ -6,14 +6,15 @@ subsets of the lexicon.  The subsets take an 8th to a 512th of it, so that texts
 subsets with a few of their terms: the likeness of two fingerprints is the share
 of equal hashes among those that either text has.
 
-Document frequencies are counted for 2**18 hashed terms over all documents, so
+Document frequencies are counted over all documents in a count-min sketch, two rows of 2**18 hashed terms, so
 what the driver collects and broadcasts has a fixed size at any size of corpus.
-A rare term's count includes those of terms of the same hash.
+A term's count is the least of its two, so a rare term counts as a frequent one only if it shares a bucket with one in both rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,48 +27,63 @@ from inkmill.llm import common
 from inkmill.llm.wordhash import BLOCK_CHARS, blocks, distinct_in_groups, mix, words_of
 
 BUCKETS = 1 << 18
+SKETCH_ROWS = 2
 #: The band: terms in 5 % of the documents at most, and in 0.04 % at least.
 IDF_LOW, IDF_HIGH = 3.0, 7.8
 #: Bits of a hash that must be 0 for a term to be in a subset, and subsets of each kind.
 RATES = (3, 5, 7, 9)
 REPEATS = 10
 HASHES = 1 + len(RATES) * REPEATS
-#: Characters that one unit of the pass over neighbours holds on average.
+#: Characters that one unit of the pass over neighbours holds on average, while there are at most so many units.
 UNIT_CHARS = 12_000_000
+MAX_UNITS = 1 << 14
+#: Rows for each unit, on average, that tell where units end.
+SAMPLE = 16
+
+
+def sketch_places(terms: np.ndarray) -> np.ndarray:
+    """Buckets of the terms in each row of the sketch (rows x terms)."""
+    return np.stack([mix(terms ^ np.uint64(0xC2B2AE3D27D4EB4F * r & 0xFFFFFFFFFFFFFFFF)) % np.uint64(BUCKETS) + np.uint64(r * BUCKETS) for r in range(SKETCH_ROWS)]).astype(np.int64)
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
-    """How many documents have each hashed term, and how many documents there are."""
+    """The sketch of how many documents have each term (rows x buckets), and how many documents there are."""
+    size = SKETCH_ROWS * BUCKETS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(BUCKETS + 1, np.int64)  # the last counts documents
+        held = np.zeros(size + 1, np.int64)  # the last counts documents
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 texts = b.column(0).slice(at, 1000).to_pylist()
-                held[BUCKETS] += len(texts)
+                held[size] += len(texts)
                 for lo, hi in blocks(texts):
-                    w, offsets = words_of(texts[lo:hi])
-                    held[:BUCKETS] += np.bincount(distinct_in_groups((w % np.uint64(BUCKETS)), offsets)[0].astype(np.int64), minlength=BUCKETS)
+                    terms = distinct_in_groups(*words_of(texts[lo:hi]))[0]
+                    held[:size] += np.bincount(sketch_places(terms).reshape(-1), minlength=size)
         full = np.flatnonzero(held)
         if len(full):
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(held[full])], names=["bucket", "n"])
 
     got = docs.select(text_col).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS + 1, np.int64)
+    out = np.zeros(size + 1, np.int64)
     out[got["bucket"].to_numpy()] = got["n"].to_numpy()
-    return out[:BUCKETS], int(out[BUCKETS])
+    return out[:size].reshape(SKETCH_ROWS, BUCKETS), int(out[size])
 
 
 @dataclass
 class Lexicon:
-    """Which hashed terms are in the band; one bit a bucket."""
+    """Which terms are in the band: by sketch bucket, whether its count is not too small, and not too large."""
 
-    kept: np.ndarray
+    enough: np.ndarray
+    few: np.ndarray
 
     @classmethod
-    def of(cls, df: np.ndarray, n: int, low: float = IDF_LOW, high: float = IDF_HIGH) -> Lexicon:
-        idf = np.log(max(1, n) / np.maximum(df, 1))
-        return cls((df > 0) & (idf >= low) & (idf <= high))
+    def of(cls, sketch: np.ndarray, n: int, low: float = IDF_LOW, high: float = IDF_HIGH) -> Lexicon:
+        idf = np.log(max(1, n) / np.maximum(sketch.reshape(-1), 1))
+        return cls((sketch.reshape(-1) > 0) & (idf <= high), idf >= low)
+
+    def has(self, terms: np.ndarray) -> np.ndarray:
+        places = sketch_places(terms)
+        return self.enough[places].all(0) & self.few[places].any(0)
 
     def hashes(self, texts: list[str]) -> np.ndarray:
         """(texts x HASHES) 32-bit hashes; 0 where a subset has none of a text's terms.
@@ -75,7 +91,7 @@ class Lexicon:
         The first is of all kept terms; without any, of all words; without words, of the text.
         """
         w, offsets = words_of(texts)
-        inside = self.kept[(w % np.uint64(BUCKETS)).astype(np.int64)]
+        inside = self.has(w)
         owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
         has = np.zeros(len(texts), bool)
         has[owner[inside]] = True
@@ -128,9 +144,9 @@ def fingerprint(docs: DataFrame, lexicon: Lexicon, column: str = "fingerprint")
     A column of that name is replaced; equal texts have equal fingerprints.
     Repeated rows stay; an empty table stays empty.
     """
-    held = docs.sparkSession.sparkContext.broadcast(lexicon)  # 2**18 bytes
-    keep = [c for c in docs.columns if c != column]
-    base = docs.select(*keep)
+    held = docs.sparkSession.sparkContext.broadcast(lexicon)  # 2**20 bytes
+    keep = [c for c in docs.columns if c.lower() != column.lower()]
+    base = docs.select(*map(common.col, keep))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in b.column(keep.index("text")).to_pylist()]
@@ -140,55 +156,82 @@ def fingerprint(docs: DataFrame, lexicon: Lexicon, column: str = "fingerprint")
     return common.map_arrow(base, run, common.with_field(base.schema, column, "string"))
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    """Documents dealt to ranges of falling doc_id, each with the document that follows its last.
+def _falling(place: pa.Array, tie: pa.Array) -> np.ndarray:
+    """Sortable keys of the order of falling place and rising tie."""
+    pair = np.empty((len(place), 2), ">u8")
+    pair[:, 0] = ~(place.to_numpy().view(np.uint64) ^ np.uint64(1 << 63))
+    pair[:, 1] = tie.to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
+    return pair.view("V16").reshape(-1)
+
+
+def _ranks(cuts: list[bytes], keys: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``cuts`` are below each key."""
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    return np.array([bisect_left(cuts, k.tobytes()) for k in distinct], np.int64)[inverse]
 
-    Rows (unit, extra, place, doc_id, text): place is doc_id, the least long for null; ``extra`` rows stand at the
-    end of a unit and are the first of the next (after the last: of the first).
+
+def _units(docs: DataFrame, unit_chars: int = UNIT_CHARS, most: int = MAX_UNITS) -> tuple[DataFrame, int]:
+    """Documents dealt to ranges of the order, each with the document that follows its last; and the number of ranges.
+
+    Rows (unit, extra, place, tie, doc_id, text): place is doc_id, the least long for null, and tie a hash of the text, so
+    rows without an id are in many units.  ``extra`` rows stand at the
+    end of a unit and are the first of the next (after the last: of the first).  A bounded sample tells where units end;
+    that balances them only.
     """
     least = -(1 << 63)
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("place"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // UNIT_CHARS))
-    cuts = own.agg(F.percentile_approx("place", F.lit([i / n for i in range(1, n)] or [0.5]), F.lit(max(10_000, 4 * n)))).first()[0] or []
-    cuts = np.unique(np.array(cuts if n > 1 else [], np.int64))  # a number for each unit
-
-    def unit_of(places: np.ndarray) -> np.ndarray:
-        return len(cuts) - np.searchsorted(cuts, places, side="left")
+    own = own.select("place", F.xxhash64("text").alias("tie"), "doc_id", "text")
+    chars, rows = own.agg(F.sum(F.length("text")), F.count("*")).first()
+    n = max(1, min(most, -(-(chars or 0) // unit_chars)))
+    share = min(1 << 62, (SAMPLE * n << 62) // max(1, rows))
+    sample = own.select("place", "tie").filter(F.pmod(F.xxhash64("place", "tie"), F.lit(1 << 62)) < share).groupBy("place", "tie").agg(F.count("*").alias("n")).toArrow() if n > 1 else None
+    cuts: list[bytes] = []
+    if sample is not None and sample.num_rows:
+        sample = sample.combine_chunks()
+        keys = _falling(sample["place"].chunk(0), sample["tie"].chunk(0))
+        order = sorted(range(len(keys)), key=lambda i: keys[i].tobytes())
+        reach = np.cumsum(sample["n"].to_numpy()[order])
+        ends = np.unique(np.searchsorted(reach, reach[-1] * np.arange(1, n) / n))
+        cuts = [keys[order[i]].tobytes() for i in ends]
 
     def number(b: pa.RecordBatch) -> pa.RecordBatch:
-        places = b.column(0).to_numpy()
-        units = unit_of(places)
-        u = np.unique(units)
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.array([places[units == x].max() for x in u], np.int64))], names=["unit", "first"])
-
-    firsts = {r["unit"]: r["first"] for r in common.map_arrow(own.select("place"), number, "unit long, first long", rows=100_000).groupBy("unit").agg(F.max("first").alias("first")).collect()}
+        keys = _falling(b.column(0), b.column(1))
+        held: dict[int, bytes] = {}
+        for unit, key in zip(_ranks(cuts, keys).tolist(), keys, strict=True):
+            key = key.tobytes()
+            held[unit] = min(held.get(unit, key), key)
+        return pa.RecordBatch.from_arrays([pa.array([*held], pa.int64()), pa.array([*held.values()], pa.binary())], names=["unit", "first"])
+
+    firsts = {r["unit"]: bytes(r["first"]) for r in common.map_arrow(own.select("place", "tie"), number, "unit long, first binary", rows=100_000).groupBy("unit").agg(F.min("first").alias("first")).collect()}
     order = sorted(firsts)
-    before = {firsts[u]: order[i - 1] for i, u in enumerate(order)}  # the unit that ends with this place; unit 0 follows the last
+    before = {firsts[u]: order[i - 1] for i, u in enumerate(order)}  # the unit that ends with this row; the first follows the last
 
     def deal(b: pa.RecordBatch) -> pa.RecordBatch:
-        places = b.column(0).to_numpy()
-        again = np.flatnonzero(np.isin(places, np.array([*before], np.int64)))
-        take = pa.array(np.concatenate([np.arange(len(places)), again]))
-        units = np.concatenate([unit_of(places), np.array([before[int(p)] for p in places[again]], np.int64)])
-        extra = np.concatenate([np.zeros(len(places), np.int32), np.ones(len(again), np.int32)])
+        keys = _falling(b.column(0), b.column(1))
+        follows = [before.get(k.tobytes(), -1) for k in keys]
+        again = np.flatnonzero(np.array(follows, np.int64) >= 0)
+        take = pa.array(np.concatenate([np.arange(len(keys)), again]))
+        units = np.concatenate([_ranks(cuts, keys), np.array(follows, np.int64)[again]])
+        extra = np.concatenate([np.zeros(len(keys), np.int32), np.ones(len(again), np.int32)])
         rest = pa.Table.from_batches([b]).take(take).combine_chunks().to_batches()[0]
-        return pa.RecordBatch.from_arrays([pa.array(units), pa.array(extra), *rest.columns], names=["unit", "extra", "place", "doc_id", "text"])
+        return pa.RecordBatch.from_arrays([pa.array(units), pa.array(extra), *rest.columns], names=["unit", "extra", "place", "tie", "doc_id", "text"])
 
-    return common.map_arrow(own, deal, "unit long, extra int, place long, doc_id long, text string")
+    return common.map_arrow(own, deal, "unit long, extra int, place long, tie long, doc_id long, text string"), n
 
 
-def compare_edits(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+def compare_edits(docs: DataFrame, lexicon: Lexicon, unit_chars: int = UNIT_CHARS) -> DataFrame:
     """Fingerprints of each text and of its edit by the next document, and their likeness.
 
     The next document is that of the next lower doc_id; after the last comes the first.  The
     edit replaces the last half (floor) of the code points by the first as many, or all,
     of the next document.  Null texts are empty and null doc_ids last; among
-    equal doc_ids the order is that of the texts.  A single document is its own
+    equal doc_ids the order is that of the texts' hashes.  A single document is its own
     next.  Columns: doc_id, n_chars, edited, fingerprint, edited_fingerprint,
     near_edited, near_next.  An empty table gives no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
-    dealt = _units(docs).repartition("unit").sortWithinPartitions("unit", "extra", F.desc("place"), "text")
+    dealt, n = _units(docs, unit_chars)
+    dealt = dealt.repartition(n, "unit").sortWithinPartitions("unit", "extra", F.desc("place"), "tie", "text")
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def emit(rows: list[tuple], texts: list[str]) -> pa.RecordBatch:
