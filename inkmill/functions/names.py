@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkmill.functions.binding import bound
+
 MAX_BYTES = 220
 RAW_ROOT = "_raw/all/"
 #: Hex of a UTF-8 prefix that ends within a character: what stands before the incomplete one.
@@ -22,7 +24,7 @@ def stem(name: Column) -> Column:
 
 def suffix(name: Column) -> Column:
     """The last suffix with its dot, or ''."""
-    return F.substring(name, F.length(stem(name)) + 1, F.length(name))
+    return bound(name, lambda n: F.substring(n, F.length(stem(n)) + 1, F.length(n)))
 
 
 def extension(name: Column) -> Column:
@@ -40,12 +42,16 @@ def forward(path: Column) -> Column:
 def bounded(stem_: Column, ending: str, identity: Column, most: int = MAX_BYTES) -> Column:
     """The name, cut to ``most`` UTF-8 bytes and marked by a hash of the identity if it is longer."""
     tail = F.concat(F.lit("."), F.substring(F.sha2(identity.cast("binary"), 256), 1, 12), F.lit(ending))
-    cut = F.substring(F.hex(F.encode(stem_, "UTF-8")), 1, 2 * (most - 13 - len(ending)))
-    prefix = F.decode(F.unhex(F.regexp_replace(cut, _WHOLE, "$1")), "UTF-8")
-    prefix = F.regexp_replace(prefix, r"[ .]+\z", "")
-    longer = F.concat(F.when(prefix == "", "file").otherwise(prefix), tail)
-    whole = F.concat(stem_, F.lit(ending))
-    return F.when(F.octet_length(whole) <= most, whole).otherwise(longer)
+
+    def cut_to(stem_: Column) -> Column:
+        cut = F.substring(F.hex(F.encode(stem_, "UTF-8")), 1, 2 * (most - 13 - len(ending)))
+        prefix = F.decode(F.unhex(F.regexp_replace(cut, _WHOLE, "$1")), "UTF-8")
+        prefix = F.regexp_replace(prefix, r"[ .]+\z", "")
+        longer = bound(prefix, lambda p: F.concat(F.when(p == "", "file").otherwise(p), tail))
+        whole = F.concat(stem_, F.lit(ending))
+        return F.when(F.octet_length(whole) <= most, whole).otherwise(longer)
+
+    return bound(stem_, cut_to)
 
 
 def _short_hash(path: Column) -> Column:
@@ -54,9 +60,12 @@ def _short_hash(path: Column) -> Column:
 
 def raw_name(rel: Column) -> Column:
     """Name of a source's text in the archive: flat, and with a short hash if it was nested."""
-    path = forward(rel)
-    name = F.when(F.contains(path, F.lit("/")), F.concat(flat(path), F.lit("."), _short_hash(path))).otherwise(path)
-    return bounded(name, ".txt", path)
+
+    def of(path: Column) -> Column:
+        name = F.when(F.contains(path, F.lit("/")), F.concat(flat(path), F.lit("."), _short_hash(path))).otherwise(path)
+        return bounded(name, ".txt", path)
+
+    return bound(forward(rel), of)
 
 
 def raw_path(rel: Column) -> Column:
@@ -69,13 +78,20 @@ def md_name(rel: Column, name: Column) -> Column:
     With a relative path the suffix stays in the name, and nested paths are flat with a short hash; old
     records without one keep the bare stem.
     """
-    path = forward(F.when(rel != "", rel))
-    nested = F.coalesce(F.contains(path, F.lit("/")), F.lit(False))
-    own = F.when(nested, flat(path)).otherwise(base_name(forward(name)))
-    end = F.regexp_replace(suffix(own), r"\A\.+", "")
-    full = F.when(end != "", F.concat(stem(own), F.lit("."), end)).when(suffix(own) != "", F.concat(stem(own), F.lit("."))).otherwise(stem(own))
-    marked = F.when(nested, F.concat(full, F.lit("."), _short_hash(path))).otherwise(full)
-    return F.when(path.isNull(), bounded(stem(own), ".md", name)).otherwise(bounded(marked, ".md", path))
+
+    def of(x: Column) -> Column:
+        path, nested, own = x["path"], x["nested"], x["own"]
+        end = F.regexp_replace(suffix(own), r"\A\.+", "")
+        full = F.when(end != "", F.concat(stem(own), F.lit("."), end)).when(suffix(own) != "", F.concat(stem(own), F.lit("."))).otherwise(stem(own))
+        marked = F.when(nested, F.concat(full, F.lit("."), _short_hash(path))).otherwise(full)
+        return F.when(path.isNull(), bounded(stem(own), ".md", x["name"])).otherwise(bounded(marked, ".md", path))
+
+    def parts(x: Column) -> Column:
+        nested = F.coalesce(F.contains(x["path"], F.lit("/")), F.lit(False))
+        own = F.when(nested, flat(x["path"])).otherwise(base_name(forward(x["name"])))
+        return bound(F.struct(x["path"].alias("path"), x["name"].alias("name"), nested.alias("nested"), own.alias("own")), of)
+
+    return bound(F.struct(forward(F.when(rel != "", rel)).alias("path"), name.alias("name")), parts)
 
 
 def key(rel: Column, name: Column) -> Column:
@@ -84,9 +100,11 @@ def key(rel: Column, name: Column) -> Column:
 
 def safe(path: Column) -> Column:
     """True for a relative path that can't leave its root: no drive, root, empty or dotted component, NUL."""
-    p = forward(path)
-    bad = F.contains(p, F.lit("\0")) | p.rlike(r"\A/|\A[A-Za-z]:|\A\z") | p.rlike(r"(?s)(\A|/)(\.{0,2})(/|\z)")
-    return path.isNotNull() & ~bad
+
+    def good(p: Column) -> Column:
+        return p.isNotNull() & ~(F.contains(p, F.lit("\0")) | p.rlike(r"\A/|\A[A-Za-z]:|\A\z") | p.rlike(r"(?s)(\A|/)(\.{0,2})(/|\z)"))
+
+    return bound(forward(path), good)
 
 
 def reserved(category: Column) -> Column:

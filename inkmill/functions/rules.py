@@ -5,25 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkmill.functions.binding import bound
+
 OTHER = "其他"
 PLANNED = "营销策划"
 GENERAL = "品牌综合方案"
 
 #: Categories by file name, the first that has a keyword (fixed values; pass others to ``classify``).
 CATEGORIES = {
-    "文案珍藏": "文案 金句 slogan 珍藏 经典 合集 apple iphone 无印良品 掌生谷粒 东东枪 基本修养 数英 奥美 文案的".split(),
-    "品牌手册": "品牌手册 vi手册 视觉规范 品牌规范 brandbook 品牌全案 品牌手冊".split(),
-    "平台运营": "小红书 抖音 直播 视频号 b站 快手 私域 种草 运营 达人 kol 投放 公众号 社媒".split(),
-    "行业报告": "报告 洞察 趋势 白皮书 蓝皮书 研究 数据 榜 分析 日历".split(),
-    "营销策划": "策划 全案 campaign 方案 营销 推广 活动 传播 策略 brief 提案 创意 培训 作品集".split(),
+    "文案珍藏": ["文案", "金句", "slogan", "珍藏", "经典", "合集", "apple", "iphone", "无印良品", "掌生谷粒", "东东枪", "基本修养", "数英", "奥美", "文案的"],
+    "品牌手册": ["品牌手册", "vi手册", "视觉规范", "品牌规范", "brandbook", "品牌全案", "品牌手冊"],
+    "平台运营": ["小红书", "抖音", "直播", "视频号", "b站", "快手", "私域", "种草", "运营", "达人", "kol", "投放", "公众号", "社媒"],
+    "行业报告": ["报告", "洞察", "趋势", "白皮书", "蓝皮书", "研究", "数据", "榜", "分析", "日历"],
+    "营销策划": ["策划", "全案", "campaign", "方案", "营销", "推广", "活动", "传播", "策略", "brief", "提案", "创意", "培训", "作品集"],
 }
 #: Sub-categories of PLANNED (fixed values).
 SUBCATEGORIES = {
-    "作品集": "作品集 案例集".split(),
-    "培训教程": [*"培训 教程 方法论 技巧 怎么写 如何写 入门 创意培训 修辞法 炼成 论语 之道 可延展 创意课 思维模型 创造概念".split(), "copy book", *"french 法兰奇 广告语法 顶尖文案 顶尖广告".split()],
-    "节日营销": "cny 春节 新年 妇女节 女神节 三八 618 双11 双十一 中秋 七夕 圣诞 情人节 母亲节 父亲节 国庆 元宵 520 年货 新春 开学 万圣".split(),
-    "活动策划": "音乐节 快闪 发布会 市集 launch 活动 盛典 嘉年华 巡展 周年 画展 酒水节 露营 奥运".split(),
-    "4A提案": "4a 提案 比稿 jwt ddb 奥美 havas 恒美 智威汤逊 tbwa karma grey 精信 传播方案 传播策略 campaign 创意策略 脚本 tvc".split(),
+    "作品集": ["作品集", "案例集"],
+    "培训教程": ["培训", "教程", "方法论", "技巧", "怎么写", "如何写", "入门", "创意培训", "修辞法", "炼成", "论语", "之道", "可延展", "创意课", "思维模型", "创造概念", "copy book", "french", "法兰奇", "广告语法", "顶尖文案", "顶尖广告"],
+    "节日营销": ["cny", "春节", "新年", "妇女节", "女神节", "三八", "618", "双11", "双十一", "中秋", "七夕", "圣诞", "情人节", "母亲节", "父亲节", "国庆", "元宵", "520", "年货", "新春", "开学", "万圣"],
+    "活动策划": ["音乐节", "快闪", "发布会", "市集", "launch", "活动", "盛典", "嘉年华", "巡展", "周年", "画展", "酒水节", "露营", "奥运"],
+    "4A提案": ["4a", "提案", "比稿", "jwt", "ddb", "奥美", "havas", "恒美", "智威汤逊", "tbwa", "karma", "grey", "精信", "传播方案", "传播策略", "campaign", "创意策略", "脚本", "tvc"],
 }
 #: Averages per unit for 'text' and for 'sparse' (fixed values).
 LIMITS = {"pdf": (80, 15), "pptx": (60, 12)}
@@ -36,15 +38,16 @@ RETRYABLE = ("failed", "unsupported", "needs_conversion")
 
 
 def first_rule(name: Column, rules: dict[str, list[str]], default: str) -> Column:
-    """Label of the first rule of which a keyword is in the lower-case name."""
-    low = F.lower(name)
-    out = None
-    for label, words in rules.items():
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | F.contains(low, F.lit(w))
-        out = F.when(hit, label) if out is None else out.when(hit, label)
-    return F.lit(default) if out is None else out.otherwise(default)
+    """Label of the first rule of which a keyword is in the lower-case name; one search for each rule."""
+
+    def labelled(low: Column) -> Column:
+        out = F.lit(default)
+        for label, words in reversed(rules.items()):
+            if words:
+                out = F.when(low.rlike("|".join(rf"\Q{w}\E" for w in words)), label).otherwise(out)
+        return out
+
+    return bound(F.lower(name), labelled)
 
 
 def classify(name: Column, rules: dict[str, list[str]] | None = None, default: str = OTHER) -> Column:
@@ -53,7 +56,8 @@ def classify(name: Column, rules: dict[str, list[str]] | None = None, default: s
 
 def subcategory(name: Column, category: Column, rules: dict[str, list[str]] | None = None, of: str = PLANNED, default: str = GENERAL) -> Column:
     """Null outside of the category that has sub-categories."""
-    return F.when(category == of, first_rule(name, SUBCATEGORIES if rules is None else rules, default))
+    sub = first_rule(name, SUBCATEGORIES if rules is None else rules, default)
+    return bound(category, lambda c: F.when(c == of, sub))
 
 
 def judge(chars: Column, units: Column, kind: str = "pdf") -> Column:

@@ -2,7 +2,7 @@
 
 ``plan`` decides for each source what to do without reading it again; only rows
 that are to be extracted reach the extractors; ``merge`` makes the new manifest.
-All steps are equi-joins on keys; nothing is collected.
+All steps are equi-joins on keys; nothing is collected.  What several steps read is a table in the shared folder.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions import names, rules, text
 from inkmill.plans.schemas import MANIFEST
+from inkmill.sources.shared import cut
 
 EXTRACTABLE = (".pdf", ".pptx", ".docx", ".doc", ".epub")
 PPT_NOTE = "老格式PPT,需LibreOffice转换"
@@ -83,6 +84,17 @@ def plan(listing: DataFrame, manifest: DataFrame, archive_digests: DataFrame, fo
     })
 
 
+def failed(planned: DataFrame, extracted: DataFrame) -> DataFrame:
+    """(rel, error) of the sources of this run that could not be extracted."""
+    tried = planned.filter((F.col("action") == "extract") & F.col("ext").isin(*EXTRACTABLE)).select("rel")
+    return extracted.filter("error is not null").select("rel", "error").join(tried, "rel", "left_semi")
+
+
+def run_counts(planned: DataFrame, extracted: DataFrame) -> DataFrame:
+    """``counts`` and n_failed, one row."""
+    return counts(planned).crossJoin(F.broadcast(failed(planned, extracted).agg(F.count("*").alias("n_failed"))))  # one row each
+
+
 def counts(planned: DataFrame) -> DataFrame:
     """One row: new, kept and retried sources, and those extracted anew for another reason."""
     return planned.agg(
@@ -135,11 +147,11 @@ def merge(planned: DataFrame, manifest: DataFrame, extracted: DataFrame) -> Data
         else:
             value = F.when(kept, o(f.name)).otherwise(changed[f.name])
         fields.append(value.cast(f.dataType).alias(f.name))
-    touched = p.select(*fields, F.col("old").isNull().alias("_new"))
+    touched = cut(p.select(*fields, o("manifest_pos").alias("_old_pos"), F.col("old").isNull().alias("_new")), "touched")  # read three times
     base = manifest.agg(F.coalesce(F.max("manifest_pos") + 1, F.lit(0)).alias("_base"))
-    fresh = numbered(touched.filter("_new").drop("_new"), "rel").crossJoin(F.broadcast(base)).withColumn("manifest_pos", F.col("_base") + F.col("_rank")).drop("_base", "_rank")  # one row
-    continued = touched.filter("not _new").drop("_new")
-    gone = manifest.join(planned.select(F.col("old.manifest_pos").alias("_p")).filter("_p is not null").distinct(), F.col("manifest_pos") == F.col("_p"), "left_anti")
+    fresh = numbered(touched.filter("_new").drop("_new", "_old_pos"), "rel").crossJoin(F.broadcast(base)).withColumn("manifest_pos", F.col("_base") + F.col("_rank")).drop("_base", "_rank")  # one row
+    continued = touched.filter("not _new")
+    gone = manifest.join(continued.select("_old_pos").filter("_old_pos is not null").distinct(), F.col("manifest_pos") == F.col("_old_pos"), "left_anti")
     cols = [f.name for f in MANIFEST.fields]
     return continued.select(*cols).unionByName(fresh.select(*cols)).unionByName(gone.select(*cols))
 
@@ -147,10 +159,11 @@ def merge(planned: DataFrame, manifest: DataFrame, extracted: DataFrame) -> Data
 def numbered(df: DataFrame, by: str) -> DataFrame:
     """``_rank`` from 0 in the order of ``by``, without a single task for all rows.
 
-    The rows are sorted by range; each partition's count, of which there are few, shifts the next ones.
+    The rows are sorted by range into a table, once: ranges come from samples, which another evaluation may draw
+    differently.  Each partition's count, of which there are few, shifts the next ones.
     """
-    ranged = df.repartitionByRange(by).sortWithinPartitions(by).withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftright(F.col("_id"), 33)
+    ranged = cut(df.repartitionByRange(by).sortWithinPartitions(by).withColumn("_id", F.monotonically_increasing_id()), "ranged")
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
     shifts = sizes.withColumn("_shift", F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))  # a row for each partition
     placed = ranged.withColumn("_part", part).join(F.broadcast(shifts.select("_part", F.coalesce("_shift", F.lit(0)).alias("_shift"))), "_part")

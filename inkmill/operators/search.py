@@ -21,11 +21,12 @@ def search(corpus: DataFrame, keywords: list[str], category: str | None = None)
     """(path, score, why, context, quality) of documents that any keyword hits.
 
     A hit in the title scores 5, one in tags, excerpt or source 3, one in the body 1
-    up to 10; a keyword given twice counts twice.  ``category`` is a prefix of the folder, and leaves out
+    up to 10; a keyword given twice counts twice.  ``category`` is a prefix of the folder's path, and leaves out
     documents without one.  One narrow pass, whatever the number of keywords.
     """
     words = [k.lower() for k in keywords]
-    rows = corpus.filter(F.col("path").startswith(category) & F.contains("path", F.lit("/"))) if category else corpus
+    folder = F.regexp_extract("path", r"(?s)\A(.*)/[^/]*\z", 1)
+    rows = corpus.filter((folder != "") & folder.startswith(category)) if category else corpus
     meta = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "tags", "excerpt", "source")))
     rows = rows.withColumns({"_title": F.lower("title"), "_meta": F.lower(meta), "_body": F.lower("body")})
     hits, score, why, context = [], [], [], []

@@ -75,8 +75,8 @@ def radical_norm(s, d):
     return _han(s, d).select("doc_id", text.text_sha256(han.fold_radicals(F.col("h"))).alias("sha256"))
 
 
-def _library(s, d, han: bool = False):
-    return library.documents(fx.fresh(s, d, han), fx.fresh_archive(s, d, han))
+def _library(s, d, han: bool = False, ordered: bool = False):
+    return library.documents(fx.fresh(s, d, han), fx.fresh_archive(s, d, han), ordered=ordered)
 
 
 def front_matter(s, d):
@@ -122,7 +122,7 @@ def merged_manifest(s, d):
 
 
 def catalog(s, d):
-    return library.in_order(library.catalogue(_library(s, d, True))).select("line", "manifest_pos")
+    return library.catalogue(_library(s, d, True, ordered=True)).select("line", "manifest_pos")
 
 
 def index_counts(s, d):

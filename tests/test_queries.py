@@ -4,10 +4,8 @@ from inkmill.plans.oracles import ORACLES
 from inkmill.plans.queries import QUERIES
 from tests.compare import SF, rows_of, rows_of_sql
 
-SLOW = {"search_category", "orphan_md"}
 
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
     assert rows_of(QUERIES[name](spark, SF)) == rows_of_sql(ORACLES[name])
 
