@@ -1,9 +1,7 @@
-"""Tables, shared folder and Arrow helpers of the subpackage."""
+"""Tables, joins and Arrow helpers of the subpackage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,57 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkmill.sources.shared import cut, drop  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the session's checkpoint folder.
-
-    Only a local session (tests on one machine) gets a folder of its own without either; on a
-    cluster, executors could not share one of the driver's, so that raises RuntimeError.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            found = held.get()
-        elif spark.sparkContext.master.startswith("local"):
-            found = tempfile.mkdtemp(prefix="inkmill-shared-")
-            spark.sparkContext.setCheckpointDir(found)
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return found.rstrip("/")
-
-
-def _hadoop(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows as a table in the shared folder and read them back.
-
-    The lineage ends there, so lost executors cost no recomputation, and what
-    several consumers read is computed once.  The table goes when the application ends, or by ``drop``.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    fs, where = _hadoop(spark, path)
-    fs.deleteOnExit(where)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._inkmill_path = path
-    return out
-
-
-def drop(table: DataFrame) -> None:
-    """Delete a table of ``cut`` that nothing will read again."""
-    fs, where = _hadoop(table.sparkSession, table._inkmill_path)
-    fs.delete(where, True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has in any case."""
     held = {c.lower() for c in df.columns}
@@ -94,21 +48,22 @@ def numbered(docs: DataFrame, place: Column, name: str) -> tuple[DataFrame, str]
     return cut(ordered.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
-#: A key with more than one in so many rows is hot; there are at most so many hot keys.
-HOT = 4096
+#: A key with more than one in so many rows is hot; there are fewer hot keys than that.
+HOT = 1024
 
 
 def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
     """Inner equi-join to a table with one row for each key; ``count`` says how many of ``rows`` have it.
 
-    A hot key's rows never meet in one task: keys of more than 1/HOT of the rows, at most HOT of them, are broadcast.
-    Both sides are read twice, so they should be tables.
+    A hot key's rows never meet in one task: keys of more than 1/HOT of the rows, fewer than HOT of them, are broadcast.
+    Both sides are read twice where there are any, so they should be tables.
     """
     total = table.agg(F.sum(count)).first()[0] or 0
-    hot = F.broadcast(table.filter(F.col(count) > total / HOT))
-    others = rows.join(F.broadcast(table.filter(F.col(count) > total / HOT).select(*keys)), keys, "left_anti")
-    rest = table.filter(F.col(count) <= total / HOT)
-    return rows.join(hot, keys).unionByName(others.join(rest, keys))
+    hot = table.filter(F.col(count) > total / HOT)
+    if not hot.limit(1).count():
+        return rows.join(table, keys)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.filter(F.col(count) <= total / HOT), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(others)
 
 
 def remainder(doc_id: str | Column, n: int) -> Column:

@@ -30,6 +30,8 @@ MIN_RUN = 180
 #: The fewest words of a passage of over 50, however short they are.
 WORDS = 51
 LONG = 32
+#: Characters that a worker takes at once; a longer text is taken alone.
+BLOCK_CHARS = 500_000
 _LAST = (1 << 63) - 1
 #: Scripts without spaces between words, by first and last code point.
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
@@ -117,7 +119,7 @@ def stretch_table(docs: DataFrame, min_run: int, words: int) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, number = b.column(1).to_pylist(), b.column(0).to_numpy()
         out = []
-        for lo, hi in blocks(texts):
+        for lo, hi in blocks(texts, BLOCK_CHARS):
             p = Passages(texts[lo:hi], min_run, words)
             one = np.flatnonzero(np.diff(p.taken, prepend=-1))
             last = np.append(one[1:], len(p.taken))[: len(one)] - 1
@@ -143,7 +145,7 @@ def passage_table(docs: DataFrame, min_run: int, words: int) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, number, shared = b.column(1).to_pylist(), b.column(0).to_numpy(), b.column(2)
         out = []
-        for lo, hi in blocks(texts):
+        for lo, hi in blocks(texts, BLOCK_CHARS):
             p = Passages(texts[lo:hi], min_run, words)
             first = np.searchsorted(p.text, np.arange(hi - lo + 1))
             use = [first[i] + np.flatnonzero(np.isin(p.digest[first[i] : first[i + 1]], shared[lo + i].values.to_numpy().view(np.uint64))) for i in range(hi - lo) if shared[lo + i].is_valid]
