@@ -1,11 +1,11 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, exact verification.
 
-Only DataFrame functions are used.  An item's sketch is its bottom-k MinHash: the
-k least hashes of its shingles.  Items are partitioned by size (powers of two),
-and k follows from a partition's largest size u: a document that contains at
-least the share t of an item lacks at most floor((1 - t) u) of its shingles, so
-with k one more it has a shingle of the sketch for certain.  Documents are so
-much longer than items that a fixed sketch of them would share almost nothing
+Only DataFrame functions are used.  Items are partitioned by size (powers of two).  Containment t of an item of n
+shingles means that at most floor((1 - t) n) of them are lacking; in a partition whose largest size is u that is
+floor((1 - t) u) at most.  An item's sketch is its bottom-k MinHash, the k least hashes of its shingles, with k one
+more than that bound: a document that contains the share t of it has a shingle of the sketch for certain, so the
+search has recall 1 in every partition, and k is small where items are short.  Documents are so
+much longer than items that a sketch of a document would share almost nothing
 with an item's (a Jaccard similarity near 0.001), so all their shingle hashes
 are looked up in the sketches.  Candidates are verified on shingle texts.
 
@@ -21,8 +21,10 @@ from inkmill.llm import common
 
 WORDS = 5
 CONTAINMENT = 0.8
-#: Rows of a table that may be broadcast (24 bytes each); larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a table that may be broadcast; larger ones are shuffled.
+BROADCAST_BYTES = 64 << 20
+#: What a row takes in a hash relation beside its strings.
+ROW_BYTES = 64
 
 
 def words_of(text: Column) -> Column:
@@ -34,8 +36,12 @@ def _shingles(words: str, k: int, make) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(words) - F.lit(k)), make)
 
 
+def shingle_hash(words: Column, at: Column, k: int = WORDS) -> Column:
+    return F.xxhash64(*(F.get(words, at + F.lit(j)) for j in range(k)))
+
+
 def shingle_hashes(words: str, k: int = WORDS) -> Column:
-    return _shingles(words, k, lambda i: F.xxhash64(*(F.get(words, i + F.lit(j)) for j in range(k))))
+    return _shingles(words, k, lambda i: shingle_hash(F.col(words), i, k))
 
 
 def shingle_texts(words: str, k: int = WORDS) -> Column:
@@ -56,28 +62,38 @@ def sketches(items: DataFrame, containment: float = CONTAINMENT, k: int = WORDS)
     return sized.join(F.broadcast(upper), "part").select(F.explode(F.slice("all", F.lit(1), length)).alias("h"), "item")  # at most 63 parts
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def fits(table: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a table may be broadcast, by the bytes of its rows."""
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema.fields if f.dataType.simpleString() == "string"]
+    return (table.agg(F.sum(sum(strings, F.lit(ROW_BYTES)))).first()[0] or 0) <= most
+
+
+def _joined(rows: DataFrame, table: DataFrame, key: str, most: int) -> DataFrame:
+    """Inner join; beyond ``most`` bytes only rows that may have a partner are shuffled, and skewed partitions are split by the engine."""
+    if fits(table, most):
+        return rows.join(F.broadcast(table), key)
+    return common.split(rows, F.col(key), table.select(key))[0].join(table, key)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT, k: int = WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT, k: int = WORDS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(key, item, n_shared, n_shingles) of texts that hold at least that share of an item's shingles."""
     items = common.cut(items_of(benchmark, k), "items")
     sketch = common.cut(sketches(items, containment, k), "sketches")
     texts = docs.select(F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"), "text")
     worded = texts.select("key", words_of(F.col("text")).alias("words")).filter(F.size("words") >= k)
-    probes = worded.select("key", F.explode(shingle_hashes("words", k)).alias("h"))
-    candidates = common.cut(probes.join(_small(sketch), "h").select("key", "item").distinct(), "candidates")
+    placed = worded.select("key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - F.lit(k))).alias("i"))  # compiled, unlike a lambda
+    probes = placed.select("key", shingle_hash(F.col("words"), F.col("i"), k).alias("h"))
+    candidates = common.cut(_joined(probes, sketch, "h", broadcast_bytes).select("key", "item").distinct(), "candidates")
 
     keys = common.cut(candidates.select("key").distinct(), "candidate-keys")
     held = common.semi(texts, F.col("key"), keys).groupBy("key").agg(F.first("text").alias("text"))
     in_texts = held.select("key", words_of(F.col("text")).alias("words")).select("key", F.explode(F.array_distinct(shingle_texts("words", k))).alias("s"))
     of_items = common.cut(items.select("item", F.array_distinct(shingle_texts("words", k)).alias("all")).select("item", F.size("all").alias("n_shingles"), F.explode("all").alias("s")), "item-shingles")
-    shared = in_texts.join(_small(of_items), "s").groupBy("key", "item").agg(F.count("*").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
+    shared = _joined(in_texts, of_items, "s", broadcast_bytes).groupBy("key", "item").agg(F.count("*").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
     return shared.filter(F.col("n_shared") >= containment * F.col("n_shingles") - 1e-9).join(candidates, ["key", "item"], "left_semi")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT, k: int = WORDS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT, k: int = WORDS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment): a row for each document and item it contains.
 
     Words are compared in lower case and without punctuation.  Null texts are empty;
@@ -85,11 +101,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTA
     repeated ids are allowed: a row of ``docs`` or of ``benchmark`` counts by its
     text, and gives its rows.  Other columns are not read; empty tables give none.
     """
-    found = common.cut(contaminated(docs, benchmark, containment, k), "leaks")
+    found = common.cut(contaminated(docs, benchmark, containment, k, broadcast_bytes), "leaks")
     named = benchmark.select("item_id", words_of(F.col("text")).alias("_w")).select("item_id", F.md5(F.array_join("_w", " ").cast("binary")).alias("item"))
-    by_item = found.join(named, "item")
+    by_item = common.cut(found.join(named, "item"), "named-leaks")
     ids = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"))
-    return ids.join(by_item, "key").select("doc_id", "item_id", "n_shared", F.col("n_shingles").cast("long").alias("n_shingles"), (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
+    return _joined(ids, by_item, "key", broadcast_bytes).select("doc_id", "item_id", "n_shared", F.col("n_shingles").cast("long").alias("n_shingles"), (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT, k: int = WORDS) -> DataFrame:
