@@ -101,12 +101,13 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_chars
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows, row = common.numbered(own, F.coalesce("doc_id", F.lit(_LAST)), "scored-rows")
     n = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
-    dealt = rows.select(F.pmod(F.xxhash64(row), F.lit(n)).alias("block"), "doc_id", "text").repartition(n, "block")
+    dealt = rows.select(F.pmod(F.xxhash64(row), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block")
 
     def explode(d: pa.Table) -> pa.Table:
         parts = [*zip(*exploded(*block_words(d["text"].to_pylist()), order), strict=True)]
         gram, count, single = (np.concatenate(x) for x in parts)
-        return pa.table({"gram": pa.array(gram.view(np.int64)), "block": pa.array(np.full(len(gram), d["block"][0].as_py())), "n": pa.array(count.astype(np.int64)), "single": pa.array(single)})
+        n = np.where(single, -count, count)  # below 0: all in one document
+        return pa.table({"gram": pa.array(gram.view(np.int64)), "block": pa.array(np.full(len(gram), d["block"][0].as_py(), np.int32)), "n": pa.array(n.astype(np.int32))})
 
     def finish(d: pa.Table, a: pa.Table) -> pa.Table:
         words, offsets = block_words(d["text"].to_pylist())
@@ -120,11 +121,11 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_chars
             total[full] = np.add.reduceat(logs, offsets[:-1][full])
         return pa.table({"doc_id": d["doc_id"], "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(total)})
 
-    grams = dealt.groupBy("block").applyInArrow(explode, "gram long, block long, n long, single boolean").repartition(n, "gram")
+    grams = dealt.groupBy("block").applyInArrow(explode, "gram long, block int, n int").repartition(n, "gram")
     # Rows of one n-gram are in one partition, where they are counted and joined without another shuffle.
-    shared = (F.count("*") > 1) | ~F.bool_and("single")
-    counts = grams.groupBy("gram").agg(F.sum("n").alias("total"), shared.alias("shared")).filter("shared").drop("shared")
-    known = grams.select("gram", "block").join(counts.hint("shuffle_hash"), "gram")
+    shared = (F.min("block") != F.max("block")) | (F.max("n") > 0)
+    counts = grams.groupBy("gram").agg(F.sum(F.abs("n").cast("long")).alias("total"), shared.alias("shared")).filter("shared").drop("shared")
+    known = grams.join(counts.hint("shuffle_hash"), "gram").filter("total <> abs(n) or n > 0").select("block", "gram", "total")
     return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(finish, "doc_id long, n_words long, log_score double")
 
 
