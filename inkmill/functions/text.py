@@ -52,6 +52,11 @@ def unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def unescape_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda parts: [html.unescape(p) for p in parts], na_action="ignore")
+
+
 def squeeze(c: Column) -> Column:
     """Runs of blanks and tabs to one blank, three or more line feeds to two."""
     return F.regexp_replace(F.regexp_replace(c, r"[ \t]{2,}", " "), r"\n{3,}", "\n\n")
@@ -62,6 +67,11 @@ def chapter_text(c: Column) -> Column:
     return unescape(without_tags(without_scripts(c)))
 
 
+def chapter_texts(c: Column) -> Column:
+    """``chapter_text`` of each element."""
+    return unescape_each(F.transform(c, lambda x: without_tags(without_scripts(x))))
+
+
 def page_text(c: Column) -> Column:
     return squeeze(clean(chapter_text(c)))
 

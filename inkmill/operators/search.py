@@ -4,14 +4,33 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import text
+from inkmill.sources import builder, manifests
 
 TITLE_WEIGHT, META_WEIGHT, BODY_MOST = 5, 3, 10
 
 
+def library_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, title, tags, excerpt, source, body, quality) of a library's Markdown files, as files have them.
+
+    Folders whose names begin with a dot or an underscore are left out, and generated files at the top.  A file without a title
+    has its name.  The workers read the files, through the engine's file systems.
+    """
+    read = spark.read.text(root, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=True)
+    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+    decode = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    full = F.regexp_replace(decode(F.col("_metadata.file_path")), r"\A[a-z0-9]+:(//[^/]*)?(?=/)", "")
+    files = read.select(F.substring(full, len(base) + 1, 1 << 30).alias("path"), F.col("value").alias("markdown"))
+    files = files.filter(~F.col("path").isin(*builder.GENERATED) & ~F.col("path").rlike(r"(\A|/)[._][^/]*/"))
+    parsed = manifests.parse_markdown(files)
+    field = lambda k: F.coalesce(F.element_at("fields", k), F.lit(""))
+    name = F.regexp_extract("path", r"([^/]*)\z", 1)
+    return parsed.select("path", F.coalesce(F.element_at("fields", "title"), name).alias("title"), field("tags").alias("tags"), field("excerpt").alias("excerpt"), field("source").alias("source"), "body", field("quality").alias("quality"))
+
+
 def searchable(library: DataFrame) -> DataFrame:
     """(path, title, tags, excerpt, source, body, quality) of library documents."""
     return library.select("path", "title", F.array_join("tags", ", ").alias("tags"), "excerpt", F.col("name").alias("source"), "body", "quality")

@@ -138,6 +138,23 @@ def fresh_archive(spark: SparkSession, sf_dir: str, han: bool = False) -> DataFr
     return f.select(names.raw_path(F.col("rel")).alias("raw"), (han_text(F.col("text")) if han else F.col("text")).alias("text"))
 
 
+def recognised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What OCR makes of the files: their documents' texts; every fifth can't be read, every seventh is no book."""
+    f = files(spark, sf_dir).filter(F.col("g") % 7 != 6)
+    broken = F.col("g") % 5 == 4
+    return f.select("rel", F.when(~broken, F.col("text")).alias("text"), F.when(~broken, text.ocr_chars(F.col("text"))).alias("chars"), F.when(~broken, F.col("units")).alias("count"), F.when(broken, "OSError: broken").alias("error"), F.when(~broken, F.col("source_sha256")).alias("source_sha256"))
+
+
+def converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the conversion makes of old slides: their documents' texts; every fifth is broken."""
+    f = files(spark, sf_dir).filter("ext = '.ppt'")
+    broken = F.col("g") % 5 == 4
+    return f.select(
+        "rel", F.when(~broken, text.clean(F.col("text"))).alias("text"), F.when(~broken, "slides").alias("unit"), F.when(~broken, F.col("units")).alias("count"), F.when(~broken, F.col("chars")).alias("chars"),
+        F.when(~broken, rules.judge(F.col("chars"), F.col("units"), "pptx")).alias("quality"), F.when(broken, "RuntimeError: broken").alias("error"), F.when(~broken, F.col("source_sha256")).alias("source_sha256"),
+    )
+
+
 def library_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of a library that lacks some documents and has others that nobody expects."""
     from inkmill.operators import library

@@ -219,6 +219,23 @@ _DECODED = _UNTAGGED
 for _ref, _char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
     _DECODED = f"regexp_replace({_DECODED}, '&{_ref};?', '{_char}', 'g')"
 
+_READ = "quality = 'image' AND ext = '.pdf' AND NOT coalesce(ocr, false) AND g % 7 <> 6 AND g % 5 <> 4"
+_OCR_VALUES = {
+    "raw": f"CASE WHEN hit THEN {_raw('rel')} ELSE raw END", "raw_sha256": "CASE WHEN hit THEN own_sha256 ELSE raw_sha256 END", "source_sha256": "CASE WHEN hit THEN own_sha256 ELSE source_sha256 END",
+    "chars": "CASE WHEN hit THEN ocr_chars ELSE chars END", "quality": "CASE WHEN hit THEN 'text' ELSE quality END", "ocr": "CASE WHEN hit THEN true ELSE ocr END",
+    "count": "CASE WHEN hit THEN units ELSE \"count\" END",
+}
+_OCR = f"""WITH {_FRESH}, x AS (SELECT fresh.*, g, units, sha256(text) AS own_sha256, length({_strip('replace(text, chr(10), {0})'.format(_s("")))})::INT AS ocr_chars FROM fresh JOIN files ON doc_id = manifest_pos),
+y AS (SELECT *, {_READ} AS hit FROM x) SELECT {_fields({**{f.name: f'"{f.name}"' for f in MANIFEST.fields}, **_OCR_VALUES})} FROM y"""
+_SLIDES = "CASE WHEN all_chars / units >= 60 THEN 'text' WHEN all_chars / units >= 12 THEN 'sparse' ELSE 'image' END"
+_CONVERTED_VALUES = {
+    "raw": f"CASE WHEN good THEN {_raw('rel')} ELSE raw END", "raw_sha256": "CASE WHEN good THEN own_sha256 ELSE raw_sha256 END", "source_sha256": "CASE WHEN good THEN own_sha256 ELSE source_sha256 END",
+    "chars": "CASE WHEN good THEN all_chars ELSE chars END", "quality": f"CASE WHEN good THEN {_SLIDES} WHEN ext = '.ppt' THEN 'failed' ELSE quality END", "unit": "CASE WHEN good THEN 'slides' ELSE unit END",
+    "converted": "CASE WHEN good THEN true ELSE converted END", "error": "CASE WHEN ext = '.ppt' AND NOT good THEN 'RuntimeError: broken' END", "count": "CASE WHEN good THEN units ELSE \"count\" END",
+}
+_CONVERTED = f"""WITH {_FRESH}, x AS (SELECT fresh.*, units, files.chars AS all_chars, sha256(text) AS own_sha256, fresh.ext = '.ppt' AND g % 5 <> 4 AS good FROM fresh JOIN files ON doc_id = manifest_pos)
+SELECT {_fields({**{f.name: f'"{f.name}"' for f in MANIFEST.fields}, **_CONVERTED_VALUES})} FROM x"""
+
 ORACLES = {
     "clean_text": f"SELECT doc_id, {_CLEAN} AS text, length({_strip(_CLEAN)})::INT AS chars, length({_strip(f'replace({_CLEAN}, chr(10), {_s("")})')})::INT AS ocr_chars FROM documents",
     "type_histogram": f"WITH {_FILES} SELECT ext, count(*) AS n FROM files GROUP BY ext",
@@ -259,5 +276,9 @@ ORACLES = {
     "cleanup_plan": f"WITH {_REMOVAL} SELECT manifest_pos, decision, size FROM removal",
     "cleanup_bytes": f"WITH {_REMOVAL} SELECT decision, count(*) AS n, sum(size)::BIGINT AS bytes, CASE WHEN sum(size) > 1e9 THEN printf('%.2f', sum(size)::DOUBLE / 1073741824) || 'GB' ELSE printf('%.0f', sum(size)::DOUBLE / 1048576) || 'MB' END AS label FROM removal GROUP BY decision",
     "ocr_sample_pages": f"WITH {_FILES} SELECT doc_id, array_to_string(list_sort(list_distinct([least(2, units - 1), units // 5, units // 2, units * 4 // 5])), ' ') AS pages FROM files",
+    "ocr_applied": _OCR,
+    "conversion_candidates": f"WITH {_FRESH} SELECT manifest_pos, rel FROM fresh WHERE quality = 'needs_conversion'",
+    "conversion_applied": _CONVERTED,
+    "run_counts": f"WITH {_PLAN} SELECT count(*) FILTER (counter = 'new') AS n_new, count(*) FILTER (counter = 'kept') AS n_kept, count(*) FILTER (counter = 'retried') AS n_retried, count(*) FILTER (counter IS NULL) AS n_again, count(*) AS n_sources, count(*) FILTER (NOT keep AND {_GOOD} AND g % 50 = 7) AS n_failed FROM plan",
     "ocr_book_judge": f"SELECT conv_id, round(avg(length({_strip("coalesce(text, '')")})), 6) AS mean, avg(length({_strip("coalesce(text, '')")})) >= 150 AS is_book FROM conversations GROUP BY conv_id",
 }

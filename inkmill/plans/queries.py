@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import han, names, rules, text
-from inkmill.operators import audit, incremental, library, ocr, search
+from inkmill.operators import audit, incremental, library, ocr, recovery, search
 from inkmill.plans import fixtures as fx
 
 #: Prefixes that make safe and unsafe paths of a relative one, in turn by doc_id.
@@ -198,10 +198,28 @@ def ocr_book_judge(s, d):
     return out.select("conv_id", F.round("mean", 6).alias("mean"), "is_book")
 
 
+def ocr_applied(s, d):
+    m = fx.fresh(s, d)
+    return recovery.recognised(m, fx.recognised(s, d), ocr.candidates(m))
+
+
+def conversion_candidates(s, d):
+    return recovery.conversion_candidates(fx.fresh(s, d)).select("manifest_pos", "rel")
+
+
+def conversion_applied(s, d):
+    return recovery.converted(fx.fresh(s, d), fx.converted(s, d))
+
+
+def run_counts(s, d):
+    return incremental.run_counts(fx.planned(s, d), fx.extracted(s, d))
+
+
 _NAMES = (
     "clean_text type_histogram quality_judge classify_docs subcategory_docs quality_by_category html_to_text excerpt han_keywords garble_score garble_flagged "
     "garble_repaired radical_norm front_matter size_label raw_names md_names path_validity text_fingerprints mobi_epub_dedup incremental_plan incremental_counts "
     "merged_manifest catalog index_counts quality_report report_sections search_topk search_context search_category search_nothing verify_status verify_counts "
-    "garble_repair_records missing_md orphan_md cleanup_plan cleanup_bytes ocr_sample_pages ocr_book_judge"
+    "garble_repair_records missing_md orphan_md cleanup_plan cleanup_bytes ocr_sample_pages ocr_book_judge ocr_applied conversion_candidates "
+    "conversion_applied run_counts"
 ).split()
 QUERIES = {n: globals()[n] for n in _NAMES}

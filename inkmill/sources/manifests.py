@@ -11,10 +11,18 @@ from pyspark.sql import functions as F
 
 from inkmill.functions import names
 from inkmill.plans.schemas import MANIFEST
+from inkmill.sources import archive
+from inkmill.sources.shared import file_system
+
+
+POINTER = "manifest.current"
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """An array of objects; fields of MANIFEST, positions in the array's order."""
+    """An array of objects in one file; fields of MANIFEST, positions in the array's order.  Without the file, no rows."""
+    fs, where = file_system(spark, path)
+    if not fs.exists(where):
+        return spark.createDataFrame([], MANIFEST)
     fields = [f for f in MANIFEST.fields if f.name != "manifest_pos"]
     element = "array<struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in fields) + ">>"
     whole = spark.read.text(path, wholetext=True).select(F.from_json("value", element).alias("r"))
@@ -22,13 +30,39 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("pos").cast("long").alias("manifest_pos"), "col.*").select(*(f.name for f in MANIFEST.fields))
 
 
-def write(manifest: DataFrame, path: str) -> None:
-    """One JSON object a line, in parts; absent fields are left out."""
-    manifest.write.mode("overwrite").json(path)
+def _current(spark: SparkSession, root: str) -> int:
+    """Number of the committed version; 0 for none."""
+    fs, where = file_system(spark, f"{root}/{POINTER}")
+    return int(spark.read.text(str(where)).first()[0]) if fs.exists(where) else 0
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).json(path)
+def commit(manifest: DataFrame, root: str) -> int:
+    """Write the manifest as the next version, one JSON object a line, then point to it; the version's number.
+
+    Readers see the old version or the new one, never a part; a run that ends before the pointer is
+    renamed leaves the old.  The version before stays, for readers that have begun; older ones go.
+    """
+    spark = manifest.sparkSession
+    last = _current(spark, root)
+    manifest.write.mode("overwrite").json(f"{root}/manifest-{last + 1}")
+    fs, pointer = file_system(spark, f"{root}/{POINTER}")
+    _, new = file_system(spark, f"{root}/{POINTER}.{last + 1}")
+    out = fs.create(new, True)
+    out.write(bytearray(str(last + 1).encode()))
+    out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    modes = spark.sparkContext._gateway.new_array(options, 1)
+    modes[0] = options.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri() if new.toUri().getScheme() else fs.getUri()).rename(new, pointer, modes)
+    _, old = file_system(spark, f"{root}/manifest-{last - 1}")
+    fs.delete(old, True)
+    return last + 1
+
+
+def load(spark: SparkSession, root: str) -> DataFrame:
+    """The committed manifest; without one, no rows."""
+    last = _current(spark, root)
+    return spark.read.schema(MANIFEST).json(f"{root}/manifest-{last}") if last else spark.createDataFrame([], MANIFEST)
 
 
 def write_markdown(documents: DataFrame, root: str) -> DataFrame:
@@ -43,12 +77,7 @@ def write_markdown(documents: DataFrame, root: str) -> DataFrame:
             for path, body, good in zip(frame["path"], frame["markdown"], frame["good"]):
                 data, error = body.encode(), None
                 if good:
-                    full = os.path.join(root, path)
-                    os.makedirs(os.path.dirname(full), exist_ok=True)
-                    part = f"{full}.{os.getpid()}.part"
-                    with open(part, "wb") as f:
-                        f.write(data)
-                    os.replace(part, full)
+                    archive.put_file(os.path.join(root, path), data)
                 else:
                     error = "unsafe path"
                 rows.append((path, len(data) if good else 0, error))
