@@ -73,16 +73,19 @@ def remainder(doc_id: str | Column, n: int) -> Column:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, rows: int = 1000) -> DataFrame:
-    """``mapInArrow`` with ``fn`` over slices of at most ``rows`` rows of each batch."""
+    """``mapInArrow`` with ``fn`` over slices of at most ``rows`` rows of each batch; columns may have any names."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    plain = [f"c{i}" for i in range(len(schema.fields))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 out = fn(batch.slice(at, rows))
                 if out is not None and out.num_rows:
-                    yield out
+                    yield pa.RecordBatch.from_arrays(out.columns, names=plain)
 
-    return df.mapInArrow(run, schema)
+    named = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(plain, schema.fields, strict=True)])
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, named).toDF(*schema.names)
 
 
 def with_field(schema: T.StructType, name: str, kind: str) -> T.StructType:
