@@ -35,7 +35,7 @@ RATES = (3, 5, 7, 9)
 REPEATS = 10
 HASHES = 1 + len(RATES) * REPEATS
 #: Characters that one unit of the pass over neighbours holds on average, while there are at most so many units.
-UNIT_CHARS = 12_000_000
+UNIT_CHARS = 24_000_000
 MAX_UNITS = 1 << 14
 #: Rows for each unit, on average, that tell where units end.
 SAMPLE = 16
