@@ -51,25 +51,50 @@ def missing(manifest: DataFrame, paths: DataFrame) -> DataFrame:
     return expected(manifest).join(paths.select("path"), "path", "left_anti")
 
 
+def _within(manifest: DataFrame, paths: DataFrame) -> DataFrame:
+    """Paths below a category's folder, at any depth."""
+    folders = F.slice(F.split("path", "/"), 1, F.greatest(F.size(F.split("path", "/")) - 1, F.lit(0)))
+    above = F.transform(folders, lambda x, i: F.array_join(F.slice(folders, F.lit(1), i + 1), "/"))
+    cats = manifest.select(F.coalesce("category", F.lit(rules.OTHER)).alias("_cat")).distinct()
+    return paths.select("path", F.explode(above).alias("_cat")).join(cats, "_cat", "left_semi").select("path").distinct()
+
+
 def orphans(manifest: DataFrame, paths: DataFrame) -> DataFrame:
     """Library documents in the manifest's categories that no record expects."""
-    own = paths.filter(F.col("path").endswith(".md")).select("path", F.split_part("path", F.lit("/"), F.lit(1)).alias("_cat"))
-    cats = manifest.select(F.split_part(F.coalesce("category", F.lit(rules.OTHER)), F.lit("/"), F.lit(1)).alias("_cat")).distinct()
-    return own.join(cats, "_cat", "left_semi").select("path").join(expected(manifest).select("path"), "path", "left_anti")
+    own = _within(manifest, paths.filter(F.col("path").endswith(".md")))
+    return own.join(expected(manifest).select("path"), "path", "left_anti")
+
+
+def consistency(manifest: DataFrame, paths: DataFrame) -> DataFrame:
+    """One row: whether the library is built, and how many documents it lacks and has too many; null if it isn't built."""
+    built = _within(manifest, paths).agg((F.count("*") > 0).alias("built"))
+    counts = missing(manifest, paths).agg(F.count("*").alias("n_missing")).crossJoin(F.broadcast(orphans(manifest, paths).agg(F.count("*").alias("n_orphans"))))  # one row each
+    return built.crossJoin(F.broadcast(counts)).select("built", *(F.when(F.col("built"), F.col(c)).alias(c) for c in ("n_missing", "n_orphans")))
+
+
+def shown(rows: DataFrame, most: int = 10) -> DataFrame:
+    """What a summary lists: the first rows by path; counts are never taken from it."""
+    return rows.orderBy("path").limit(most)
+
+
+def at_stake(manifest: DataFrame) -> DataFrame:
+    """One row: images and failed sources, whose content no archive has."""
+    return manifest.agg(F.count_if(F.col("quality") == "image").alias("n_images"), F.count_if(F.col("quality") == "failed").alias("n_failed"))
 
 
 def removal_plan(manifest: DataFrame, sources: DataFrame, archive: DataFrame, delete_image: bool = False) -> DataFrame:
     """(manifest_pos, key, name, quality, size, decision): delete, keep or no_archive for each record whose source is there.
 
     A text may be deleted if its source and its archived text still have the recorded fingerprints; a
-    duplicate if that holds for the book that it duplicates and for itself.
+    duplicate if that holds for the book that it duplicates (the last record of that key) and for itself.
     """
-    m = incremental.current(manifest).join(incremental.digests(archive), "raw", "left")
+    keyed = manifest.withColumn("key", names.key(F.col("rel"), F.col("name")))
+    m = keyed.join(incremental.digests(archive), "raw", "left")
     m = m.join(sources.select(F.col("rel").alias("key"), F.col("size").alias("now_size"), F.col("source_sha256").alias("now_sha256")), "key", "left")
     same_source = F.coalesce((F.col("source_sha256") != "") & (F.col("source_sha256") == F.col("now_sha256")), F.lit(False))
     archived = F.col("quality").isin(*rules.USABLE) & (F.length("raw_sha256") == 64) & (F.col("archive_bytes") > LEAST_BYTES) & (F.col("archive_sha256") == F.col("raw_sha256"))
     m = m.withColumn("same", same_source).withColumn("proven", same_source & F.coalesce(archived, F.lit(False)))
-    books = m.select(F.col("key").alias("duplicate_of"), F.col("proven").alias("book_proven"))
+    books = m.groupBy(F.col("key").alias("duplicate_of")).agg(F.max_by("proven", "manifest_pos").alias("book_proven"))
     rows = m.filter("now_size is not null").join(books, "duplicate_of", "left")
     twin = F.col("quality") == "skip_duplicate"
     verified = F.when(twin, F.col("same") & F.coalesce("book_proven", F.lit(False))).otherwise(F.col("proven"))

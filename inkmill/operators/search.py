@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import text
+from inkmill.operators.library import note
 from inkmill.sources import builder, manifests
 
 TITLE_WEIGHT, META_WEIGHT, BODY_MOST = 5, 3, 10
@@ -32,8 +33,9 @@ def library_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def searchable(library: DataFrame) -> DataFrame:
-    """(path, title, tags, excerpt, source, body, quality) of library documents."""
-    return library.select("path", "title", F.array_join("tags", ", ").alias("tags"), "excerpt", F.col("name").alias("source"), "body", "quality")
+    """(path, title, tags, excerpt, source, body, quality) of library documents; a note before the body is searched too."""
+    body = F.concat_ws("\n", note(), "body")
+    return library.select("path", "title", F.array_join("tags", ", ").alias("tags"), "excerpt", F.col("name").alias("source"), body.alias("body"), "quality")
 
 
 def search(corpus: DataFrame, keywords: list[str], category: str | None = None) -> DataFrame:

@@ -197,7 +197,8 @@ def _search(words: list[str], where: str = "true", columns: str = "path, score,
     start = f"greatest(0, {at} - 26)"
     context = f"CASE WHEN b0 > 0 THEN '…' || {_strip(f"regexp_replace(substr(body, {start} + 1, {at} - 1 + {len(w) + 25} - {start}), '\\s+', ' ', 'g')")} || '…' ELSE '' END"
     return f"""WITH RECURSIVE {_FRESH}, {_ARCHIVE}, {_LOCATED}, {_LIBRARY},
-low AS (SELECT path, quality, body, lower(title) AS lt, lower(concat_ws(' ', title, array_to_string(tags, ', '), excerpt, name)) AS lm, lower(body) AS lb FROM lib WHERE {where}),
+noted AS (SELECT * REPLACE (CASE WHEN ocr THEN '> 扫描页 OCR 识别,个别字可能有误,作参考土壤足够。' || chr(10) || chr(10) || body ELSE body END AS body) FROM lib),
+low AS (SELECT path, quality, body, lower(title) AS lt, lower(concat_ws(' ', title, array_to_string(tags, ', '), excerpt, name)) AS lm, lower(body) AS lb FROM noted WHERE {where}),
 n AS (SELECT *, {counts} FROM low), hits AS (SELECT path, quality, {score} AS score, concat_ws(' ', {", ".join(whys)}) AS why, {context} AS context FROM n)
 SELECT {columns} FROM hits WHERE score > 0 {tail}"""
 
@@ -273,6 +274,9 @@ ORACLES = {
     "garble_repair_records": f"WITH {_FRESH_HAN}, {_ARCHIVE_HAN}, {_SCORES}, {_REPAIRED.removeprefix(_HANS + ', ')} SELECT manifest_pos, length({_strip('t')})::INT AS chars, sha256(t) AS raw_sha256, true AS garble_fixed FROM fresh JOIN farch USING (raw) JOIN sc ON doc_id = manifest_pos JOIN fixed ON id = manifest_pos WHERE quality IN ('text', 'sparse') AND sha256(text) = raw_sha256 AND n >= 50 AND (radicals > 0.03 OR repeats > 0.06)",
     "missing_md": f"WITH {_PATHS} SELECT path FROM located WHERE path NOT IN (SELECT path FROM paths)",
     "orphan_md": f"WITH {_PATHS} SELECT path FROM paths WHERE path LIKE '%.md' AND split_part(path, '/', 1) IN (SELECT category FROM fresh) AND path NOT IN (SELECT path FROM located)",
+    "library_consistency": f"WITH {_PATHS} SELECT true AS built, (SELECT count(*) FROM located WHERE path NOT IN (SELECT path FROM paths)) AS n_missing, (SELECT count(*) FROM paths WHERE path LIKE '%.md' AND split_part(path, '/', 1) IN (SELECT category FROM fresh) AND path NOT IN (SELECT path FROM located)) AS n_orphans",
+    "at_stake": f"WITH {_FRESH} SELECT count(*) FILTER (quality = 'image') AS n_images, count(*) FILTER (quality = 'failed') AS n_failed FROM fresh",
+    "search_notes": _search(["ocr"], columns="path, score, context"),
     "cleanup_plan": f"WITH {_REMOVAL} SELECT manifest_pos, decision, size FROM removal",
     "cleanup_bytes": f"WITH {_REMOVAL} SELECT decision, count(*) AS n, sum(size)::BIGINT AS bytes, CASE WHEN sum(size) > 1e9 THEN printf('%.2f', sum(size)::DOUBLE / 1073741824) || 'GB' ELSE printf('%.0f', sum(size)::DOUBLE / 1048576) || 'MB' END AS label FROM removal GROUP BY decision",
     "ocr_sample_pages": f"WITH {_FILES} SELECT doc_id, array_to_string(list_sort(list_distinct([least(2, units - 1), units // 5, units // 2, units * 4 // 5])), ' ') AS pages FROM files",

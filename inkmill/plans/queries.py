@@ -179,6 +179,19 @@ def orphan_md(s, d):
     return audit.orphans(fx.fresh(s, d), fx.library_paths(s, d))
 
 
+def library_consistency(s, d):
+    return audit.consistency(fx.fresh(s, d), fx.library_paths(s, d))
+
+
+def at_stake(s, d):
+    return audit.at_stake(fx.fresh(s, d))
+
+
+def search_notes(s, d):
+    """A word of the note of recognised documents."""
+    return _search(s, d, ["ocr"]).select("path", "score", "context")
+
+
 def cleanup_plan(s, d):
     return audit.removal_plan(fx.fresh(s, d), fx.listing(s, d), fx.fresh_archive(s, d)).select("manifest_pos", "decision", "size")
 
@@ -220,6 +233,6 @@ _NAMES = (
     "garble_repaired radical_norm front_matter size_label raw_names md_names path_validity text_fingerprints mobi_epub_dedup incremental_plan incremental_counts "
     "merged_manifest catalog index_counts quality_report report_sections search_topk search_context search_category search_nothing verify_status verify_counts "
     "garble_repair_records missing_md orphan_md cleanup_plan cleanup_bytes ocr_sample_pages ocr_book_judge ocr_applied conversion_candidates "
-    "conversion_applied run_counts"
+    "conversion_applied run_counts library_consistency at_stake search_notes"
 ).split()
 QUERIES = {n: globals()[n] for n in _NAMES}
