@@ -22,7 +22,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that later occurrences of three-line windows cover."""
     found = lines.dedup_lines(docs)
     length = F.length("text").cast("long")
-    return found.select(*(length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    return found.select(*(length.alias(c) if c == "n_chars" else common.col(c) for c in docs.columns))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: A fitted classifier can't be stated in SQL; the tests hold the stages against brute force.
+#: A fitted classifier can't be stated in SQL; tests/llm/test_pipeline.py holds ``run`` against plain versions of the stages.
 ORACLE_SQL = None
 
 
