@@ -1,4 +1,4 @@
-"""Substring dedup: every passage of a given length that occurred before, at any place.
+"""Substring dedup by content-defined chunks: every passage of a given length that occurred before, at any place.
 
 A text is a row of units: words, and single characters for all else but spaces, for scripts
 without spaces and for words over LONG characters.  A passage is a span from
@@ -6,12 +6,13 @@ a unit's start to a unit's end that has ``min_run`` characters or ``words`` word
 occurred before, in the order of doc_id, is removed; the first occurrence stays.
 
 1. Rows of equal text are told by a digest; all but the first are repeats as a whole.
-2. From the shortest passage at each unit, the least hash of the shingles (passages of half the
-   length) in it is taken.  Equal passages take equal shingles, so a shingle taken at one place only is in
+2. A gear rolling hash ranks all positions by the GEAR characters from there on.  The least rank in the shortest passage from each unit is its
+   anchor, so equal passages have equal anchors, whatever was inserted before them.  (A mask on the hash, as is usual, leaves
+   some passages without a cut.)  A shingle of half the length stands for an anchor: one that occurs at one place only is in
    no repeat, and only about one in ten is shuffled.
-3. The passages that take one shingle make a stretch.  A stretch that an earlier row has too is a
+3. The passages with one anchor make a chunk of variable length.  A chunk that an earlier row has too, by its digest, is a
    repeat, all its passages included.
-4. Of what is left with a shared shingle, one row for each stretch, passages are compared by 128-bit
+4. Of what is left with a shared anchor, one row for each chunk, passages are compared by 128-bit
    digests.  Besides the shortest at each start there is one for each end that those skip, so together they
    cover a repeat to both its edges.
 """
@@ -24,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm import common
-from inkmill.llm.wordhash import _word_table, blocks, code_points, span_hashes
+from inkmill.llm.wordhash import _word_table, blocks, code_points, mix, span_hashes
 
 MIN_RUN = 180
 #: The fewest words of a passage of over 50, however short they are.
 WORDS = 51
 LONG = 32
+#: Characters of the rolling hash; a half of a passage of the default length has more, for shorter ones it is less.
+GEAR = 32
 #: Characters that a worker takes at once; a longer text is taken alone.
 BLOCK_CHARS = 500_000
 _LAST = (1 << 63) - 1
@@ -77,8 +80,22 @@ def least_in(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
+def gear_hashes(codes: np.ndarray, window: int = GEAR) -> np.ndarray:
+    """Gear hash of the ``window`` characters that begin at each position: the sum of their table values, each shifted once more than the next.
+
+    It rolls by doubling: sums of 2k characters are two sums of k.  The table's value of a character is a mixed hash of its code point.
+    """
+    h = mix(codes[::-1].astype(np.uint64) + np.uint64(0x6A09E667F3BCC909))
+    k = 1
+    while k < window:
+        longer = h.copy()
+        longer[k:] += h[:-k] << np.uint64(k)
+        h, k = longer, 2 * k
+    return h[::-1]
+
+
 class Passages:
-    """Of a block of texts: first (``at``) and last units of the shortest passages, the text of each and the shingle that it takes."""
+    """Of a block of texts: first (``at``) and last units of the shortest passages, the text of each and its anchor (``taken``), with the anchor's shingle."""
 
     def __init__(self, texts: list[str | None], chars: int, words: int) -> None:
         self.codes = code_points("\n".join(t or "" for t in texts) + "\n")
@@ -95,7 +112,9 @@ class Passages:
         shingles[whole] = span_hashes(self.codes, self.starts[whole], self.ends[half[whole]])
         self.at, self.to, self.text = at, to[at], text[at]
         inside = whole[np.searchsorted(half[whole], self.to, "right") - 1] if len(at) else at
-        self.taken = least_in(shingles, at, inside)
+        reach = max(1, min(GEAR, (chars + 1) // 2, 2 * ((words + 1) // 2) - 1))  # within any shingle
+        ranks = mix(gear_hashes(self.codes, 1 << reach.bit_length() - 1))
+        self.taken = least_in(ranks[self.starts], at, inside)
         self.digest = shingles[self.taken]
         self.ends_at = np.minimum(np.append(to, n)[at + 1], limit[at] + 1)
 

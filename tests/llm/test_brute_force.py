@@ -278,3 +278,56 @@ def test_backoff(spark, order, block_chars):
 def test_digest_of_words():
     assert near.digest(np.array([], np.uint64), "a") != near.digest(np.array([], np.uint64), "b")
     assert hashlib.blake2b(b"", digest_size=16).digest() != near.digest(np.array([1], np.uint64), "")
+
+
+def test_gear_hash_rolls():
+    codes = np.array([ord(c) for c in "the quick brown fox jumps over the lazy dog, the quick brown fox jumps over"], np.uint32)
+    g = substrings.mix(codes.astype(np.uint64) + np.uint64(0x6A09E667F3BCC909))
+    got = substrings.gear_hashes(codes, 8)
+    for i in range(len(codes) - 8):
+        h = 0
+        for j in range(i + 8, i, -1):  # the usual recurrence, from the last character to the first
+            h = ((h << 1) + int(g[j - 1])) & (2**64 - 1)
+        assert int(got[i]) == h
+    assert got[0] == got[45] and codes[:8].tolist() == codes[45:53].tolist()
+
+
+def plain_repeats(texts, chars, min_words):
+    """Characters of each text that an earlier text covers by a passage, by trying all."""
+    def passages(t):
+        starts, ends, count = substrings.units_of(substrings.code_points(t or ""))
+        for i in range(len(starts)):
+            for j in range(i, len(ends)):
+                if ends[j] - starts[i] >= chars or count[j + 1] - count[i] >= min_words:
+                    yield int(starts[i]), int(ends[j])
+
+    seen, out = {}, []
+    for k, t in enumerate(texts):
+        covered = set()
+        own = {}
+        for s, e in passages(t):
+            p = t[s:e]
+            if p in seen or p in own and s >= own[p]:
+                covered |= set(range(s, e))
+            own.setdefault(p, e)
+        for p in own:
+            seen.setdefault(p, k)
+        out.append("".join(c for i, c in enumerate(t or "") if i not in covered))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_substrings_against_all_passages(spark, seed):
+    """Passages of 70 characters, or of 9 words."""
+    rng = random.Random(seed)
+    vocabulary = ["alphabetical", "bears", "codes", "dancing", "elephants", "from", "gardens", "hidden", "in", "jungles"]
+    base = [" ".join(rng.choice(vocabulary) for _ in range(40)) for _ in range(3)]
+    texts = []
+    for _ in range(12):
+        b = rng.choice(base)
+        i = rng.randrange(0, 100)
+        texts.append(" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 8))) + rng.choice(["", ". ", " - "]) + b[i : i + rng.randint(40, 160)] + " " + " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 8))))
+    rows = list(enumerate(texts))
+    for chars, least in ((70, 1000), (1000, 9)):
+        got = {r.doc_id: r.text for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), chars, least).collect()}
+        assert [got[i] for i in range(len(texts))] == plain_repeats(texts, chars, least)
