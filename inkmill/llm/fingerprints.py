@@ -63,7 +63,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
         if len(full):
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(held[full])], names=["bucket", "n"])
 
-    got = docs.select(text_col).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = common.small_batches(docs).select(text_col).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size + 1, np.int64)
     out[got["bucket"].to_numpy()] = got["n"].to_numpy()
     return out[:size].reshape(SKETCH_ROWS, BUCKETS), int(out[size])
@@ -262,7 +262,7 @@ def compare_edits(docs: DataFrame, lexicon: Lexicon, unit_chars: int = UNIT_CHAR
                     over = bool(extra)
                     rows.append((doc_id,))
 
-    return dealt.select("unit", "extra", "place", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return common.small_batches(dealt).select("unit", "extra", "place", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -232,13 +232,13 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """All columns of ``pages`` but the HTML, with the main text in ``text_col``.
 
-    A column of that name is replaced.  A null or empty page, and one without main
+    A column of that name is replaced; others stay, whatever their names.  A null or empty page, and one without main
     text, has ''.  Repeated rows stay; an empty table stays empty.  Broken HTML is read as
     far as the parser reads it; the whole page is read, however long or deep.
     """
-    keep = [c for c in pages.columns if c not in (html_col, text_col)]
-    base = pages.select(*keep, html_col)
-    schema = common.with_field(pages.select(*keep).schema, text_col, "string")
+    keep = [c for c in pages.columns if c.lower() not in (html_col.lower(), text_col.lower())]
+    base = pages.select(*map(common.col, keep), html_col)
+    schema = common.with_field(pages.select(*map(common.col, keep)).schema, text_col, "string")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts = [main_text(h) for h in b.column(len(keep)).to_pylist()]

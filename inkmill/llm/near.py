@@ -180,8 +180,9 @@ def _verify(units: DataFrame, threshold: float) -> DataFrame:
         close()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+        common.release()
 
-    return units.mapInArrow(run, "node long, links long, root long")
+    return common.small_batches(units).mapInArrow(run, "node long, links long, root long")
 
 
 def _candidates(banded: DataFrame) -> DataFrame:

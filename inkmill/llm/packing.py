@@ -274,14 +274,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                         for row in packer.add(doc_id, np.frombuffer(ids + end, "<u4")):
                             rows.append(row)
                             size += row[2]
-                        if size > 1 << 20:
+                        if size > 1 << 18:
                             yield batch()
                             rows, size = [], 0
         rows += packer.finish()
         if rows:
             yield batch()
+        common.release()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+    return common.small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,7 +67,7 @@ def groups(n, links):
     return [find(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"block_texts": 3, "block_shingles": 200, "most_blocks": 1}, {"block_texts": 2, "rows": (5,)}])
+@pytest.mark.parametrize("options", [{}, {"block_texts": 3, "block_shingles": 200, "most_blocks": 1}])
 def test_near_links_and_classes(spark, options):
     base = [prose(s, 200) for s in range(6)]
     texts = [x for s, b in enumerate(base) for x in [b, *(changed(b, share, 100 * s + k) for k, share in enumerate((0.005, 0.01, 0.015, 0.02, 0.05)))]]
@@ -85,7 +85,7 @@ def test_near_links_and_classes(spark, options):
     assert all(rows[own_columns(r)][0] == r.doc_id for r in kept)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     rng = random.Random(seed)
     n = 80
@@ -265,8 +265,7 @@ def backoff_scores(texts, order=3, alpha=0.4):
     return out
 
 
-@pytest.mark.parametrize("order", [1, 2, 3, 4])
-@pytest.mark.parametrize("block_chars", [100, 10**7])
+@pytest.mark.parametrize(("order", "block_chars"), [(1, 100), (2, 10**7), (3, 100), (3, 10**7), (4, 1000)])
 def test_backoff(spark, order, block_chars):
     texts = [prose(s, 40, 30) for s in range(20)] + [prose(3, 40, 30)] * 2 + ["one", "one one one", None, "", "?!"]
     rows = [(k if k % 4 else None, t) for k, t in enumerate(texts)]

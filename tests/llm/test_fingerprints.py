@@ -54,7 +54,7 @@ def test_likeness():
 ROWS = [(7, prose(1)), (3, prose(2)), (3, prose(3)), (3, prose(3)), (None, prose(4)), (None, None), (None, prose(5)), (-9, ""), (1 << 62, prose(6, 3000)), (0, "?!")]
 
 
-@pytest.mark.parametrize("unit_chars", [50, 400, 1 << 30])
+@pytest.mark.parametrize("unit_chars", [50, 1 << 30])
 @pytest.mark.parametrize("rows", [ROWS, ROWS[:1], [(None, "a b"), (None, "a b"), (None, "c d")], [(i, prose(i, 20)) for i in range(300)], []])
 def test_edits_against_brute_force(spark, rows, unit_chars):
     docs = frame(spark, rows).repartition(3) if rows else frame(spark, rows)

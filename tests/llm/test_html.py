@@ -90,7 +90,7 @@ def test_deep_and_long_pages_take_linear_time():
     assert time.perf_counter() - start < 20
 
 
-NEED = "page_id long, url string, html string, text long, n_chars string, own int"
+NEED = "page_id long, url string, html string, TEXT long, n_chars string, `o.w``n` int"
 
 
 def test_every_row_of_any_table(spark):
@@ -98,5 +98,5 @@ def test_every_row_of_any_table(spark):
     rows = [(1, "u", page, 1, "n", 5), (1, "u", page, 1, "n", 5), (None, None, None, None, None, None), (2, "v", "", 2, "", 6), (3, "w", "<![foo bar[ x ]]>", 3, "", 7)]
     got = html.extract(spark.createDataFrame(rows, NEED)).collect()
     assert sorted((str(r.page_id), r.text) for r in got) == sorted([("1", "\n\n".join(LAYOUTS["article"][1]))] * 2 + [("None", ""), ("2", ""), ("3", "")])
-    assert got[0].asDict().keys() == {"page_id", "url", "text", "n_chars", "own"}
+    assert got[0].asDict().keys() == {"page_id", "url", "text", "n_chars", "o.w`n"}
     assert html.extract(spark.createDataFrame([], NEED)).collect() == []
