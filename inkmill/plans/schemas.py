@@ -6,7 +6,7 @@ _KINDS = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType()
 
 
 def _schema(**fields: str) -> T.StructType:
-    """Nullable fields by kind: each kind names its fields in the order in which they come."""
+    """Nullable fields in the order given, each with its kind."""
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in fields.items()])
 
 

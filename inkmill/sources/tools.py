@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from inkmill.operators.ocr import DPI
 
-#: Names of a tool, and where installers put it beside the search path.
+#: Names of a tool, and where installers put it beside the search path (fixed values).
 PLACES = {
     "libreoffice": (["soffice", "libreoffice"], ["/Applications/LibreOffice.app/Contents/MacOS/soffice", r"C:\Program Files\LibreOffice\program\soffice.exe"]),
     "tesseract": (["tesseract"], ["/opt/homebrew/bin/tesseract", r"C:\Program Files\Tesseract-OCR\tesseract.exe"]),
