@@ -72,14 +72,16 @@ def exploded(words: np.ndarray, offsets: np.ndarray, order: int) -> Iterator[tup
 def log_scores(words: np.ndarray, offsets: np.ndarray, order: int, alpha: float, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """Log scores of all words of a block, by the counts of all other documents; ``grams`` are sorted, the first is the empty one."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    salt = mix(owner.astype(np.uint64) + np.uint64(0x5BD1E995))
-    n_words = np.diff(offsets)
-    context = np.log(np.maximum(1, totals[0] - n_words))[owner]
+    context = np.log(np.maximum(1, totals[0] - np.diff(offsets)))[owner]
     score = np.zeros(len(words))
     for k, (ends, gram) in enumerate(ngrams(words, offsets, order), 1):
-        _, inverse, own = np.unique(gram ^ salt[ends], return_inverse=True, return_counts=True)
-        at = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
-        others = np.where(grams[at] == gram, totals[at] - own[inverse], 0)
+        turn = np.argsort(gram, kind="stable")  # so equal n-grams are in order of their documents
+        gram, own = gram[turn], owner[ends][turn]
+        first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (own[1:] != own[:-1])])[: len(gram)])
+        count = np.diff(np.append(first, len(gram)))
+        at = np.minimum(np.searchsorted(grams, gram[first]), len(grams) - 1)
+        others = np.empty(len(gram), np.int64)
+        others[turn] = np.repeat(np.where(grams[at] == gram[first], totals[at] - count, 0), count)
         logs = np.log(np.maximum(1, others))
         if k == 1:
             score[ends] = logs - context[ends]
