@@ -59,10 +59,10 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str)
     A hot key's rows never meet in one task: keys of more than 1/HOT of the rows, fewer than HOT of them, are broadcast.
     Both sides are read twice where there are any, so they should be tables.
     """
-    total = table.agg(F.sum(count)).first()[0] or 0
-    hot = table.filter(F.col(count) > total / HOT)
-    if not hot.limit(1).count():
+    total, most = table.agg(F.sum(count), F.max(count)).first()
+    if most is None or most <= total / HOT:
         return rows.join(table, keys)
+    hot = table.filter(F.col(count) > total / HOT)
     others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.filter(F.col(count) <= total / HOT), keys)
     return rows.join(F.broadcast(hot), keys).unionByName(others)
 
