@@ -36,6 +36,9 @@ CACHE_WORDS = 200_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
+#: What the vocabulary's tokens at the end of a word end with.
+END_OF_WORD = "</w>"
+
 #: Texts outside of printable Latin-1, or with a special token, are encoded whole.
 _OTHER = re.compile("[^\t\n\r -~\xa0-\xff]")
 _SPECIAL = "<|"
@@ -61,16 +64,23 @@ class CachedTokenizer:
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Whether a token ends a word.
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            ends = np.searchsorted(owner, np.arange(len(part) + 1))
-            self.known.update((w, ids[i:j].tobytes()) for w, i, j in zip(part, ends, ends[1:], strict=False))
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part):  # a vocabulary that does not mark ends of words
+                e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+                ends = np.searchsorted(np.array(e.word_ids), np.arange(1, len(part) + 1))
+            raw, at_bytes = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.known.update(zip(part, [raw[i:j] for i, j in zip(at_bytes, at_bytes[1:])], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
@@ -94,25 +104,25 @@ def tokenizer_of(path: str | None) -> CachedTokenizer:
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
     """Multiway Karmarkar-Karp: item numbers of k subsets with near-equal sums.
 
-    A partial partition is k (sum, items) pairs in falling order; the two with
+    A partial partition is the (sum, items) pairs of its subsets in falling order; of k, empty ones are left out.  The two with
     the largest spread are merged, the largest sums of one with the smallest of
     the other, until one is left.  Items are a tree of pairs until the end.
     """
-    heap = []
-    for i, s in enumerate(sizes):
-        heap.append((-s if k > 1 else 0, i, [(s, i)] + [(0, None)] * (k - 1)))
+    heap = [(-s if k > 1 else 0, i, [(s, i)]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
     n = len(sizes)
     while len(heap) > 1:
         _, _, a = heapq.heappop(heap)
         _, _, b = heap[0]
-        merged = [(x + y, (p, q) if p is not None and q is not None else p if q is None else q) for (x, p), (y, q) in zip(a, reversed(b), strict=True)]
+        # Of k places those without items are left out; a's i-th meets b's (k - 1 - i)-th.
+        met = k - len(b)
+        merged = a[:met] + b[: k - len(a)] + [(x + y, (p, q)) for (x, p), (y, q) in zip(a[met:], reversed(b[max(0, k - len(a)) :]))]
         merged.sort(key=lambda e: -e[0])
-        heapq.heapreplace(heap, (merged[-1][0] - merged[0][0], n, merged))
+        heapq.heapreplace(heap, ((merged[-1][0] if len(merged) == k else 0) - merged[0][0], n, merged))
         n += 1
     out: list[list[int]] = []
     for _, tree in heap[0][2] if heap else []:
-        items, stack = [], [tree] if tree is not None else []
+        items, stack = [], [tree]
         while stack:
             t = stack.pop()
             if isinstance(t, tuple):
@@ -120,7 +130,7 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
             else:
                 items.append(t)
         out.append(items)
-    return out
+    return out + [[] for _ in range(k - len(out))] if out else out
 
 
 def windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
