@@ -1,6 +1,6 @@
 """Queries of the subpackage: ``opN_<name>`` over whole tables, and SQL where it can express them."""
 
-from inkmill.llm import decontamination, fingerprints, html, language, lines, near, packing, quality, scoring, substrings
+from inkmill.llm import decontamination, fingerprints, html, language, lines, near, packing, quality, scoring, simhash, substrings
 
 QUERIES = {
     "op1_ngram_jaccard": near.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_html_extraction": html.op8,
     "op9_packing": packing.op9,
     "op10_lm_scoring": scoring.op10,
+    "op13_simhash_near_dedup": simhash.op13,
 }
 
 ORACLES = {
