@@ -1,6 +1,6 @@
 """Queries of the subpackage: ``opN_<name>`` over whole tables, and SQL where it can express them."""
 
-from inkmill.llm import decontamination, fingerprints, html, language, lines, near, packing, quality, scoring, simhash, substrings
+from inkmill.llm import collocations, decontamination, fingerprints, html, language, lines, near, packing, quality, quantiles, scoring, simhash, substrings
 
 QUERIES = {
     "op1_ngram_jaccard": near.op1,
@@ -13,6 +13,8 @@ QUERIES = {
     "op8_html_extraction": html.op8,
     "op9_packing": packing.op9,
     "op10_lm_scoring": scoring.op10,
+    "op11_collocations": collocations.op11,
+    "op12_gk_quantiles": quantiles.op12,
     "op13_simhash_near_dedup": simhash.op13,
 }
 
@@ -21,4 +23,5 @@ ORACLES = {
     "op2_decontamination": decontamination.OP2_SQL,
     "op5_line_dedup": lines.OP5_SQL,
     "op10_lm_scoring": scoring.OP10_SQL,
+    "op11_collocations": collocations.OP11_SQL,
 }
