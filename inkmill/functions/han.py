@@ -43,7 +43,12 @@ def repeat_rate(c: Column) -> Column:
 
 
 def garbled(c: Column, radicals: float = MAX_RADICALS, repeats: float = MAX_REPEATS, least: int = MIN_HAN) -> Column:
-    return (han_count(c) >= least) & ((radical_rate(c) > radicals) | (repeat_rate(c) > repeats))
+    def judged(x: Column) -> Column:
+        most = F.greatest(x["n"], F.lit(1))
+        again = F.regexp_count(x["h"], F.lit(r"(.)(?=\1)")) / most
+        return (x["n"] >= least) & ((F.regexp_count(x["c"], F.lit(f"[{RADICALS}]")) / most > radicals) | (again > repeats))
+
+    return bound(F.struct(c.alias("c"), han(c).alias("h")), lambda x: bound(F.struct(x["c"].alias("c"), x["h"].alias("h"), F.length(x["h"]).alias("n")), judged))
 
 
 def _foldings() -> tuple[str, str]:
@@ -61,7 +66,8 @@ def fold_radicals(c: Column) -> Column:
 def single_repeats(c: Column) -> Column:
     """Runs of a Han character to one, for characters that follow themselves three times in the text."""
     again = F.regexp_extract_all(c, F.lit(rf"([{HAN}])(?=\1)"), 1)
-    often = bound(again, lambda a: F.array_join(F.filter(F.array_distinct(a), lambda x: F.size(F.filter(a, lambda y: y == x)) >= 3), ""))
+    # of the sorted repeats, those that stand two places later again are there three times
+    often = bound(F.array_sort(again), lambda a: F.array_join(F.array_distinct(F.filter(a, lambda x, i: F.get(a, i + 2) == x)), ""))
     return F.when(often != "", F.regexp_replace(c, F.concat(F.lit("(["), often, F.lit(r"])\1+")), F.lit("$1"))).otherwise(c)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.functions import han, names, rules, text
-from inkmill.operators import incremental, library
+from inkmill.operators import counters, incremental, library
 
 SHORT_BODY, SHORT_BOOK_PAGES, SHORT_BOOK_CHARS = 30, 20, 50
 LEAST_BYTES = 10
@@ -32,13 +32,22 @@ def archive_status(manifest: DataFrame, archive: DataFrame) -> DataFrame:
     return rows.select("manifest_pos", "name", status.alias("status"), (short & (status == "ok")).alias("short_book"))
 
 
+#: Counters of ``archive_status``, in the order of a summary.
+STATUS_COUNTS = {
+    "checked": lambda: F.count_if(F.col("status") != "noraw"),
+    **{s: (lambda s=s: F.count_if(F.col("status") == s)) for s in ("ok", "empty", "garbled", "noraw", "unverified")},
+    "short_book": lambda: F.count_if("short_book"),
+    "healthy": lambda: F.count_if((F.col("status") != "ok") | F.col("short_book")) == 0,
+}
+
+
 def status_counts(status: DataFrame) -> DataFrame:
-    return status.agg(
-        F.count_if(F.col("status") != "noraw").alias("checked"),
-        *(F.count_if(F.col("status") == s).alias(s) for s in ("ok", "empty", "garbled", "noraw", "unverified")),
-        F.count_if("short_book").alias("short_book"),
-        (F.count_if((F.col("status") != "ok") | F.col("short_book")) == 0).alias("healthy"),
-    )
+    return status.agg(*(c().alias(n) for n, c in STATUS_COUNTS.items()))
+
+
+def verified(manifest: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``archive_status`` as a table, and ``status_counts``, counted while it is written."""
+    return counters.counted(archive_status(manifest, archive), "status", {n: c() for n, c in STATUS_COUNTS.items()})
 
 
 def expected(manifest: DataFrame) -> DataFrame:
@@ -130,3 +139,29 @@ def repaired(manifest: DataFrame, archive: DataFrame, radicals: float = han.MAX_
 
 def safe_rows(manifest: DataFrame) -> DataFrame:
     return manifest.filter(names.safe(names.key(F.col("rel"), F.col("name"))))
+
+
+def marked(manifest: DataFrame, gone: DataFrame) -> DataFrame:
+    """The manifest with ``original_deleted`` for the records of ``gone`` (manifest_pos)."""
+    pos = gone.select(F.col("manifest_pos").alias("_pos")).distinct()
+    rows = manifest.join(pos, F.col("manifest_pos") == F.col("_pos"), "left")
+    return rows.withColumn("original_deleted", F.when(F.col("_pos").isNotNull(), True).otherwise(F.col("original_deleted"))).select(*manifest.columns)
+
+
+def recovered(manifest: DataFrame, intents: DataFrame, sources: DataFrame) -> DataFrame:
+    """The manifest after a removal that was cut off: records with an intent (manifest_pos, key) are marked if their source (rel) is gone."""
+    return marked(manifest, intents.join(sources.select(F.col("rel").alias("key")), "key", "left_anti"))
+
+
+def swapped(manifest: DataFrame, archive: DataFrame, repaired: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Manifest and archive after ``repaired`` (MANIFEST fields, text) is committed: a text and its record change together, or not at all.
+
+    They change only if the archive still has the text that the record names, and no other record names it.
+    """
+    holders = manifest.filter("raw <> ''").groupBy("raw").agg(F.count("*").alias("_holders"))
+    now = manifest.select("manifest_pos", F.col("raw_sha256").alias("_known")).join(repaired.withColumn("_new", F.col("text")).drop("text"), "manifest_pos")
+    now = now.join(archive.select("raw", F.col("text").alias("_old")), "raw").join(holders, "raw")
+    good = now.filter((text.text_sha256(F.col("_old")) == F.col("_known")) & (F.col("_holders") == 1))
+    records = manifest.join(good.select("manifest_pos"), "manifest_pos", "left_anti").select(*manifest.columns).unionByName(good.select(*manifest.columns))
+    texts = archive.join(good.select("raw"), "raw", "left_anti").select("raw", "text").unionByName(good.select("raw", F.col("_new").alias("text")))
+    return records, texts

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.functions import names, rules, text
+from inkmill.operators import counters
 from inkmill.plans.schemas import MANIFEST
 from inkmill.sources.shared import cut
 
@@ -90,18 +91,25 @@ def failed(planned: DataFrame, extracted: DataFrame) -> DataFrame:
     return extracted.filter("error is not null").select("rel", "error").join(tried, "rel", "left_semi")
 
 
-def run_counts(planned: DataFrame, extracted: DataFrame) -> DataFrame:
-    """``counts`` and n_failed, one row."""
-    return counts(planned).crossJoin(F.broadcast(failed(planned, extracted).agg(F.count("*").alias("n_failed"))))  # one row each
+#: Counters of a plan: new, kept and retried sources, and those extracted anew for another reason.
+COUNTS = {
+    **{f"n_{c}": (lambda c=c: F.count_if(F.col("counter") == c)) for c in ("new", "kept", "retried")},
+    "n_again": lambda: F.count_if(F.col("counter").isNull()),
+    "n_sources": lambda: F.count("*"),
+}
 
 
 def counts(planned: DataFrame) -> DataFrame:
-    """One row: new, kept and retried sources, and those extracted anew for another reason."""
-    return planned.agg(
-        *(F.count_if(F.col("counter") == c).alias(f"n_{c}") for c in ("new", "kept", "retried")),
-        F.count_if(F.col("counter").isNull()).alias("n_again"),
-        F.count("*").alias("n_sources"),
-    )
+    """One row with COUNTS."""
+    return planned.agg(*(c().alias(n) for n, c in COUNTS.items()))
+
+
+def counted(planned: DataFrame, extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The plan as a table, with the error of each source that could not be extracted; and COUNTS and n_failed, counted while it is written."""
+    errors = extracted.filter("error is not null").groupBy("rel").agg(F.min("error").alias("failure"))
+    tried = (F.col("action") == "extract") & F.col("ext").isin(*EXTRACTABLE)
+    rows = planned.join(errors, "rel", "left").withColumn("failure", F.when(tried, F.col("failure")))
+    return counters.counted(rows, "planned", {**{n: c() for n, c in COUNTS.items()}, "n_failed": F.count("failure")})
 
 
 def merge(planned: DataFrame, manifest: DataFrame, extracted: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import text
@@ -38,30 +38,47 @@ def searchable(library: DataFrame) -> DataFrame:
     return library.select("path", "title", F.array_join("tags", ", ").alias("tags"), "excerpt", F.col("name").alias("source"), body.alias("body"), "quality")
 
 
+def meta() -> Column:
+    """Tags, excerpt and source with the title before them."""
+    return F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "tags", "excerpt", "source")))
+
+
+def in_category(rows: DataFrame, category: str | None) -> DataFrame:
+    """Rows whose folder's path begins with the category; a document without a folder has none."""
+    folder = F.regexp_extract("path", r"(?s)\A(.*)/[^/]*\z", 1)
+    return rows.filter((folder != "") & folder.startswith(category)) if category else rows
+
+
+def scored(rows: DataFrame, words: list[str]) -> DataFrame:
+    """Rows with t, m and b of each keyword's number, those with a hit, with ``score`` and ``why``."""
+    score, why = [], []
+    for i, w in enumerate(words):
+        t, m, b = F.col(f"t{i}"), F.col(f"m{i}"), F.col(f"b{i}")
+        score.append(TITLE_WEIGHT * t + META_WEIGHT * F.greatest(m - t, F.lit(0)) + F.least(b, F.lit(BODY_MOST)))
+        parts = F.concat_ws(" ", *(F.when(n > 0, F.concat(F.lit(f"{label}×"), n.cast("string"))) for label, n in (("标题", t), ("标签摘要", m - t), ("正文", b))))
+        hit = (t > 0) | (m > t) | (b > 0)
+        why.append(F.when(hit, F.concat(F.lit(f"{w}("), parts, F.lit(")")) if len(words) > 1 else parts))
+    return rows.withColumns({"score": reduce(lambda a, b: a + b, score), "why": F.concat_ws(" ", *why)}).filter("score > 0")
+
+
+def shown(rows: DataFrame, words: list[str]) -> DataFrame:
+    """Scored rows with the context of the first keyword that the body has."""
+    context = [F.when(F.col(f"b{i}") > 0, text.context(F.col("body"), w)) for i, w in enumerate(words)]
+    return rows.select("path", "score", "why", F.coalesce(*context, F.lit("")).alias("context"), "quality")
+
+
 def search(corpus: DataFrame, keywords: list[str], category: str | None = None) -> DataFrame:
     """(path, score, why, context, quality) of documents that any keyword hits.
 
     A hit in the title scores 5, one in tags, excerpt or source 3, one in the body 1
     up to 10; a keyword given twice counts twice.  ``category`` is a prefix of the folder's path, and leaves out
-    documents without one.  One narrow pass, whatever the number of keywords.
+    documents without one.  One narrow pass, whatever the number of keywords; ``grams.find`` has an index instead.
     """
     words = [k.lower() for k in keywords]
-    folder = F.regexp_extract("path", r"(?s)\A(.*)/[^/]*\z", 1)
-    rows = corpus.filter((folder != "") & folder.startswith(category)) if category else corpus
-    meta = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "tags", "excerpt", "source")))
-    rows = rows.withColumns({"_title": F.lower("title"), "_meta": F.lower(meta), "_body": F.lower("body")})
-    hits, score, why, context = [], [], [], []
+    rows = in_category(corpus, category).withColumns({"_title": F.lower("title"), "_meta": F.lower(meta()), "_body": F.lower("body")})
     for i, w in enumerate(words):
-        rows = rows.withColumns({f"_t{i}": text.occurrences(F.col("_title"), w), f"_m{i}": text.occurrences(F.col("_meta"), w), f"_b{i}": text.occurrences(F.col("_body"), w)})
-        t, m, b = F.col(f"_t{i}"), F.col(f"_m{i}"), F.col(f"_b{i}")
-        more = F.greatest(m - t, F.lit(0))
-        score.append(TITLE_WEIGHT * t + META_WEIGHT * more + F.least(b, F.lit(BODY_MOST)))
-        parts = F.concat_ws(" ", *(F.when(n > 0, F.concat(F.lit(f"{label}×"), n.cast("string"))) for label, n in (("标题", t), ("标签摘要", m - t), ("正文", b))))
-        hits.append((t > 0) | (m > t) | (b > 0))
-        why.append(F.when(hits[-1], F.concat(F.lit(f"{w}("), parts, F.lit(")")) if len(words) > 1 else parts))
-        context.append(F.when(b > 0, text.context(F.col("body"), w)))
-    rows = rows.withColumn("score", reduce(lambda a, b: a + b, score)).filter("score > 0")
-    return rows.select("path", "score", F.concat_ws(" ", *why).alias("why"), F.coalesce(*context, F.lit("")).alias("context"), "quality")
+        rows = rows.withColumns({f"{c}{i}": F.coalesce(text.occurrences(F.col(f), w), F.lit(0)) for c, f in (("t", "_title"), ("m", "_meta"), ("b", "_body"))})
+    return shown(scored(rows, words), words)
 
 
 def top(hits: DataFrame, k: int = 10) -> DataFrame:

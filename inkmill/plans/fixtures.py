@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import names, rules, text
-from inkmill.operators import incremental
+from inkmill.operators import audit, changes, incremental
 from inkmill.plans.schemas import MANIFEST
+from inkmill.sources.shared import cut
 
 EXTENSIONS = [".pdf", ".pptx", ".docx", ".doc", ".epub", ".ppt", ".mobi", ".txt"]
 STEMS = ["slogan合集", "品牌手册", "小红书运营", "行业报告", "营销策划方案", "4A提案", "春节campaign", "培训方案", "音乐节活动", "作品集", "readme", "VI手册"]
@@ -163,3 +164,36 @@ def library_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.range(4).select(F.concat(F.lit("其他/orphan_"), F.col("id").cast("string"), F.lit(".md")).alias("path"))
     notes = spark.createDataFrame([("INDEX.md",), ("手工/own.md",), ("其他/figure.png",)], "path string")
     return own.union(more).union(notes)
+
+
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that makes the manifest after a run from the prior one, in batches 2 to 4, some changed twice and a batch written twice; 9 drops what failed."""
+    after = cut(manifest(spark, sf_dir), "after")
+    delta = cut(changes.between(prior(spark, sf_dir), after), "delta").withColumn("batch", (F.col("manifest_pos") % 3 + 2).cast("long"))
+    stale = delta.filter("op = 'put' and manifest_pos % 2 = 0").withColumn("note", F.lit("stale")).withColumn("batch", F.lit(1).cast("long"))
+    dropped = after.filter("quality = 'failed'").withColumn("op", F.lit(changes.DROP)).withColumn("batch", F.lit(9).cast("long"))
+    return delta.unionByName(stale).unionByName(delta.filter("batch = 3")).unionByName(dropped)
+
+
+def later_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fresh_archive`` with Han texts, of which some were changed by someone else."""
+    f = files(spark, sf_dir).filter(F.col("ext").isin(*incremental.EXTRACTABLE) & (F.col("g") % 10 != 1))
+    own = han_text(F.col("text"))
+    return f.select(names.raw_path(F.col("rel")).alias("raw"), F.when(F.col("g") % 6 == 0, F.concat(own, F.lit("x"))).otherwise(own).alias("text"))
+
+
+def half_removed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Intents of a removal that was cut off, and the sources that are left: those with odd numbers."""
+    plan = audit.removal_plan(fresh(spark, sf_dir), listing(spark, sf_dir), fresh_archive(spark, sf_dir))
+    return plan.filter("decision = 'delete'").select("manifest_pos", "key"), files(spark, sf_dir).filter("doc_id % 2 = 1").select("rel")
+
+
+#: Letters of a word of ``word_rules`` at least, and the number of rules.
+WORD_LETTERS, WORD_RULES = 9, 1000
+
+
+def word_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(position, category, keyword): the long words of all documents, dealt to rules by their digest."""
+    words = documents(spark, sf_dir).select(F.explode(F.split(F.lower("text"), " ")).alias("keyword")).filter(F.length("keyword") >= WORD_LETTERS).distinct()
+    position = F.conv(F.substring(F.md5(F.col("keyword").cast("binary")), 1, 6), 16, 10).cast("long") % WORD_RULES
+    return words.select(position.alias("position"), F.concat(F.lit("R"), position.cast("string")).alias("category"), "keyword")

@@ -285,4 +285,15 @@ ORACLES = {
     "conversion_applied": _CONVERTED,
     "run_counts": f"WITH {_PLAN} SELECT count(*) FILTER (counter = 'new') AS n_new, count(*) FILTER (counter = 'kept') AS n_kept, count(*) FILTER (counter = 'retried') AS n_retried, count(*) FILTER (counter IS NULL) AS n_again, count(*) AS n_sources, count(*) FILTER (NOT keep AND {_GOOD} AND g % 50 = 7) AS n_failed FROM plan",
     "ocr_book_judge": f"SELECT conv_id, round(avg(length({_strip("coalesce(text, '')")})), 6) AS mean, avg(length({_strip("coalesce(text, '')")})) >= 150 AS is_book FROM conversations GROUP BY conv_id",
+    "manifest_log": f"SELECT * FROM ({_MERGED}) WHERE quality IS DISTINCT FROM 'failed'",
+    "garble_applied": f"""WITH {_FRESH_HAN}, {_ARCHIVE_HAN}, {_SCORES}, {_REPAIRED.removeprefix(_HANS + ', ')},
+rep AS (SELECT manifest_pos, t FROM fresh JOIN farch USING (raw) JOIN sc ON doc_id = manifest_pos JOIN fixed ON id = manifest_pos
+ WHERE quality IN ('text', 'sparse') AND sha256(text) = raw_sha256 AND n >= 50 AND (radicals > 0.03 OR repeats > 0.06) AND (manifest_pos // 8) % 6 <> 0)
+SELECT f.manifest_pos, CASE WHEN t IS NULL THEN f.chars ELSE length({_strip('t')})::INT END AS chars, CASE WHEN t IS NULL THEN f.raw_sha256 ELSE sha256(t) END AS raw_sha256,
+ CASE WHEN t IS NOT NULL THEN true ELSE f.garble_fixed END AS garble_fixed, sha256(coalesce(t, CASE WHEN (f.manifest_pos // 8) % 6 = 0 THEN a.text || 'x' ELSE a.text END)) AS archive_sha256
+FROM fresh f LEFT JOIN farch a ON a.raw = f.raw LEFT JOIN rep ON rep.manifest_pos = f.manifest_pos""",
+    "removal_recovered": f"WITH {_REMOVAL} SELECT f.manifest_pos, CASE WHEN r.decision = 'delete' AND f.manifest_pos % 2 = 0 THEN true ELSE f.original_deleted END AS original_deleted FROM fresh f LEFT JOIN removal r ON r.manifest_pos = f.manifest_pos",
+    "search_indexed": _search(["que", "der"], tail="ORDER BY score DESC, path LIMIT 10"),
+    "classify_table": f"""WITH w AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS k FROM documents), r AS (SELECT k, ('0x' || md5(k)[1:6])::BIGINT % {fx.WORD_RULES} AS p FROM w WHERE length(k) >= {fx.WORD_LETTERS})
+SELECT item_id, coalesce('R' || min(p), {_s(rules.OTHER)}) AS category FROM benchmark LEFT JOIN r ON contains(lower(text), k) GROUP BY item_id""",
 }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import han, names, rules, text
-from inkmill.operators import audit, incremental, library, ocr, recovery, search
+from inkmill.operators import audit, changes, grams, incremental, keyrules, library, ocr, recovery, search
 from inkmill.plans import fixtures as fx
+from inkmill.sources.shared import cut, file_system, shared_dir
 
 #: Prefixes that make safe and unsafe paths of a relative one, in turn by doc_id.
 PREFIXES = ["", "/", "C:\\", "../", "a//", "a/./", "a/../", "\\\\s\\", "//s/", "n\\c\\", "..", "."]
@@ -158,12 +161,28 @@ def search_nothing(s, d):
     return _search(s, d, ["zzzznotfound"]).select("path", "score")
 
 
+def search_indexed(s, d):
+    """As ``search_topk``, by an index of pairs of characters that is built in two generations."""
+    corpus = cut(search.searchable(_library(s, d)), "corpus")
+    root = f"{shared_dir(s)}/index-{uuid.uuid4().hex}"
+    fs, where = file_system(s, root)
+    fs.deleteOnExit(where)
+    grams.add(corpus.withColumn("body", F.when(F.crc32("path") % 3 == 0, "der alte Text").otherwise(F.col("body"))), root)
+    grams.add(corpus.filter(F.crc32("path") % 3 == 0), root)
+    return search.top(grams.find(corpus, root, ["que", "der"])).select("path", "score", "why", "quality")
+
+
+def classify_table(s, d):
+    """Benchmark items by a table of rules made of the long words of all documents."""
+    return keyrules.classify(fx.table(s, d, "benchmark").select("item_id", "text"), fx.word_rules(s, d), "text", rules.OTHER).select("item_id", "category")
+
+
 def verify_status(s, d):
     return audit.archive_status(fx.fresh(s, d, True), fx.fresh_archive(s, d, True))
 
 
 def verify_counts(s, d):
-    return audit.status_counts(verify_status(s, d))
+    return audit.verified(fx.fresh(s, d, True), fx.fresh_archive(s, d, True))[1]
 
 
 def garble_repair_records(s, d):
@@ -225,7 +244,23 @@ def conversion_applied(s, d):
 
 
 def run_counts(s, d):
-    return incremental.run_counts(fx.planned(s, d), fx.extracted(s, d))
+    return incremental.counted(fx.planned(s, d), fx.extracted(s, d))[1]
+
+
+def manifest_log(s, d):
+    return changes.fold(fx.prior(s, d), fx.change_log(s, d))
+
+
+def garble_applied(s, d):
+    """Records and texts after a repair is committed, though some texts were changed after they had been read for it."""
+    fixed = audit.repaired(fx.fresh(s, d, True), fx.fresh_archive(s, d, True))
+    records, texts = audit.swapped(fx.fresh(s, d, True), fx.later_archive(s, d), fixed)
+    held = texts.select("raw", text.text_sha256(F.col("text")).alias("archive_sha256"))
+    return records.join(held, "raw", "left").select("manifest_pos", "chars", "raw_sha256", "garble_fixed", "archive_sha256")
+
+
+def removal_recovered(s, d):
+    return audit.recovered(fx.fresh(s, d), *fx.half_removed(s, d)).select("manifest_pos", "original_deleted")
 
 
 _NAMES = (
@@ -233,6 +268,6 @@ _NAMES = (
     "garble_repaired radical_norm front_matter size_label raw_names md_names path_validity text_fingerprints mobi_epub_dedup incremental_plan incremental_counts "
     "merged_manifest catalog index_counts quality_report report_sections search_topk search_context search_category search_nothing verify_status verify_counts "
     "garble_repair_records missing_md orphan_md cleanup_plan cleanup_bytes ocr_sample_pages ocr_book_judge ocr_applied conversion_candidates "
-    "conversion_applied run_counts library_consistency at_stake search_notes"
+    "conversion_applied run_counts library_consistency at_stake search_notes manifest_log garble_applied removal_recovered search_indexed classify_table"
 ).split()
 QUERIES = {n: globals()[n] for n in _NAMES}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,68 +10,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.functions import names
-from inkmill.sources import manifests
+from inkmill.sources import contained, manifests
 from inkmill.sources.shared import cut
 
 
-def put_file(path: str, data: bytes) -> None:
-    """Write beside and rename, so that a reader, or a task that is run again, never sees half a file."""
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    part = f"{path}.{os.getpid()}.part"
-    with open(part, "wb") as f:
-        f.write(data)
-    os.replace(part, path)
-
-
-def plain_file(root: str, path: str) -> str | None:
-    """The full path of a file below ``root`` that is reached without links, or None."""
-    at = root
-    for part in path.split("/"):
-        at = os.path.join(at, part)
-        if os.path.islink(at):
-            return None
-    return at if os.path.isfile(at) else None
-
-
 def write(texts: DataFrame, root: str) -> DataFrame:
     """(raw, raw_sha256, bytes, error) after writing each (raw, text) below ``root``, a folder that the workers share.
 
-    The fingerprint is that of the text, not of what is on disk later.  A path that may leave ``root`` is an error.
+    The fingerprint is that of the text, not of what is on disk later.  A path that may leave ``root``, or leads through a link, is an error.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for raw, body, good in zip(frame["raw"], frame["text"], frame["good"]):
-                if not good:
-                    rows.append((raw, None, None, "unsafe path"))
-                    continue
-                data = (body or "").encode()
+            for raw, body in zip(frame["raw"], frame["text"]):
                 try:
-                    put_file(os.path.join(root, raw), data)
+                    data = (body or "").encode()
+                    contained.write(root, raw or "", data)
                     rows.append((raw, hashlib.sha256(data).hexdigest(), len(data), None))
+                except contained.Unsafe as e:
+                    rows.append((raw, None, None, str(e)))
                 except OSError as e:
                     rows.append((raw, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["raw", "raw_sha256", "bytes", "error"]).astype({"bytes": "Int64"})
 
-    return texts.select("raw", "text", names.safe(F.col("raw")).alias("good")).mapInPandas(run, "raw string, raw_sha256 string, bytes long, error string")
+    return texts.select("raw", "text").mapInPandas(run, "raw string, raw_sha256 string, bytes long, error string")
 
 
 def read(manifest: DataFrame, root: str) -> DataFrame:
-    """(raw, text) of the archived texts that records name and that are there; links are not followed."""
+    """(raw, text, error) of the archived texts that records name and that are there; links are not followed.
+
+    Bytes that are no UTF-8 are that row's error and have no text, so that nothing takes them for what was archived.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for raw in frame["raw"]:
-                path = plain_file(root, raw)
-                if path:
-                    with open(path, "rb") as f:
-                        rows.append((raw, f.read().decode("utf-8", "replace")))
-            yield pd.DataFrame(rows, columns=["raw", "text"])
+                try:
+                    rows.append((raw, contained.read(root, raw).decode("utf-8"), None))
+                except (FileNotFoundError, contained.Unsafe):
+                    continue
+                except (OSError, UnicodeDecodeError) as e:
+                    rows.append((raw, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["raw", "text", "error"])
 
     named = manifest.select("raw").filter(names.safe(F.col("raw"))).distinct()
-    return named.mapInPandas(run, "raw string, text string")
+    return named.mapInPandas(run, "raw string, text string, error string")
 
 
 def publish(manifest: DataFrame, texts: DataFrame, root: str) -> DataFrame:

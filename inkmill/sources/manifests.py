@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.functions import names
 from inkmill.plans.schemas import MANIFEST
-from inkmill.sources import archive
+from inkmill.sources import contained
 from inkmill.sources.shared import file_system
 
 
@@ -65,25 +63,44 @@ def load(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(f"{root}/manifest-{last}") if last else spark.createDataFrame([], MANIFEST)
 
 
-def write_markdown(documents: DataFrame, root: str) -> DataFrame:
-    """(path, bytes, error) after writing each (path, markdown) to a shared folder.
+def write_markdown(documents: DataFrame, root: str, below: str = "") -> DataFrame:
+    """(path, bytes, error) after writing each (path, markdown) to a shared folder, or to the folder ``below`` in it.
 
-    A path that may leave ``root`` is an error and is not written; files are put in place by a rename.
+    A path that may leave it, or leads through a link, is an error and is not written; files are put in place by a rename.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for path, body, good in zip(frame["path"], frame["markdown"], frame["good"]):
-                data, error = body.encode(), None
-                if good:
-                    archive.put_file(os.path.join(root, path), data)
-                else:
-                    error = "unsafe path"
-                rows.append((path, len(data) if good else 0, error))
+            for path, body in zip(frame["path"], frame["markdown"]):
+                data = body.encode()
+                try:
+                    contained.parts(path)
+                    contained.write(root, f"{below}/{path}" if below else path, data)
+                    rows.append((path, len(data), None))
+                except (contained.Unsafe, OSError) as e:
+                    rows.append((path, 0, str(e) if isinstance(e, contained.Unsafe) else f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "bytes", "error"])
 
-    return documents.select("path", "markdown", names.safe(F.col("path")).alias("good")).mapInPandas(run, "path string, bytes long, error string")
+    return documents.select("path", "markdown").mapInPandas(run, "path string, bytes long, error string")
+
+
+def unlike(documents: DataFrame, root: str, below: str = "") -> DataFrame:
+    """(path, error) of the documents (path, markdown) whose file is not there or has other bytes."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for path, wanted in zip(frame["path"], frame["wanted"]):
+                try:
+                    contained.parts(path)
+                    if contained.digest(root, f"{below}/{path}" if below else path)[0] != wanted:
+                        rows.append((path, "other bytes"))
+                except (contained.Unsafe, OSError) as e:
+                    rows.append((path, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["path", "error"])
+
+    return documents.select("path", F.sha2(F.encode("markdown", "UTF-8"), 256).alias("wanted")).mapInPandas(run, "path string, error string")
 
 
 def parse_markdown(texts: DataFrame) -> DataFrame:

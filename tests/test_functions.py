@@ -76,7 +76,7 @@ def test_extraction(spark, tmp_path):
 def test_markdown_files(spark, tmp_path):
     docs = spark.createDataFrame([("c/a.md", '---\ntitle: "x: y"\nk: 1\n---\n\nbody\n---\nmore'), ("../b.md", "plain")], "path string, markdown string")
     done = {r.path: r.error for r in manifests.write_markdown(docs, str(tmp_path)).collect()}
-    assert done == {"c/a.md": None, "../b.md": "unsafe path"} and (tmp_path / "c" / "a.md").exists()
+    assert done == {"c/a.md": None, "../b.md": "unsafe path: ../b.md"} and (tmp_path / "c" / "a.md").exists()
     got = {r.path: r for r in manifests.parse_markdown(docs).collect()}
     assert got["c/a.md"].fields == {"title": "x: y", "k": "1"} and got["c/a.md"].body == "\n\nbody\nmore"
     assert got["../b.md"].fields == {} and got["../b.md"].body == "plain"

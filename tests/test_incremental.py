@@ -23,7 +23,7 @@ def test_ranks_of_few_rows(spark):
 
 def test_failed_sources_are_counted(spark):
     planned, extracted = fixtures.planned(spark, SF), fixtures.extracted(spark, SF)
-    counts = incremental.run_counts(planned, extracted).first().asDict()
+    counts = incremental.counted(planned, extracted)[1].first().asDict()
     plain = incremental.counts(planned).first().asDict()
     tried = {r.rel for r in planned.filter("action = 'extract'").collect()}
     broken = {r.rel for r in extracted.filter("error is not null").collect()}

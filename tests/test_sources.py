@@ -143,7 +143,7 @@ def test_archive_then_manifest(spark, tmp_path):
     assert manifests.load(spark, root).collect() == [] and manifests.read_json(spark, f"{root}/none.json").collect() == []
     texts = spark.createDataFrame([("_raw/all/a.txt", "甲"), ("_raw/all/b.txt", ""), ("../c.txt", "out")], "raw string, text string")
     manifest = records(spark, *({"manifest_pos": i, "name": n, "raw": raw, "raw_sha256": sha(t), "quality": "text"} for i, (n, raw, t) in enumerate([("a", "_raw/all/a.txt", "甲"), ("b", "_raw/all/b.txt", ""), ("c", "../c.txt", "out"), ("d", "_raw/all/gone.txt", "x")])))
-    assert [tuple(r) for r in archive.publish(manifest, texts, root).collect()] == [("../c.txt", "unsafe path")]
+    assert [tuple(r) for r in archive.publish(manifest, texts, root).collect()] == [("../c.txt", "unsafe path: ../c.txt")]
     got = by_key(manifests.load(spark, root))
     assert got[0].raw_sha256 == sha("甲") and got[1].raw_sha256 == sha("") and got[2].raw_sha256 is None and not (tmp_path.parent / "c.txt").exists()
     assert {r.raw: r.text for r in archive.read(manifests.load(spark, root), root).collect()} == {"_raw/all/a.txt": "甲", "_raw/all/b.txt": ""}
