@@ -62,7 +62,7 @@ def convert(spark: SparkSession, a: argparse.Namespace) -> dict:
 def fix(spark: SparkSession, a: argparse.Namespace) -> dict:
     """Repair garbled texts."""
     done = repair.apply(spark, a.out, a.radicals, a.repeats)
-    return {f"n_{r['state']}": r["count"] for r in done.groupBy("state").count().collect()}
+    return done.agg(*(F.count_if(F.col("state") == x).alias(f"n_{x}") for x in ("done", "conflict"))).first().asDict()
 
 
 def build(spark: SparkSession, a: argparse.Namespace) -> dict:

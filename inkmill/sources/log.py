@@ -53,7 +53,7 @@ def state(spark: SparkSession, root: str) -> State:
                     out.deltas.append((int(m[3]), name))
                     out.last[m[4]] = max(out.last.get(m[4], -1), int(m[5]))
     if out.base:
-        for r in spark.read.schema("writer string, number long").json(f"{root}/{LOG}/base-{out.base}/_writers").collect():
+        for r in spark.read.schema("writer string, number long").json(f"{root}/{LOG}/base-{out.base}/writers").collect():
             out.last[r["writer"]] = max(out.last.get(r["writer"], -1), r["number"])
     return out
 
@@ -87,7 +87,7 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     """The manifest that the log has now; without a log, no rows."""
     now = state(spark, root)
     at = f"{root}/{LOG}"
-    base = spark.read.schema(MANIFEST).parquet(f"{at}/base-{now.base}") if now.base else spark.createDataFrame([], MANIFEST)
+    base = spark.read.schema(MANIFEST).parquet(f"{at}/base-{now.base}/records") if now.base else spark.createDataFrame([], MANIFEST)
     newer = sorted((n, name) for n, name in now.deltas if n > now.base)
     if not newer:
         return base
@@ -107,8 +107,8 @@ def compact(spark: SparkSession, root: str) -> int:
     if not now.deltas or now.newest == now.base:
         return now.base
     made = f".{uuid.uuid4().hex}"
-    read(spark, root).write.parquet(f"{root}/{LOG}/{made}")
-    spark.createDataFrame(sorted(now.last.items()), "writer string, number long").coalesce(1).write.json(f"{root}/{LOG}/{made}/_writers")
+    read(spark, root).write.parquet(f"{root}/{LOG}/{made}/records")
+    spark.createDataFrame(sorted(now.last.items()), "writer string, number long").coalesce(1).write.json(f"{root}/{LOG}/{made}/writers")
     _publish(spark, root, made, f"base-{now.newest}")
     fs, _ = file_system(spark, root)
     gone = [f"base-{n}" for n in now.bases if n < now.base] + [name for n, name in now.deltas if n <= now.base]
