@@ -1,11 +1,12 @@
 """Phrases whose words stand together more often than their parts would by chance, mined with suffix-sigma.
 
-1. A first pass counts all words of a language, and words and pairs of words by hash slot.  A slot's count is never less than that of
-   what falls into it, so a word or pair in a slot below ``least`` is too rare for any phrase; a suffix ends before it.
+1. All words of a language are counted, then the pairs of frequent words, then the triples of frequent pairs.  What occurs fewer than ``least``
+   times is in no phrase, so a suffix ends before it.  Frequent ones are known to the tasks by bitmaps of hash slots, whose size is fixed; slots that are
+   shared let too much through, which the counts then take out.
 2. Each word starts a suffix: it and up to MAX_WORDS - 1 words after it, within its piece.  Equal suffixes of a block of texts are one row with a
-   count.  Rows are shuffled by language and first word; words with more than 1/HOT of all words are salted by the suffix.
+   count.  Rows are shuffled by language and first word.  Words with more than 1/HOT of all words are salted by their second word, such pairs by the suffix.
 3. A partition sorts its suffixes in descending order and keeps one stack of open prefixes.  A prefix is closed when a suffix comes
-   that doesn't begin with it; then its count is known, and added to that of the prefix before.  Counts of salted first words are added up after.
+   that doesn't begin with it; then its count is known, and added to that of the prefix before.  Counts that salting has split are added up after.
 4. Candidates are joined to the counts of their parts at each cut, and to the phrases that contain them.
 
 Texts are handled as UTF-8 bytes: all separators are ASCII, and bytes are in the order that phrases are ranked by.
@@ -18,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,22 +31,28 @@ TOP = 2000
 #: A candidate goes if a longer one has so many hundredths of its count.
 SHARE = 100
 UNKNOWN = "und"
-#: Hash slots of words and of pairs of words; what a task returns of the first pass is so many counts, whatever it reads.
-WORD_SLOTS = 1 << 19
-PAIR_SLOTS = 1 << 21
-_CHUNK = 1 << 15
-#: First words with more than one in so many of all words are hot; there are fewer hot slots than that.
+#: Words of the longest runs that are counted before suffixes are cut.
+COUNTED = 3
+#: Bits of a bitmap of frequent runs, and of a part of it.
+SLOTS = 1 << 26
+_CHUNK = 1 << 18
+#: Words and pairs with more than one in so many of all words are hot; there are fewer of each than that.
 HOT = 1024
 #: Bytes of texts whose equal suffixes are one row; a longer text is a block by itself.
 BLOCK = 4_000_000
-#: Tasks whose slot counts are added up at a time.
-FAN = 64
+#: Distinct words or pairs that a task holds before it returns their counts.
+HELD = 1 << 20
 _LANG_MIX, _NEXT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B185EBCA87)
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[32] = 1
 _CLASS[[46, 44, 59, 58, 33, 63, 10, 11, 12, 13]] = 2  # . , ; : ! ? and line ends
 
 
+def _shifted(x: np.ndarray, by: int) -> np.ndarray:
+    """What stands ``by`` places later; 0 beyond the end."""
+    return np.append(x[by:], np.zeros(min(by, len(x)), x.dtype))
+
+
 class Words:
     """The words of a block of texts of one language, in order."""
 
@@ -63,9 +69,21 @@ class Words:
         self.hashes = mix(span_hashes(codes, self.starts, self.ends) + salt)
         self.goes_on = np.append(ends_piece[1:] == ends_piece[:-1], False)[: len(self.starts)]  # the next word is in the same piece
 
-    def pairs(self) -> np.ndarray:
-        """Hash of each word and the one after it; of use where ``goes_on``."""
-        return mix(self.hashes * _NEXT + np.append(self.hashes[1:], np.uint64(0))[: len(self.hashes)])
+    def runs(self, k: int) -> np.ndarray:
+        """Hash of each word and the k-1 after it; of use where they are in one piece."""
+        out = self.hashes
+        for i in range(1, k):
+            out = mix(out * _NEXT + _shifted(self.hashes, i))
+        return out
+
+    def open_runs(self, frequent: list[Frequent]) -> list[np.ndarray]:
+        """For k = 1 and up: where a run of k words in one piece is, all of whose shorter runs, those ``frequent`` tells of, are frequent, and itself if it does."""
+        out = []
+        for k in range(1, len(frequent) + 2):
+            at = out[-1] & _shifted(out[-1], 1) if k > 1 else np.ones(len(self.hashes), bool)
+            at = at & self.goes_on if k == 2 else at
+            out.append(at & frequent[k - 1].among(self.runs(k)) if k <= len(frequent) else at)
+        return out
 
 
 def _blocks(langs: list[str], texts: list[bytes | None], block: int = BLOCK) -> Iterator[tuple[bytes, list[bytes]]]:
@@ -100,73 +118,114 @@ def _batches(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator[
     yield from _blocks(langs, texts, block)
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """(part, chunk, lang, n, counts): of each task the words of each language, and its slot counts in chunks of _CHUNK longs."""
+class Frequent:
+    """Hash slots of frequent words, by parts of a bitmap."""
+
+    def __init__(self, chunks: dict[int, bytes]) -> None:
+        self.chunks = chunks
+        self.bits = np.zeros(SLOTS // 8, np.uint8)
+        for c, blob in chunks.items():
+            self.bits[c * _CHUNK // 8 : (c + 1) * _CHUNK // 8] = np.frombuffer(blob, np.uint8)
+
+    def __reduce__(self):
+        return Frequent, (self.chunks,)
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes & np.uint64(SLOTS - 1)
+        return self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 > 0
+
+
+#: Hashes of hot words or pairs, and into how many parts the rows of each are dealt.
+Hot = dict[int, int]
+
+
+def parts_of(hashes: np.ndarray, hot: Hot) -> np.ndarray:
+    out = np.ones(len(hashes), np.uint64)
+    known = np.array([*hot], np.uint64)
+    for h in known[np.isin(known, hashes)].tolist():
+        out[hashes == np.uint64(h)] = hot[h]
+    return out
+
+
+def _hashed(docs: DataFrame, frequent: list[Frequent]) -> DataFrame:
+    """(lang, h, c): counts of the runs of one word more than ``frequent`` tells of; of words, also with a null h the number of each language's."""
+
+    k = len(frequent) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = np.zeros(WORD_SLOTS + PAIR_SLOTS, np.int64)
         total: dict[str, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def together() -> tuple[np.ndarray, np.ndarray]:
+            h, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            return h, np.bincount(at, np.concatenate([x for _, x in held])).astype(np.int64)
+
+        def rows(h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(c)], names=["lang", "h", "c"])
+
         for lang, texts in _batches(batches):
             w = Words(lang, texts)
             total[lang.decode()] = total.get(lang.decode(), 0) + len(w.hashes)
-            slots[:WORD_SLOTS] += np.bincount((w.hashes & np.uint64(WORD_SLOTS - 1)).astype(np.int64), minlength=WORD_SLOTS)
-            slots[WORD_SLOTS:] += np.bincount((w.pairs()[w.goes_on] & np.uint64(PAIR_SLOTS - 1)).astype(np.int64), minlength=PAIR_SLOTS)
-        part, langs, pieces = TaskContext.get().partitionId(), sorted(total), range(len(slots) // _CHUNK)
-        for at, lang, n, counts in [(-1, x, total[x], None) for x in langs] + [(c, None, None, slots[c * _CHUNK : (c + 1) * _CHUNK].tobytes()) for c in pieces if total]:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.int32()), pa.array([lang], pa.string()), pa.array([n], pa.int64()), pa.array([counts], pa.binary())], names=["part", "chunk", "lang", "n", "counts"])
+            held.append(np.unique(w.runs(k)[w.open_runs(frequent)[-1]], return_counts=True))
+            if sum(len(h) for h, _ in held) > 2 * HELD:
+                held[:] = [together()]
+                if len(held[0][0]) > HELD:
+                    yield rows(*held.pop())
+        if held:
+            yield rows(*together())
+        if k == 1 and total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.nulls(len(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["lang", "h", "c"])
         common.release()
 
-    return common.small_batches(docs).mapInArrow(run, "part int, chunk int, lang string, n long, counts binary")
+    return common.small_batches(docs).mapInArrow(run, "lang string, h long, c long")
 
 
-def _summed(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, counts): the sums of the chunks of each key; a running sum is all that a task holds."""
+def _hot(counts: DataFrame, words: int) -> Hot:
+    """What has more than 1/HOT of ``words``, of rows (h, c): fewer than HOT."""
+    hot = counts.filter(F.col("c") * HOT > words).select("h", F.expr(f"c * {HOT} div {max(1, words)} + 1").alias("n")).collect()
+    return {r["h"] % (1 << 64): r["n"] for r in hot}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total = None, np.zeros(0, np.int64)
+
+def _frequent(hashed: DataFrame, least: int, words: int) -> tuple[Frequent, Hot]:
+    """Runs that occur ``least`` times, and those that are hot among ``words`` words.  What comes to the driver is the bitmap and fewer than HOT hashes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bits = None, np.zeros(_CHUNK, bool)
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.int32()) for k in key), pa.array([total.tobytes()], pa.binary())], names=[*keys, "counts"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["chunk", "bits"])
 
         for b in batches:
-            for *at, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if at != key:
-                    if key is not None:
+            chunk, slot = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            for lo, hi in zip(edges := [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist()], [*edges[1:], len(chunk)]):
+                if hi > lo:
+                    if now is not None and chunk[lo] != now:
                         yield row()
-                    key, total = at, np.zeros(len(blob) // 8, np.int64)
-                total += np.frombuffer(blob, np.int64)
-        if key is not None:
+                        bits[:] = False
+                    now = int(chunk[lo])
+                    bits[slot[lo:hi]] = True
+        if now is not None:
             yield row()
 
-    held = common.small_batches(counts.select(*keys, "counts").repartition(*keys).sortWithinPartitions(*keys))
-    return held.mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", counts binary")
-
-
-class Sketch:
-    """Which slots reach ``least``, and into how many parts each hot first word's suffixes are dealt; bounded by the number of slots."""
-
-    def __init__(self, chunks: dict[int, bytes], least: int, words: int) -> None:
-        slots = np.zeros(WORD_SLOTS + PAIR_SLOTS, np.int64)
-        for c, blob in chunks.items():
-            slots[c * _CHUNK : (c + 1) * _CHUNK] = np.frombuffer(blob, np.int64)
-        self.bits = np.packbits(slots >= least)
-        hot = np.flatnonzero(slots[:WORD_SLOTS] * HOT > words)
-        self.salts = dict(zip(hot.tolist(), (slots[hot] * HOT // max(1, words) + 1).tolist()))
-
-    def frequent(self) -> np.ndarray:
-        return np.unpackbits(self.bits).view(bool)
+    counts = common.cut(hashed.filter("h is not null").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least), "frequent")
+    slot = F.col("h").bitwiseAND(F.lit(SLOTS - 1))
+    dealt = counts.select(F.floor(slot / _CHUNK).cast("int").alias("chunk"), (slot % _CHUNK).cast("int").alias("slot"))
+    bits = common.small_batches(dealt.repartition("chunk").sortWithinPartitions("chunk")).mapInArrow(pack, "chunk int, bits binary")
+    chunks = {r["chunk"]: bytes(r["bits"]) for r in bits.toLocalIterator()}
+    hot = _hot(counts, words)
+    common.drop(counts)
+    return Frequent(chunks), hot
 
 
-def suffixes(w: Words, lang: bytes, sketch: Sketch, frequent: np.ndarray, words: int = MAX_WORDS) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct suffixes of a block, each word followed by a blank, with the part that they go to, whether that is a salted one, and their counts."""
+def suffixes(w: Words, lang: bytes, frequent: list[Frequent], hot: list[Hot], words: int = MAX_WORDS) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct suffixes of a block, each word followed by a blank; the part that each goes to; of how many words, at most, its prefixes are split over parts; and counts."""
     n = len(w.hashes)
-    slot = (w.hashes & np.uint64(WORD_SLOTS - 1)).astype(np.int64)
-    often = frequent[slot]
-    pair = frequent[WORD_SLOTS + (w.pairs() & np.uint64(PAIR_SLOTS - 1)).astype(np.int64)]
-    joined = w.goes_on & often & np.append(often[1:], False)[:n] & pair
+    runs = w.open_runs(frequent)[: len(frequent)]
+    often, longest = runs[0], len(runs)
     last, whole, alive = np.arange(n), w.hashes.copy(), often.copy()
     for k in range(1, words):
-        alive = alive & np.append(joined[k - 1 :], np.zeros(k - 1, bool))[:n]
+        # the suffix goes on if its last words, as many as were counted, are a frequent run
+        alive = alive & (runs[k] if k < longest else _shifted(runs[-1], k - longest + 1))
         at = np.flatnonzero(alive)
         if not len(at):
             break
@@ -175,49 +234,50 @@ def suffixes(w: Words, lang: bytes, sketch: Sketch, frequent: np.ndarray, words:
     index = np.flatnonzero(often)
     _, first, counts = np.unique(whole[index], return_index=True, return_counts=True)
     index = index[first]
-    hot = np.array([*sketch.salts], np.int64)
-    salts = np.ones(len(index), np.uint64)
-    for s in hot[np.isin(hot, slot[index])].tolist():
-        salts[slot[index] == s] = sketch.salts[s]
-    part = mix(w.hashes[index] + mix(whole[index] + np.uint64(1)) % salts)
+    second = np.where(last[index] > index, np.append(w.hashes[1:], np.uint64(0))[index], np.uint64(0))
+    by_word = parts_of(w.hashes[index], hot[0])
+    # a hot pair's first word is hot too, so all rows of that word say that its count is split
+    by_pair = np.where((by_word > 1) & (last[index] > index), parts_of(w.runs(2)[index], hot[1]), np.uint64(1))
+    salt = mix(second + np.uint64(1)) % by_word + mix(whole[index] + np.uint64(1)) % by_pair
+    split = np.where(by_pair > 1, words, np.where(by_word > 1, 1, 0)).astype(np.int32)
     keys = [lang + b"\n" + w.data[a:b] + b" " for a, b in zip(w.starts[index].tolist(), w.ends[last[index]].tolist())]
-    return keys, part.view(np.int64), salts > 1, counts
+    return keys, mix(w.hashes[index] + salt).view(np.int64), split, counts
 
 
-def _suffixes(docs: DataFrame, sketch: Sketch, words: int) -> DataFrame:
+def _suffixes(docs: DataFrame, frequent: list[Frequent], hot: list[Hot], words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = sketch.frequent()
         for lang, texts in _batches(batches):
-            keys, part, salted, counts = suffixes(Words(lang, texts), lang, sketch, frequent, words)
+            keys, part, split, counts = suffixes(Words(lang, texts), lang, frequent, hot, words)
             for lo in range(0, len(keys), 100_000):
                 cut = slice(lo, lo + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(keys[cut], pa.binary()), pa.array(salted[cut]), pa.array(counts[cut].astype(np.int64))], names=["part", "suffix", "salted", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(keys[cut], pa.binary()), pa.array(split[cut]), pa.array(counts[cut].astype(np.int64))], names=["part", "suffix", "split", "c"])
         common.release()
 
-    return common.small_batches(docs).mapInArrow(run, "part long, suffix binary, salted boolean, c long")
+    return common.small_batches(docs).mapInArrow(run, "part long, suffix binary, split int, c long")
 
 
-def count_prefixes(rows: Iterator[tuple[bytes, bool, int]], least: int) -> Iterator[tuple[bytes, int]]:
-    """(prefix, count) of all prefixes of suffixes in descending order, by one stack; of salted ones all, of others those that reach ``least``.
+def count_prefixes(rows: Iterator[tuple[bytes, int, int]], least: int) -> Iterator[tuple[bytes, int]]:
+    """(prefix, count) of all prefixes of suffixes (suffix, split, count) in descending order, by one stack.
 
+    Prefixes of up to ``split`` words have a part of their count here; of others, those that reach ``least`` are returned.
     A suffix is language, line feed, and words with a blank after each; prefixes are without the last blank.
     """
     stack: list[list] = []  # open prefixes, each with its count so far
 
     def close() -> Iterator[tuple[bytes, int]]:
-        prefix, count, salted = stack.pop()
+        prefix, count, partial = stack.pop()
         if stack:
             stack[-1][1] += count
-        if salted or count >= least:
+        if partial or count >= least:
             yield prefix[:-1], count
 
-    for suffix, salted, c in rows:
+    for suffix, split, c in rows:
         while stack and not suffix.startswith(stack[-1][0]):
             yield from close()
         at = len(stack[-1][0]) if stack else suffix.rindex(b"\n") + 1
         while at < len(suffix):
             at = suffix.index(b" ", at) + 1
-            stack.append([suffix[:at], 0, salted])
+            stack.append([suffix[:at], 0, len(stack) < split])
         stack[-1][1] += c
     while stack:
         yield from close()
@@ -248,13 +308,16 @@ def _stacked(suffix_rows: DataFrame, least: int) -> DataFrame:
 def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, n) of each language, and (lang, phrase, size, f) of all phrases of 1 to ``words`` words that occur ``least`` times, as tables."""
     held = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    first = common.cut(_counted(held), "word-counts")
-    totals = common.cut(first.filter("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    level = _summed(first.filter("lang is null").withColumn("part", F.floor(F.col("part") / FAN).cast("int")), ["chunk", "part"])
-    chunks = {r["chunk"]: bytes(r["counts"]) for r in _summed(level, ["chunk"]).toLocalIterator()}
-    sketch = Sketch(chunks, least, totals.agg(F.sum("n")).first()[0] or 0)
+    first = common.cut(_hashed(held, []), "word-counts")
+    totals = common.cut(first.filter("lang is not null").groupBy("lang").agg(F.sum("c").alias("n")), "totals")
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    frequent, hot = (list(x) for x in zip(_frequent(first, least, n)))
     common.drop(first)
-    rows = _suffixes(held, sketch, words).repartition("part").select("suffix", "salted", "c").sortWithinPartitions(F.desc("suffix"))
+    for _ in range(1, min(COUNTED, words)):
+        more, hotter = _frequent(_hashed(held, frequent), least, n)
+        frequent.append(more)
+        hot.append(hotter)
+    rows = _suffixes(held, frequent, [*hot, {}], words).repartition("part").select("suffix", "split", "c").sortWithinPartitions(F.desc("suffix"))
     found = _stacked(rows, least).select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "f")
     counts = found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
     return totals, common.cut(counts.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "f"), "phrases")

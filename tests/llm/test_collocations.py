@@ -58,19 +58,26 @@ def test_phrases(spark, least, share, top, words):
     assert len({r[0] for r in want}) >= 4 and result(spark, rows, least=least, share=share, top=top, words=words) == want
 
 
-def test_colliding_slots_and_small_blocks_change_nothing(spark, monkeypatch):
-    rows = corpus(4)
+@pytest.mark.parametrize("hot", [2, 40])
+def test_salting_changes_nothing(spark, monkeypatch, hot):
+    rows = corpus(4) + [("en", f"hot pair w{i % 40} end. hot w{i % 30}") for i in range(900)]
     want = plain(rows, 10)
-    monkeypatch.setattr(collocations, "HOT", 2)  # fewer salted words
+    monkeypatch.setattr(collocations, "HOT", hot)
     assert result(spark, rows, least=10) == want
 
 
 def test_stack_counts_prefixes():
     suffixes = sorted([(b"en\na b c ", 2), (b"en\na b ", 1), (b"en\na\x01 b ", 5), (b"en\na ", 1), (b"de\na b ", 4), (b"en\nab c ", 3)], reverse=True)
-    got = dict(collocations.count_prefixes(((s, False, c) for s, c in suffixes), 2))
+    got = dict(collocations.count_prefixes(((s, 0, c) for s, c in suffixes), 2))
     assert got == {b"en\na b c": 2, b"en\na b": 3, b"en\na": 4, b"en\na\x01 b": 5, b"en\na\x01": 5, b"de\na b": 4, b"de\na": 4, b"en\nab c": 3, b"en\nab": 3}
 
 
+def test_split_prefixes_are_returned_in_parts():
+    rows = [(b"en\nh p x ", 5, 1), (b"en\nh p ", 5, 1), (b"en\nh q ", 1, 1), (b"en\nh r s ", 1, 3)]
+    got = dict(collocations.count_prefixes(iter(sorted(rows, reverse=True)), 3))
+    assert got == {b"en\nh r s": 3, b"en\nh": 6, b"en\nh r": 3, b"en\nh p x": 1, b"en\nh p": 2}
+
+
 def test_products_beyond_64_bits(spark):
     many = "wide apart " * 10
     docs = spark.createDataFrame([("en", many)] * 100, "lang string, text string")
