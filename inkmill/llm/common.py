@@ -30,6 +30,18 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def named(columns: list[str], name: str) -> str:
+    """The column that ``name`` means: Spark takes names without regard to case."""
+    return name if name in columns else next(c for c in columns if c.lower() == name.lower())
+
+
+def as_long(df: DataFrame, name: str) -> Column:
+    """A column as a long; null for what is no number, whatever the column's type is."""
+    kind = df.schema[named(df.columns, name)].dataType
+    c = col(name)
+    return (c if isinstance(kind, (T.NumericType, T.StringType)) else c.cast("string")).try_cast("long")
+
+
 def distinct(docs: DataFrame, key: Column) -> bool:
     """Whether no two rows share a key, null taken as one."""
     return not docs.groupBy(key.alias("_key")).count().filter("count > 1").limit(1).count()

@@ -135,12 +135,12 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
     model = docs.sparkSession.sparkContext.broadcast(Classifier(dictionaries))  # a bounded fragment of each language
     keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "margin", "rejected")]
     base = docs.select(*map(common.col, keep))
-    schema = base.schema
+    schema, at = base.schema, keep.index(common.named(keep, "text"))
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("margin", "double"), ("rejected", "boolean")):
         schema = common.with_field(schema, name, kind)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = [model.value.predict(t) for t in b.column(keep.index("text")).to_pylist()]
+        got = [model.value.predict(t) for t in b.column(at).to_pylist()]
         lang, score, margins = zip(*got, strict=True)
         rejected = [m < margin for m in margins]
         return pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margins, pa.float64()), pa.array(rejected, pa.bool_())], names=[*keep, "lang_pred", "score", "margin", "rejected"])

@@ -1,6 +1,6 @@
 """Line dedup by overlapping windows of three consecutive lines.
 
-Lines are what ``\\n`` separates, compared without edge spaces.  Every window of
+Lines are what ``\\n`` separates, compared without edge spaces; a carriage return is part of its line.  Every window of
 three consecutive lines, but for three blank ones, is hashed to 128 bits; a window seen
 before, in the order of (doc_id, row, line number), is a later occurrence, and the
 lines that later occurrences cover are removed.  Only hashes and positions are
@@ -50,7 +50,7 @@ def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All columns of ``docs`` with ``text`` cleaned, and n_lines and n_removed added.
+    """All columns of ``docs`` with ``text``, in whatever case its name is, cleaned, and n_lines and n_removed added.
 
     The first occurrence of every window stays.  A null text stays null and has 0
     lines; an empty text has one.  Null doc_ids come before all others; their rows, and rows that repeat a
@@ -59,7 +59,8 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Columns named n_lines or n_removed are replaced; all others stay, whatever their names.  An empty table gives none.
     """
     own = docs.select(*(common.col(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")))
-    held, row = common.numbered(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)), "line-rows")
+    held, row = common.numbered(own, F.coalesce(common.as_long(own, "doc_id"), F.lit(_FIRST)), "line-rows")
+    cleaned = common.named(own.columns, "text")
     of, drop = common.fresh(held, "_of"), common.fresh(held, "_drop")
     found = common.cut(repeated_lines(held.select(F.col(row).alias("_row"), "text"), width).select(F.col("_row").alias(of), F.col("drop").alias(drop)), "repeated-lines")
     maybe, others = common.split(held, F.col(row), found.select(of))
@@ -70,7 +71,7 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     left = F.array_except(F.sequence(F.lit(0), F.size(split_text) - 1), drop)
     keep = F.when(F.size(drop) > 0, F.array_join(F.transform(left, lambda i: F.get(split_text, i)), "\n")).otherwise(F.col("text"))
     return joined.select(
-        *(keep.alias("text") if c == "text" else common.col(c) for c in own.columns),
+        *(keep.alias(c) if c == cleaned else common.col(c) for c in own.columns),
         F.coalesce(F.greatest(F.size(split_text), F.lit(0)), F.lit(0)).alias("n_lines"),
         F.when(F.col("text").isNull() | F.col(drop).isNull(), 0).otherwise(F.size(drop)).alias("n_removed"),
     )

@@ -201,7 +201,7 @@ def _dealt(candidates: DataFrame, reps: DataFrame, block_shingles: int, block_te
 
 def _linked(held: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL, rows: tuple[int, ...] = ROWS, block_shingles: int = BLOCK_SHINGLES, block_texts: int = BLOCK_TEXTS, most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """(_row, doc_id, root, n_links) of each row of ``held`` (_row, doc_id, text); root is the first row of its class."""
-    sig = common.cut(signatures(held.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "text"), words, bands_for(threshold, recall, rows[0]), rows[0]), "signatures")
+    sig = common.cut(signatures(held.select("_row", common.as_long(held, "doc_id").alias("doc_id"), "text"), words, bands_for(threshold, recall, rows[0]), rows[0]), "signatures")
     reps = common.cut(sig.groupBy("key").agg(F.min("_row").alias("node"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "representatives")
     texts = held.select(F.col("_row").alias("node"), "text")
 
@@ -240,11 +240,11 @@ def jaccard_classes(docs: DataFrame, **options) -> DataFrame:
     rows that links join.  A text of fewer than ``words`` words is one n-gram; a null text is
     empty; texts without words link to equal texts only.  A row without doc_id comes
     after all others; a class is null if no row of it has an id.  Repeated rows are copies of
-    each other; rows of one doc_id with different texts are rows of their own.  Other columns are not read.
+    each other (ids are longs: what is no number is a row without an id); rows of one doc_id with different texts are rows of their own.  Other columns are not read.
     ``options`` are those of ``_linked``: threshold, words, recall, rows of a band, limits of blocks.
     """
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
-    own = docs.select("doc_id", "text")
+    own = docs.select(common.as_long(docs, "doc_id").alias("doc_id"), "text")
+    place = F.coalesce("doc_id", F.lit(_LAST))
     held, _ = common.numbered(own, place, "near-rows")
     found = _linked(held, **options)
     if common.distinct(own, place):
@@ -260,7 +260,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Rows that share a doc_id but not their texts are told apart.  All columns stay, whatever their names.
     """
-    held, row = common.numbered(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "near-rows")
+    held, row = common.numbered(docs, F.coalesce(common.as_long(docs, "doc_id"), F.lit(_LAST)), "near-rows")
     classes = common.cut(_linked(held.select(F.col(row).alias("_row"), "doc_id", "text"), **options), "classes")
     unnamed = classes.filter("doc_id is null")
     firsts = unnamed.groupBy("root").agg(F.min("_row").alias("first")).select("first")

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm import common
@@ -151,6 +151,11 @@ class FactorisationMachine:
         return self
 
 
+def _stated(docs: DataFrame) -> Column:
+    """The stated length; null without a column of that name, and for what is no number."""
+    return common.as_long(docs, "n_chars") if "n_chars" in (c.lower() for c in docs.columns) else F.lit(None).cast("long")
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> FactorisationMachine:
     """Fit on labelled documents whose crc32(doc_id) mod 4 is not 2.
 
@@ -159,13 +164,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Facto
     once, by its higher label; one with several texts by the least of them.  Without
     any usable label the model is the constant 0.5.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)").filter(common.remainder("_id", 4) != 2)
+    known = labels.select(common.as_long(labels, "doc_id").alias("_id"), common.as_long(labels, "quality").cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)").filter(common.remainder("_id", 4) != 2)
     known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
     n = known.count()
     if n > max_rows:
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 62)) < (max_rows << 62) // n)
-    has = "n_chars" in docs.columns
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", (F.col("n_chars").cast("long") if has else F.lit(None).cast("long")).alias("stated"))
+    texts = docs.select(common.as_long(docs, "doc_id").alias("_id"), "text", _stated(docs).alias("stated"))
     rows = texts.join(F.broadcast(known), "_id")  # bounded by max_rows
     rows = rows.groupBy("_id", "_y").agg(F.min(F.struct("text", "stated")).alias("r")).select("r.text", "r.stated", "_y")
 
@@ -202,16 +206,14 @@ def score(docs: DataFrame, model: FactorisationMachine, column: str = "score") -
     held = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c.lower() != column.lower()]
     base = docs.select(*map(common.col, keep))
-    stated = "n_chars" in keep
-    schema = common.with_field(base.schema, column, "double")
+    schema, at = common.with_field(base.schema, column, "double"), keep.index(common.named(keep, "text"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts = b.column(keep.index("text")).to_pylist()
-        lengths = b.column(keep.index("n_chars")).cast(pa.int64()).to_pylist() if stated else [None] * len(texts)
+        texts, lengths = b.column(at).to_pylist(), b.column(len(keep)).to_pylist()
         out = [held.value.score(*features(texts[lo:hi], lengths[lo:hi])) for lo, hi in blocks(texts)]
-        return pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(out), pa.float64())], names=[*keep, column])
+        return pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.concatenate(out), pa.float64())], names=[*keep, column])
 
-    return common.map_arrow(base, run, schema)
+    return common.map_arrow(base.select(*map(common.col, keep), _stated(base).alias(common.fresh(base, "_stated"))), run, schema)
 
 
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:

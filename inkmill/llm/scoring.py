@@ -100,7 +100,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_chars
     Null and repeated ids are allowed: every row is a document of its own, and copies count for each other.
     Other columns are not read; an empty table gives none.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = docs.select(common.as_long(docs, "doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows, row = common.numbered(own, F.coalesce("doc_id", F.lit(_LAST)), "scored-rows")
     n = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
     dealt = rows.select(F.pmod(F.xxhash64(row), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block")

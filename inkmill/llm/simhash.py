@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
         prints = np.array([fingerprint(t or b"", words) for t in b.column(1).to_pylist()], np.uint64)
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "point"])
 
-    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")), run, "doc_id long, point long")
+    return common.map_arrow(docs.select(common.as_long(docs, "doc_id"), F.col("text").cast("binary")), run, "doc_id long, point long")
 
 
 def distances(points: np.ndarray, v: np.uint64) -> np.ndarray:

@@ -201,7 +201,7 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN, words: int = WORDS
     Columns named n_removed or removed are replaced.  An empty table gives none.
     """
     keep = [c for c in docs.columns if c.lower() not in ("n_removed", "removed")]
-    base, row = common.numbered(docs.select(*map(common.col, keep)), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "substring-rows")
+    base, row = common.numbered(docs.select(*map(common.col, keep)), F.coalesce(common.as_long(docs, "doc_id"), F.lit(_LAST)), "substring-rows")
     held = base.select(F.col(row).alias("_row"), "text")
 
     digests = common.cut(held.filter("text <> ''").select("_row", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2")), "text-digests")
@@ -232,7 +232,7 @@ def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN, words: int = WORDS
     maybe, others = common.split(base, F.col(row), spans.select(of))
     columns = list(map(common.col, keep))
     joined = maybe.join(spans, F.col(row) == F.col(of), "left").select(*columns, which).union(others.select(*columns, F.lit(None).cast("array<long>")))
-    at = keep.index("text")
+    at = keep.index(common.named(keep, "text"))
     schema = common.with_field(docs.select(*columns).schema, "n_removed", "long")
     schema = common.with_field(schema, "removed", "array<struct<start:bigint,`end`:bigint>>")
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

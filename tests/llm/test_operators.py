@@ -181,3 +181,15 @@ def test_pipeline_keeps_clean_documents(spark):
     assert [n for n, _ in p.STAGES] == ["quality_classifier", "line_dedup", "ngram_jaccard", "decontamination", "packing"]
     for stage in (p.line_dedup, p.ngram_jaccard, p.decontaminate):
         assert stage(spark, docs, "/root/testdata/sf0.01").columns == docs.columns
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names_in_any_case_and_ids_as_text(spark, name):
+    """A column TEXT is the text, n_chars may hold anything, and ids may be text; the result is the same."""
+    plain = spark.createDataFrame([(i, t, lang, None, None) for i, t, lang in EDGE if i != 5], "doc_id long, text string, lang string, source string, n_chars long")
+    other = plain.selectExpr("doc_id", "text TEXT", "lang Lang", "source", "array('x') n_chars")
+    if name not in ("pack", "leaks", "drop_leaks", "fingerprint", "language"):
+        other = other.selectExpr("cast(doc_id as string) doc_id", "TEXT", "Lang", "source", "n_chars")
+    compared = [c for c in _apply(spark, name, plain).columns if c.lower() not in ("n_chars",)]
+    rows = [sorted(str([r[[c.lower() for c in df.columns].index(x.lower())] for x in compared if x != "doc_id"] + [str(r.doc_id)]) for r in df.collect()) for df in (_apply(spark, name, plain), _apply(spark, name, other))]
+    assert rows[0] == rows[1] and rows[0]
