@@ -8,8 +8,10 @@ The parser's events cut a page into lines at block elements.
 2. The ratios are smoothed over the lines with a Gaussian kernel.
 3. The threshold is the standard deviation of the smoothed ratios, as is usual for this method, and their
    maximum at most.  Lines of one container are a cluster; it is content if lines from the threshold on hold most of its characters.
-4. Clusters beside content in the same container join it if they are neither doubtful nor mostly links, so that short
+4. Clusters beside content in the same container join it if they are no more doubtful than all of it and not mostly links, so that short
    paragraphs and lists of an article stay; so do headings right before content.
+5. Reader comments whose container has no telling name are known by their structure: after content, one container has
+   REPLIES containers or more of one tag and class, without headings, most of which begin with a short line such as a name.
 
 Only elements that HTML itself sets apart from the text (navigation, footers, scripts and the like) are left out
 whatever their ratios are.
@@ -43,6 +45,12 @@ ARTICLE = frozenset("article main".split())
 DOUBTFUL = frozenset("ad ads advert advertisement banner comment comments consent cookie disqus notice popup promo related replies share sidebar social sponsored subscribe widget".split())
 #: Weights of a line's ratio inside an article, and inside a form or a doubtful container.
 IN_ARTICLE, IN_DOUBT = 4.0, 1 / 16
+#: Doubtful containers in each other that weigh.
+MOST_DOUBTS = 3
+#: Containers alike that make a list of comments, and characters of the line that one begins with, at most.
+REPLIES, SHORT = 3, 80
+#: Containers above a line that may be one comment, or their list.
+ABOVE = 3
 #: Tags that each tag of a link counts as.
 LINK_TAGS = 3
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -54,10 +62,11 @@ RADIUS, SIGMA = 2, 1.0
 class Container:
     """A place in the tree of containers; each line belongs to the innermost around it."""
 
-    __slots__ = ("parent", "prior", "doubtful")
+    __slots__ = ("parent", "prior", "doubts", "kind", "article")
 
-    def __init__(self, parent: Container | None, prior: float, doubtful: bool) -> None:
-        self.parent, self.prior, self.doubtful = parent, prior, doubtful
+    def __init__(self, parent: Container | None, prior: float, doubts: int, kind: str, article: bool) -> None:
+        #: How many containers from here up are doubtful, and tag and class.
+        self.parent, self.prior, self.doubts, self.kind, self.article = parent, prior, doubts, kind, article
 
 
 class Line:
@@ -72,7 +81,7 @@ class PageLines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        root = Container(None, 1.0, False)
+        root = Container(None, 1.0, 0, "", False)
         #: Open elements: tag, container (None: left out), whether an article is around.
         self.stack: list[tuple[str, Container | None, bool]] = [("", root, False)]
         self.places: dict[str, list[int]] = {}
@@ -133,8 +142,8 @@ class PageLines(HTMLParser):
         doubtful = tag == "form" or bool(names) and any(x.lower() in DOUBTFUL for x in _NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}"))
         if tag not in CONTAINER and not doubtful:
             return at
-        prior = at.prior * (IN_DOUBT if doubtful and not at.doubtful else 1) * (IN_ARTICLE if tag in ARTICLE and not inside else 1)
-        return Container(at, prior, doubtful or at.doubtful)
+        prior = at.prior * (IN_DOUBT if doubtful and at.doubts < MOST_DOUBTS else 1) * (IN_ARTICLE if tag in ARTICLE and not inside else 1)
+        return Container(at, prior, at.doubts + doubtful, f"{tag} {attrs.get('class') or ''}", inside or tag in ARTICLE)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -181,6 +190,38 @@ def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) ->
     return np.convolve(np.pad(ratios, radius), kernel / kernel.sum(), "valid")
 
 
+def replies(lines: list[Line], use: list[int], clusters: dict[int, list[int]], chosen: set[int]) -> set[int]:
+    """Clusters of ``chosen`` that are comments: parts of a list of containers alike that stands after other chosen text and outside its article."""
+    lists: dict[int, dict[int, list[int]]] = {}
+    held: dict[int, Container] = {}
+    for i in use:
+        item = lines[i].at
+        for _ in range(ABOVE):
+            if item is None or item.parent is None:
+                break
+            held[id(item)] = item
+            lists.setdefault(id(item.parent), {}).setdefault(id(item), []).append(i)
+            item = item.parent
+    out: set[int] = set()
+    for items in lists.values():
+        kinds: dict[str, list[int]] = {}
+        for c in items:
+            kinds.setdefault(held[c].kind, []).append(c)
+        for kind, own in kinds.items():
+            if len(own) < REPLIES or kind.startswith(("table ", "ul ", "ol ", "dl ")) or any(held[c].article for c in own):
+                continue
+            parts = [items[c] for c in own]
+            begun = sum(len(p) > 1 and len(lines[p[0]].text) <= SHORT for p in parts)
+            if 3 * begun < 2 * len(parts) or any(lines[i].heading for p in parts for i in p):
+                continue
+            inside = {i for p in parts for i in p}
+            own_clusters = {id(lines[i].at) for i in inside}
+            before = [c for c in chosen - own_clusters if clusters[c][-1] < min(inside)]
+            if before:
+                out |= own_clusters & chosen
+    return out
+
+
 def content_lines(lines: list[Line], level: np.ndarray) -> list[int]:
     """Numbers of the lines that are main text, by the smoothed ratios ``level``."""
     use = [i for i, x in enumerate(lines) if x.text]
@@ -196,6 +237,8 @@ def content_lines(lines: list[Line], level: np.ndarray) -> list[int]:
     if not chosen:
         chosen = {max(clusters, key=lambda c: (above[c], size[c]))}
 
+    chosen -= replies(lines, use, clusters, chosen)
+
     # Clusters beside content: in a container of content, or between contents of one parent.
     held = {id(lines[own[0]].at): lines[own[0]].at for own in clusters.values()}
     rank = {c: k for k, c in enumerate(clusters)}  # by first line
@@ -203,11 +246,12 @@ def content_lines(lines: list[Line], level: np.ndarray) -> list[int]:
     for c in chosen:
         lo, hi = between.get(id(held[c].parent), (rank[c], rank[c]))
         between[id(held[c].parent)] = min(lo, rank[c]), max(hi, rank[c])
-    doubt = all(held[c].doubtful for c in chosen)
+    doubt = min(held[c].doubts for c in chosen)
+    listed = replies(lines, use, clusters, set(clusters))
     for c, own in clusters.items():
         around = id(held[c].parent)
         lo, hi = between.get(around, (rank[c], rank[c]))
-        if (around in chosen or lo < rank[c] < hi) and (doubt or not held[c].doubtful) and 2 * sum(lines[i].linked for i in own) <= size[c]:
+        if (around in chosen or lo < rank[c] < hi) and held[c].doubts <= doubt and c not in listed and 2 * sum(lines[i].linked for i in own) <= size[c]:
             chosen.add(c)
     taken = [i for i in use if id(lines[i].at) in chosen]
     # Headings right before content.
@@ -215,7 +259,7 @@ def content_lines(lines: list[Line], level: np.ndarray) -> list[int]:
     heads = set()
     for i in taken:
         k = place[i] - 1
-        while k >= 0 and lines[use[k]].heading and id(lines[use[k]].at) not in chosen and use[k] not in heads and (doubt or not lines[use[k]].at.doubtful):
+        while k >= 0 and lines[use[k]].heading and id(lines[use[k]].at) not in chosen and use[k] not in heads and lines[use[k]].at.doubts <= doubt:
             heads.add(use[k])
             k -= 1
     return sorted(heads.union(taken))

@@ -100,3 +100,43 @@ def test_every_row_of_any_table(spark):
     assert sorted((str(r.page_id), r.text) for r in got) == sorted([("1", "\n\n".join(LAYOUTS["article"][1]))] * 2 + [("None", ""), ("2", ""), ("3", "")])
     assert got[0].asDict().keys() == {"page_id", "url", "text", "n_chars", "o.w`n"}
     assert html.extract(spark.createDataFrame([], NEED)).collect() == []
+
+
+ARTICLE_TEXT = "The harbour was quiet when the first boats came in, and nobody on the pier spoke of the storm that had passed in the night."
+
+
+def comments(n, kind="entry", head="p"):
+    return "".join(f'<div class={kind}><{head}>Reader {i}</{head}><p>I was there in the year {i} and saw all of it from the hill, a long time before it was in any paper, believe me.</p></div>' for i in range(n))
+
+
+@pytest.mark.parametrize("article", ["<article><h1>Boats</h1><p>{}</p></article>", "<div class=text><h1>Boats</h1><p>{}</p></div>"])
+def test_comments_without_a_telling_name_are_left_out(article):
+    page = f"<html><body>{article.format(ARTICLE_TEXT)}<section id=discussion>{comments(30)}</section></body></html>"
+    assert html.main_text(page) == f"Boats\n\n{ARTICLE_TEXT}"
+
+
+def test_sections_alike_are_no_comments():
+    parts = "".join(f"<div class=part><h2>Part {i}</h2><p>{ARTICLE_TEXT}</p></div>" for i in range(4))
+    got = html.main_text(f"<html><body><div class=intro><p>{ARTICLE_TEXT}</p></div><div>{parts}</div></body></html>")
+    assert got.count(ARTICLE_TEXT) == 5 and "Part 3" in got
+    plain = "".join(f"<div class=part><p>{ARTICLE_TEXT}</p><p>{ARTICLE_TEXT}</p></div>" for _ in range(4))
+    assert html.main_text(f"<html><body><div class=intro><p>{ARTICLE_TEXT}</p></div><div>{plain}</div></body></html>").count(ARTICLE_TEXT) == 9
+    alone = html.main_text(f"<html><body><div>{comments(5)}</div></body></html>")  # nothing else is content
+    assert alone.count("Reader") == 5
+
+
+def test_a_box_in_a_doubtful_article_stays_out():
+    body = f"<div class=comments-open><h1>Boats</h1><p>{ARTICLE_TEXT}</p><p>{ARTICLE_TEXT}</p><div class=widget><p>Our letter brings you the best of the week, every week, at no cost.</p></div><p>{ARTICLE_TEXT}</p></div>"
+    got = html.main_text(f"<html><body>{body}</body></html>")
+    assert got.count(ARTICLE_TEXT) == 3 and "letter" not in got
+
+
+def test_smoothing_decides():
+    # one long line alone among short ones of links has a high ratio, which the lines around it take down
+    links = "".join(f"<div><a href=x>More {i}</a> <a href=y>and {i}</a></div>" for i in range(6))
+    notice = "<div>" + "All rights to these pages and what is on them are with their owners. " + "</div>"
+    page = f"<html><body><div class=text>{''.join(f'<p>{ARTICLE_TEXT}</p>' for _ in range(6))}</div>{links}{notice}{links}</body></html>"
+    lines = html.lines_of(page)
+    ratios = html.text_to_tag(lines)
+    text = lambda level: "\n".join(lines[i].text for i in html.content_lines(lines, level))
+    assert "rights" not in text(html.smoothed(ratios)) and "rights" in text(ratios) and html.main_text(page).count(ARTICLE_TEXT) == 6
