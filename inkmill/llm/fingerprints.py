@@ -2,9 +2,10 @@
 
 Terms whose inverse document frequency lies in a chosen band are kept; a text's
 distinct kept terms, sorted, are hashed once as a whole and once for each of several random
-subsets of the lexicon.  The subsets take an 8th to a 512th of it, so that texts of any length have
-subsets with a few of their terms: the likeness of two fingerprints is the share
-of equal hashes among those that either text has.
+subsets of the lexicon.  A hash folds the terms' own hashes by a sum, so that their order and repetitions don't matter: that is what sorting them is
+for.  The subsets take an 8th, a 16th and so on to a 512th of the lexicon, so that texts of any length have
+subsets with one or two of their terms, which tell how many terms two texts share; a larger one differs by any term.  The likeness of two fingerprints is the share
+of equal hashes among those that either text has, in the subsets of the rates that suit them.
 
 Document frequencies are counted over all documents in a count-min sketch, two rows of 2**18 hashed terms, so
 what the driver collects and broadcasts has a fixed size at any size of corpus.
@@ -31,8 +32,8 @@ SKETCH_ROWS = 2
 #: The band: terms in 5 % of the documents at most, and in 0.04 % at least.
 IDF_LOW, IDF_HIGH = 3.0, 7.8
 #: Bits of a hash that must be 0 for a term to be in a subset, and subsets of each kind.
-RATES = (3, 5, 7, 9)
-REPEATS = 10
+RATES = (3, 4, 5, 6, 7, 8, 9)
+REPEATS = 12
 HASHES = 1 + len(RATES) * REPEATS
 #: Characters that one unit of the pass over neighbours holds on average, while there are at most so many units.
 UNIT_CHARS = 24_000_000
@@ -125,9 +126,19 @@ def _folded(values: np.ndarray, member: np.ndarray, starts: np.ndarray) -> np.nd
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal hashes among those that either row has; 0 to 1."""
-    either = (a > 0) | (b > 0)
-    return ((a == b) & either).sum(1) / np.maximum(1, either.sum(1))
+    """Share of equal hashes of subsets among those that either row has, 0 to 1; 1 if the hashes of all terms are equal.
+
+    Of the rates it is those around the sparsest of which either row has half of the subsets at least: the denser ones, or the
+    densest for texts of a few terms, hold so many terms that any difference shows, of sparser ones there are too few.
+    """
+    either, same = (a > 0) | (b > 0), a == b
+    shape = (len(a), len(RATES), REPEATS)
+    have, equal = either[:, 1:].reshape(shape).sum(2), (same & either)[:, 1:].reshape(shape).sum(2)
+    enough = 2 * have >= REPEATS
+    best = np.where(enough.any(1), len(RATES) - 1 - np.argmax(enough[:, ::-1], 1), 0)
+    near = np.abs(np.arange(len(RATES))[None, :] - best[:, None]) <= 1
+    share = (equal * near).sum(1) / np.maximum(1, (have * near).sum(1))
+    return np.where(either[:, 0] & same[:, 0], 1.0, share)
 
 
 def as_text(hashes: np.ndarray) -> list[str]:
@@ -147,9 +158,10 @@ def fingerprint(docs: DataFrame, lexicon: Lexicon, column: str = "fingerprint")
     held = docs.sparkSession.sparkContext.broadcast(lexicon)  # 2**20 bytes
     keep = [c for c in docs.columns if c.lower() != column.lower()]
     base = docs.select(*map(common.col, keep))
+    at = keep.index(common.named(keep, "text"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in b.column(keep.index("text")).to_pylist()]
+        texts = [t or "" for t in b.column(at).to_pylist()]
         out = [x for lo, hi in blocks(texts) for x in as_text(held.value.hashes(texts[lo:hi]))]
         return pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*keep, column])
 
@@ -179,7 +191,7 @@ def _units(docs: DataFrame, unit_chars: int = UNIT_CHARS, most: int = MAX_UNITS)
     that balances them only.
     """
     least = -(1 << 63)
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("place"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = docs.select(F.coalesce(common.as_long(docs, "doc_id"), F.lit(least)).alias("place"), common.as_long(docs, "doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     own = own.select("place", F.xxhash64("text").alias("tie"), "doc_id", "text")
     chars, rows = own.agg(F.sum(F.length("text")), F.count("*")).first()
     n = max(1, min(most, -(-(chars or 0) // unit_chars)))

@@ -45,10 +45,33 @@ def test_sketch_counts_documents(spark):
     assert n == 51 and least.tolist() == [sum(w in (t or "").split() for t in texts) for w in terms]
 
 
-def test_likeness():
-    a, b = np.array([[1, 2, 0, 4]]), np.array([[1, 3, 0, 0]])
-    assert fp.likeness(a, b).tolist() == [1 / 3] and fp.likeness(a, a).tolist() == [1.0]
-    assert fp.likeness(np.zeros((1, 4)), np.zeros((1, 4))).tolist() == [0.0]
+def hashes_of(*terms):
+    """Fingerprints of texts of these terms, all in the lexicon."""
+    everything = fp.Lexicon(np.ones(fp.SKETCH_ROWS * fp.BUCKETS, bool), np.ones(fp.SKETCH_ROWS * fp.BUCKETS, bool))
+    return everything.hashes([" ".join(t) for t in terms])
+
+
+@pytest.mark.parametrize("n", [30, 100, 400, 1500])
+def test_likeness_follows_the_share_of_terms(n):
+    rng = random.Random(n)
+    got = {}
+    for share in (0.0, 0.2, 0.5, 0.8, 1.0):
+        own = []
+        for k in range(60):
+            both = [f"b{k}x{rng.random()}" for _ in range(round(share * n))]
+            a, b = ([*both, *(f"{s}{k}x{rng.random()}" for _ in range(n - len(both)))] for s in "ab")
+            h = hashes_of(a, b)
+            own.append(fp.likeness(h[:1], h[1:])[0])
+        got[share] = np.mean(own)
+    jaccard = {s: s / (2 - s) for s in got}
+    assert got[0.0] < 0.01 and got[1.0] == 1 and all(abs(got[s] - jaccard[s]) < 0.2 for s in got)
+    assert got[0.2] < got[0.5] < got[0.8]
+
+
+def test_likeness_of_few_or_no_terms():
+    h = hashes_of(["a"], ["a"], ["b"], [])
+    assert fp.likeness(h[:1], h[1:2]).tolist() == [1.0] and fp.likeness(h[:1], h[2:3]).tolist() == [0.0]
+    assert fp.likeness(np.zeros((1, fp.HASHES)), np.zeros((1, fp.HASHES))).tolist() == [0.0]
 
 
 ROWS = [(7, prose(1)), (3, prose(2)), (3, prose(3)), (3, prose(3)), (None, prose(4)), (None, None), (None, prose(5)), (-9, ""), (1 << 62, prose(6, 3000)), (0, "?!")]
