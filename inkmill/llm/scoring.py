@@ -30,6 +30,8 @@ ORDER = 3
 ALPHA = 0.4
 #: Characters of a block on average; one longer text is a block's worth by itself.
 BLOCK_CHARS = 5_000_000
+#: Most tasks of a shuffle, however many blocks there are; a task takes its blocks one by one.
+MAX_TASKS = 1 << 14
 #: The n-gram of order 0.
 _EMPTY = np.uint64(0)
 _LAST = (1 << 63) - 1
@@ -103,7 +105,8 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_chars
     own = docs.select(common.as_long(docs, "doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows, row = common.numbered(own, F.coalesce("doc_id", F.lit(_LAST)), "scored-rows")
     n = max(1, -(-(own.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
-    dealt = rows.select(F.pmod(F.xxhash64(row), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block")
+    tasks = min(n, MAX_TASKS)
+    dealt = rows.select(F.pmod(F.xxhash64(row), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(tasks, "block")
 
     def explode(d: pa.Table) -> pa.Table:
         parts = [*zip(*exploded(*block_words(d["text"].to_pylist()), order), strict=True)]
@@ -123,8 +126,9 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block_chars
             total[full] = np.add.reduceat(logs, offsets[:-1][full])
         return pa.table({"doc_id": d["doc_id"], "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(total)})
 
-    grams = dealt.groupBy("block").applyInArrow(explode, "gram long, block int, n int").repartition(n, "gram")
-    # Rows of one n-gram are in one partition, where they are counted and joined without another shuffle.
+    grams = dealt.groupBy("block").applyInArrow(explode, "gram long, block int, n int").repartition(tasks, "gram")
+    # Rows of one n-gram are in one partition, where they are counted and joined without another shuffle.  A frequent one has a row for
+    # each block at most, where a block has a million or more, so no partition is much larger for it.
     shared = (F.min("block") != F.max("block")) | (F.max("n") > 0)
     counts = grams.groupBy("gram").agg(F.sum(F.abs("n").cast("long")).alias("total"), shared.alias("shared")).filter("shared").drop("shared")
     known = grams.join(counts.hint("shuffle_hash"), "gram").filter("total <> abs(n) or n > 0").select("block", "gram", "total")

@@ -51,7 +51,7 @@ def hashes_of(*terms):
     return everything.hashes([" ".join(t) for t in terms])
 
 
-@pytest.mark.parametrize("n", [30, 100, 400, 1500])
+@pytest.mark.parametrize("n", [30, 100, 400])
 def test_likeness_follows_the_share_of_terms(n):
     rng = random.Random(n)
     got = {}
