@@ -44,7 +44,9 @@ def _enter(fd: int, name: str, rel: str) -> int:
 
 @contextmanager
 def folder(root: str, rel: str = "", create: bool = False) -> Iterator[int]:
-    """A descriptor of the folder ``rel`` of ``root``; FileNotFoundError if it isn't there and is not to be made."""
+    """A descriptor of the folder ``rel`` of ``root``; FileNotFoundError if it isn't there and is not to be made, root and all."""
+    if create:
+        os.makedirs(root, exist_ok=True)
     fd = os.open(root, _FOLDER | os.O_CLOEXEC)
     try:
         for name in parts(rel) if rel else []:

@@ -47,3 +47,48 @@ def test_stream_decides_as_the_batch(spark, tmp_path):
     want = {r.rel: r.action for r in incremental.plan(listing, manifest, digests).collect()}
     got = {rel: action for (rel, _), (action, _) in run(spark, tmp_path, stateful.known(manifest, digests)).items()}
     assert got == want and len(set(want.values())) == 2
+
+
+def test_a_batch_that_is_run_again_changes_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from inkmill.plans.schemas import LISTING
+    from inkmill.sources import log
+    from inkmill.streaming import ingest
+    from tests.test_sources import sha
+
+    root = str(tmp_path / "lib")
+    listed = [[("a.pdf", 1, "A1"), ("b.pdf", 1, "B1")], [("a.pdf", 2, "A2"), ("c.txt", 1, "C1")]]
+    tried = []
+
+    def extract(rows):
+        tried.append(sorted(r.rel for r in rows.collect()))
+        own = F.concat(F.col("rel"), F.lit(" "), F.col("source_sha256"))
+        return rows.filter("ext = '.pdf'").select("rel", own.alias("text"), F.lit("pages").alias("unit"), F.lit(1).alias("count"), F.length(own).alias("chars"), F.lit("text").alias("quality"), F.lit(None).cast("string").alias("error"), "source_sha256")
+
+    def start():
+        stream = spark.readStream.schema(LISTING).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        ingest.ingest_to_log(stream, root, extract).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+
+    def state():
+        return sorted((r.manifest_pos, r.rel, r.quality, r.raw_sha256, r.source_sha256) for r in log.read(spark, root).collect())
+
+    spark.createDataFrame(listed[0], LISTING).coalesce(1).write.parquet(str(tmp_path / "in"))
+    start()
+    first = state()
+    assert first == [(0, "a.pdf", "text", sha("a.pdf A1"), "A1"), (1, "b.pdf", "text", sha("b.pdf B1"), "B1")]
+    spark.createDataFrame(listed[1], LISTING).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    real = log.append
+    with monkeypatch.context() as m:  # the driver is lost before the commit
+        m.setattr(log, "append", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            start()
+    assert state() == first
+    with monkeypatch.context() as m:  # and right after it, before the stream's own checkpoint
+        m.setattr(log, "append", lambda *a: real(*a) and (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            start()
+    second = state()
+    assert second == [(0, "a.pdf", "text", sha("a.pdf A2"), "A2"), (1, "b.pdf", "text", sha("b.pdf B1"), "B1"), (2, "c.txt", "unsupported", None, None)]
+    start()
+    assert state() == second and tried == [["a.pdf", "b.pdf"], ["a.pdf", "c.txt"], ["a.pdf", "c.txt"]] and log.state(spark, root).last == {"stream": 1}
