@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkmill.functions.batches import bound_batches
+
 #: White space as Unicode has it and the separators U+001C to U+001F.
 _EDGE = r"(?U)\A[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z"
 _SPACE = r"(?U)[\s\x1C-\x1F]+"
@@ -64,11 +66,13 @@ def squeeze(c: Column) -> Column:
 
 def chapter_text(c: Column) -> Column:
     """Text of one HTML chapter: tags go before references are decoded, so escaped brackets stay."""
+    bound_batches()
     return unescape(without_tags(without_scripts(c)))
 
 
 def chapter_texts(c: Column) -> Column:
     """``chapter_text`` of each element."""
+    bound_batches()
     return unescape_each(F.transform(c, lambda x: without_tags(without_scripts(x))))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkmill.functions.batches import bound_batches, release
 from inkmill.sources.shared import cut, drop  # noqa: F401
 
 
@@ -85,27 +85,12 @@ def remainder(doc_id: str | Column, n: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(n)
 
 
-#: Bytes of an Arrow batch; a longer row is a batch by itself.
-BATCH_BYTES = 8 << 20
-_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, in a session whose Arrow batches are bounded by BATCH_BYTES: rows are whole texts, and a batch is held by the JVM and by Python."""
-    conf = df.sparkSession.conf
-    if int(conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
-        conf.set(_BATCH, str(BATCH_BYTES))
+    """``df``, in a session whose Arrow batches are bounded."""
+    bound_batches(df.sparkSession)
     return df
 
 
-def release() -> None:
-    """Give freed memory back to the system: a worker lives on for other stages."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, rows: int = 1000) -> DataFrame:
     """``mapInArrow`` with ``fn`` over slices of at most ``rows`` rows of each batch; columns may have any names."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
