@@ -79,6 +79,7 @@ def repair(c: Column) -> Column:
 
 _STOP = np.array([[ord(a), ord(b)] for a, b in STOP_WORDS], np.int64)
 _STOP_PAIRS = np.sort(_STOP[:, 0] << 32 | _STOP[:, 1])
+_NONE = np.empty(0, np.int64)
 _STOP_CODES = np.sort(np.array([ord(x) for x in STOP_CHARS], np.int64))
 
 
@@ -86,6 +87,8 @@ def _pairs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of neighbouring Han characters without stop words: both characters in one number, count, first place."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     good = (codes >= ord(HAN[0])) & (codes <= ord(HAN[-1]))
+    if not good.any():
+        return _NONE, _NONE, _NONE
     good[good] = ~np.isin(codes[good], _STOP_CODES)
     at = np.flatnonzero(good[:-1] & good[1:])
     both = codes[at] << 32 | codes[at + 1]

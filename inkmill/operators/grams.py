@@ -11,35 +11,129 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkmill.functions.batches import bound_batches, release
 from inkmill.operators import search
 from inkmill.sources.shared import file_system
 
 BUCKETS = 64
 #: Files of a bucket and generation: pairs that most documents have are dealt to several.
 PARTS = 4
-TITLE, META, BODY = range(3)
+TITLE, META, BODY = range(FIELDS := 3)
+#: Characters that are sorted at once; a longer document is sorted by itself.
+BLOCK = 1 << 20
+
+
+def _varints(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of non-negative numbers, seven bits in each and the last below 128, and how many each has."""
+    size = sum((n >= 1 << 7 * k).astype(np.int64) for k in range(1, 5)) + 1
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=1))):
+        has = np.flatnonzero(size > k)
+        more = size[has] > k + 1
+        out[at[has] + k] = (n[has] >> 7 * k & 127) | more.astype(np.int64) << 7
+    return out, size
+
+
+def _numbers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ``_varints``, and where each one's bytes end."""
+    end = np.flatnonzero(data < 128) + 1
+    if not len(end):
+        return np.empty(0, np.int64), end
+    start = np.concatenate(([0], end[:-1]))
+    place = np.arange(len(data)) - np.repeat(start, end - start)
+    return np.add.reduceat((data.astype(np.int64) & 127) << 7 * place, start), end
+
+
+def _offsets(sizes: np.ndarray) -> pa.Buffer:
+    return pa.py_buffer(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+
+
+def _block(paths: pa.Array, texts: list[str]) -> pa.RecordBatch | None:
+    """Postings of documents, of which ``texts`` has the fields in turn: one sort of all their pairs of characters."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    length = np.fromiter(map(len, texts), np.int64, len(texts))
+    start = np.cumsum(length) - length
+    unit = np.repeat(np.arange(len(texts)), length)
+    at = np.flatnonzero(unit[:-1] == unit[1:])
+    if not len(at):
+        return None
+    there = np.zeros(0x110000, bool)
+    there[codes] = True
+    rank = np.cumsum(there, dtype=np.int32) - 1
+    kinds, own = int(rank[-1]) + 1, rank[codes].astype(np.uint64)
+    bits = int(at[-1]).bit_length()
+    group = (unit[at].astype(np.uint64) * kinds + own[at]) * kinds + own[at + 1]
+    if len(texts) * kinds * kinds << bits < 1 << 64:
+        both = np.sort(group << np.uint64(bits) | at.astype(np.uint64))
+        group, at = both >> np.uint64(bits), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    else:
+        order = np.argsort(group, kind="stable")
+        group, at = group[order], at[order]
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    heads = at[first]
+    place = at - start[unit[at]]
+    step = np.diff(place, prepend=0)
+    step[first] = place[first]
+    data, size = _varints(step)
+    pairs = codes[np.stack([heads, heads + 1], 1)]
+    wide = 1 + (pairs >= 0x80) + (pairs >= 0x800).astype(np.int64) + (pairs >= 0x10000)
+    names = pa.py_buffer(pairs.tobytes().decode("utf-32-le").encode())
+    n, of = len(first), unit[heads]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.StringArray.from_buffers(n, _offsets(wide.sum(1)), names), paths.take(pa.array(of // FIELDS)), pa.array((of % FIELDS).astype(np.int8)),
+            pa.Array.from_buffers(pa.binary(), n, [None, _offsets(np.add.reduceat(size, first)), pa.py_buffer(data)]),
+        ],
+        names=["pair", "path", "field", "at"],
+    )
 
 
 def _postings(corpus: DataFrame) -> DataFrame:
-    """(pair, path, field, at) of the fields of (path, title, meta, body) in lower case."""
+    """(pair, path, field, at) of the fields of (path, title, meta, body) in lower case; ``at`` has the steps from place to place as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, *fields in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for number, t in enumerate(fields):
-                    places: dict[str, list[int]] = {}
-                    for i in range(len(t or "") - 1):
-                        places.setdefault(t[i : i + 2], []).append(i)
-                    if places:
-                        n = len(places)
-                        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array([path] * n), pa.array([number] * n, pa.int8()), pa.array(list(places.values()), pa.list_(pa.int32()))], names=["pair", "path", "field", "at"])
-
+            texts = [t or "" for row in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True) for t in row]
+            ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))[FIELDS - 1 :: FIELDS]
+            low = 0
+            while low < b.num_rows:
+                done = ends[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
+                out = _block(b.column(0).slice(low, high - low), texts[low * FIELDS : high * FIELDS])
+                low = high
+                if out is not None:
+                    yield out
+        release()
+
+    bound_batches(corpus.sparkSession)
     low = corpus.select("path", F.lower("title"), F.lower(search.meta()), F.lower("body"))
-    return low.mapInArrow(run, "pair string, path string, field byte, at array<int>")
+    return low.mapInArrow(run, "pair string, path string, field byte, at binary")
+
+
+def _places(held: DataFrame) -> DataFrame:
+    """Postings with ``at`` as an array of places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cells = b.column(3).to_pylist()
+            steps, end = _numbers(np.frombuffer(b"".join(cells), np.uint8))
+            rows = np.cumsum(np.fromiter(map(len, cells), np.int64, len(cells)))
+            stop = np.searchsorted(end, rows, "right")
+            sizes = np.diff(stop, prepend=0)
+            total = np.concatenate(([0], np.cumsum(steps)))
+            at = total[1:] - np.repeat(total[stop - sizes], sizes)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], stop)).astype(np.int32)), pa.array(at.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], lists], names=["pair", "path", "field", "at"])
+        release()
+
+    bound_batches(held.sparkSession)
+    return held.mapInArrow(run, "pair string, path string, field byte, at array<int>")
 
 
 def _bucket(pair: Column) -> Column:
@@ -73,11 +167,11 @@ def add(corpus: DataFrame, root: str, removed: DataFrame | None = None) -> int:
     return number
 
 
-_POSTING = "pair string, path string, field byte, at array<int>, bucket int"
+_POSTING = "pair string, path string, field byte, at binary, bucket int"
 
 
-def postings(spark: SparkSession, root: str, pairs: list[str]) -> DataFrame:
-    """(pair, path, field, at) of the given pairs, of documents as they were indexed last."""
+def _held(spark: SparkSession, root: str, pairs: list[str]) -> DataFrame:
+    """Postings of the given pairs as they are stored, of documents as they were indexed last."""
     wanted = [F.lit(p) for p in pairs]
     buckets = [r[0] for r in spark.createDataFrame([(p,) for p in pairs], "pair string").select(_bucket(F.col("pair"))).distinct().collect()]
     rows, paths = None, None
@@ -91,6 +185,11 @@ def postings(spark: SparkSession, root: str, pairs: list[str]) -> DataFrame:
     return rows.join(last, ["path", "gen"]).select("pair", "path", "field", "at")
 
 
+def postings(spark: SparkSession, root: str, pairs: list[str]) -> DataFrame:
+    """(pair, path, field, at) of the given pairs, of documents as they were indexed last."""
+    return _places(_held(spark, root, pairs))
+
+
 def _count(starts: Column, length: int) -> Column:
     """How many of the ascending places don't overlap the one counted before."""
     zero = F.struct(F.lit(0).alias("n"), F.lit(-length).alias("last"))
@@ -108,10 +207,10 @@ def counts(spark: SparkSession, root: str, words: list[str]) -> DataFrame:
     Only documents that have all pairs of a keyword in a field are looked at.
     """
     pairs = {i: list(dict.fromkeys(w[j : j + 2] for j in range(len(w) - 1))) for i, w in enumerate(words)}
-    held = postings(spark, root, sorted({p for own in pairs.values() for p in own}))
+    held = _held(spark, root, sorted({p for own in pairs.values() for p in own}))
     out = None
     for i, w in enumerate(words):
-        own = held.filter(F.col("pair").isin(*map(F.lit, pairs[i]))).groupBy("path", "field").agg(F.map_from_entries(F.collect_list(F.struct("pair", "at"))).alias("places"))
+        own = _places(held.filter(F.col("pair").isin(*map(F.lit, pairs[i])))).groupBy("path", "field").agg(F.map_from_entries(F.collect_list(F.struct("pair", "at"))).alias("places"))
         own = own.filter(F.size("places") == len(pairs[i]))
         starts = F.element_at("places", w[:2])
         for j in range(1, len(w) - 1):
