@@ -119,7 +119,8 @@ def merge(planned: DataFrame, manifest: DataFrame, extracted: DataFrame) -> Data
     extracted; an error there makes the record failed, and it keeps its
     old archive path but no fingerprints.  New records follow the old ones in order of path.
     """
-    e = extracted.select("rel", F.struct(*[c for c in extracted.columns if c != "rel"]).alias("new"))
+    digest = text.text_sha256(F.col("text")).alias("sha256")  # before the join, so that no text is shuffled
+    e = extracted.select("rel", F.struct(*[c for c in extracted.columns if c not in ("rel", "text")], digest).alias("new"))
     p = planned.join(e, "rel", "left")
     o = lambda c: F.col(f"old.{c}")
     n = lambda c: F.col(f"new.{c}")
@@ -138,7 +139,7 @@ def merge(planned: DataFrame, manifest: DataFrame, extracted: DataFrame) -> Data
         "count": F.when(good, n("count")).otherwise(o("count")),
         "chars": F.when(good, n("chars")).otherwise(o("chars")),
         "raw": F.when(good, names.raw_path(F.col("rel"))).when(ppt & F.col("refresh_raw"), None).otherwise(o("raw")),
-        "raw_sha256": F.when(good, text.text_sha256(n("text"))),
+        "raw_sha256": F.when(good, n("sha256")),
         "source_sha256": F.when(good | twin, F.col("source_sha256")),
         "note": F.when(ppt, PPT_NOTE).when(twin, DUPLICATE_NOTE).when(F.col("ext") == ".mobi", MOBI_NOTE).otherwise(o("note")),
         "error": F.when(failed, n("error")).when(~good, o("error")),

@@ -248,7 +248,8 @@ def run_counts(s, d):
 
 
 def manifest_log(s, d):
-    return changes.fold(fx.prior(s, d), fx.change_log(s, d))
+    before = cut(fx.prior(s, d), "prior")
+    return changes.fold(before, fx.change_log(s, d, before))
 
 
 def garble_applied(s, d):
