@@ -27,7 +27,7 @@ STOP_WORDS = (
 
 
 def han(c: Column) -> Column:
-    return F.regexp_replace(c, f"[^{HAN}]", "")
+    return F.regexp_replace(c, f"[^{HAN}]+", "")
 
 
 def han_count(c: Column) -> Column:

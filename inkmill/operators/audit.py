@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions import han, names, rules, text
 from inkmill.operators import counters, incremental, library
+from inkmill.sources.shared import cut
 
 SHORT_BODY, SHORT_BOOK_PAGES, SHORT_BOOK_CHARS = 30, 20, 50
 LEAST_BYTES = 10
@@ -161,7 +162,7 @@ def swapped(manifest: DataFrame, archive: DataFrame, repaired: DataFrame) -> tup
     holders = manifest.filter("raw <> ''").groupBy("raw").agg(F.count("*").alias("_holders"))
     now = manifest.select("manifest_pos", F.col("raw_sha256").alias("_known")).join(repaired.withColumn("_new", F.col("text")).drop("text"), "manifest_pos")
     now = now.join(archive.select("raw", F.col("text").alias("_old")), "raw").join(holders, "raw")
-    good = now.filter((text.text_sha256(F.col("_old")) == F.col("_known")) & (F.col("_holders") == 1))
+    good = cut(now.filter((text.text_sha256(F.col("_old")) == F.col("_known")) & (F.col("_holders") == 1)), "swapped")  # read four times
     records = manifest.join(good.select("manifest_pos"), "manifest_pos", "left_anti").select(*manifest.columns).unionByName(good.select(*manifest.columns))
     texts = archive.join(good.select("raw"), "raw", "left_anti").select("raw", "text").unionByName(good.select("raw", F.col("_new").alias("text")))
     return records, texts

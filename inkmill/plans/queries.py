@@ -254,8 +254,9 @@ def manifest_log(s, d):
 
 def garble_applied(s, d):
     """Records and texts after a repair is committed, though some texts were changed after they had been read for it."""
-    fixed = audit.repaired(fx.fresh(s, d, True), fx.fresh_archive(s, d, True))
-    records, texts = audit.swapped(fx.fresh(s, d, True), fx.later_archive(s, d), fixed)
+    m = cut(fx.fresh(s, d, True), "fresh")
+    fixed = audit.repaired(m, fx.fresh_archive(s, d, True))
+    records, texts = audit.swapped(m, fx.later_archive(s, d), fixed)
     held = texts.select("raw", text.text_sha256(F.col("text")).alias("archive_sha256"))
     return records.join(held, "raw", "left").select("manifest_pos", "chars", "raw_sha256", "garble_fixed", "archive_sha256")
 

@@ -1,5 +1,6 @@
 import pytest
 
+from inkmill.operators import audit
 from inkmill.plans import fixtures
 from tests.compare import SF
 
@@ -15,3 +16,11 @@ def joined(plan):
 def test_no_text_is_shuffled_for_its_digest(spark, of):
     out = joined(of(spark, SF)._jdf.queryExecution().optimizedPlan())
     assert out and all(name != "text" and "text:" not in kind for name, kind in out)
+
+
+def test_a_swap_is_computed_once(spark):
+    m, archive = fixtures.fresh(spark, SF, True), fixtures.fresh_archive(spark, SF, True)
+    records, texts = audit.swapped(m, fixtures.later_archive(spark, SF), audit.repaired(m, archive))
+    for out, most in ((records, {"manifest_pos"}), (texts, {"raw", "text"})):
+        names = {n for n, _ in joined(out._jdf.queryExecution().optimizedPlan())}
+        assert most <= names and not names & {"_old", "_new", "_holders"}
