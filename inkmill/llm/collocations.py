@@ -3,8 +3,8 @@
 1. All words of a language are counted, then the pairs of frequent words, then the triples of frequent pairs.  What occurs fewer than ``least``
    times is in no phrase, so a suffix ends before it.  Frequent ones are known to the tasks by bitmaps of hash slots, whose size is fixed; slots that are
    shared let too much through, which the counts then take out.
-2. Each word starts a suffix: it and up to MAX_WORDS - 1 words after it, within its piece.  Equal suffixes of a block of texts are one row with a
-   count.  Rows are shuffled by language and first word.  Words with more than 1/HOT of all words are salted by their second word, such pairs by the suffix.
+2. Each word starts a suffix: it and up to MAX_WORDS - 1 words after it, within its piece.  Equal suffixes of a task are one row with a
+   count, as far as it holds them.  Rows are shuffled by language and first word.  Words with more than 1/HOT of all words are salted by their second word, such pairs by the suffix.
 3. A partition sorts its suffixes in descending order and keeps one stack of open prefixes.  A prefix is closed when a suffix comes
    that doesn't begin with it; then its count is known, and added to that of the prefix before.  Counts that salting has split are added up after.
 4. Candidates are joined to the counts of their parts at each cut, and to the phrases that contain them.
@@ -38,10 +38,12 @@ SLOTS = 1 << 26
 _CHUNK = 1 << 18
 #: Words and pairs with more than one in so many of all words are hot; there are fewer of each than that.
 HOT = 1024
-#: Bytes of texts whose equal suffixes are one row; a longer text is a block by itself.
+#: Bytes of texts that are hashed at once; a longer text is a block by itself.
 BLOCK = 4_000_000
 #: Distinct words or pairs that a task holds before it returns their counts.
 HELD = 1 << 20
+#: Bytes of distinct suffixes that a task holds, at most HELD of them, before it returns their counts.
+HELD_BYTES = 96_000_000
 _LANG_MIX, _NEXT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B185EBCA87)
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[32] = 1
@@ -244,13 +246,32 @@ def suffixes(w: Words, lang: bytes, frequent: list[Frequent], hot: list[Hot], wo
     return keys, mix(w.hashes[index] + salt).view(np.int64), split, counts
 
 
+def _together(held: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(held).group_by(["part", "suffix", "split"], use_threads=False).aggregate([("c", "sum")])
+    return found.select(["part", "suffix", "split", "c_sum"]).rename_columns(["part", "suffix", "split", "c"])
+
+
+def combined(blocks: Iterator[pa.Table], rows: int = HELD, size: int = HELD_BYTES) -> Iterator[pa.Table]:
+    """Rows (part, suffix, split, c) of several blocks, equal suffixes as one row, as many as a task holds."""
+    held: list[pa.Table] = []
+    for block in blocks:
+        held.append(block)
+        if sum(t.num_rows for t in held) > rows or sum(t.nbytes for t in held) > size:
+            held = [_together(held)]
+            if 2 * held[0].num_rows > rows or 2 * held[0].nbytes > size:
+                yield held.pop()
+    if held:
+        yield _together(held)
+
+
 def _suffixes(docs: DataFrame, frequent: list[Frequent], hot: list[Hot], words: int) -> DataFrame:
+    def block(lang: bytes, texts: list[bytes]) -> pa.Table:
+        keys, part, split, counts = suffixes(Words(lang, texts), lang, frequent, hot, words)
+        return pa.table({"part": pa.array(part), "suffix": pa.array(keys, pa.binary()), "split": pa.array(split), "c": pa.array(counts.astype(np.int64))})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, texts in _batches(batches):
-            keys, part, split, counts = suffixes(Words(lang, texts), lang, frequent, hot, words)
-            for lo in range(0, len(keys), 100_000):
-                cut = slice(lo, lo + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(keys[cut], pa.binary()), pa.array(split[cut]), pa.array(counts[cut].astype(np.int64))], names=["part", "suffix", "split", "c"])
+        for found in combined(block(*b) for b in _batches(batches)):
+            yield from found.to_batches(max_chunksize=100_000)
         common.release()
 
     return common.small_batches(docs).mapInArrow(run, "part long, suffix binary, split int, c long")

@@ -1,9 +1,11 @@
 """Phrases against a plain version: all n-grams in a dictionary."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from inkmill.llm import collocations
@@ -93,3 +95,33 @@ def test_products_beyond_64_bits(spark):
 def test_empty_table(spark):
     assert result(spark, [], least=1) == []
     assert result(spark, [(None, None), ("en", "")], least=1) == []
+
+
+def every_run():
+    return collocations.Frequent({c: b"\xff" * (collocations._CHUNK // 8) for c in range(collocations.SLOTS // collocations._CHUNK)})
+
+
+def test_equal_suffixes_of_a_task_are_one_row(spark):
+    """Two texts of more than a block, and languages in turn."""
+    rows = [(lang, "a b. c d e f. ") for _ in range(40) for lang in ("en", "de")] + [("en", "a b. " * (collocations.BLOCK // 4))] * 2
+    docs = spark.createDataFrame([(lang, bytearray(t.encode())) for lang, t in rows], "lang string, text binary").coalesce(1)
+    found = collocations._suffixes(docs, [every_run()] * 2, [{}, {}], 5).collect()
+    assert {bytes(r.suffix): r.c for r in found if r.suffix.startswith(b"de")} == {b"de\n" + s: 40 for s in (b"a b ", b"b ", b"c d e f ", b"d e f ", b"e f ", b"f ")}
+    assert len(found) == len({bytes(r.suffix) for r in found}) == 12
+    assert sum(r.c for r in found) == 80 * 6 + 2 * 2 * (collocations.BLOCK // 4)
+
+
+@pytest.mark.parametrize(("rows", "size"), [(1, 10**9), (5, 10**9), (10**6, 100), (10**6, 10**9)])
+def test_combined_suffixes_keep_their_counts(rows, size):
+    rng = random.Random(rows)
+    blocks = [[(rng.randrange(3), rng.randrange(4), rng.randrange(1, 9)) for _ in range(rng.randrange(6))] for _ in range(30)]
+    table = lambda block: pa.table({"part": pa.array([p for p, _, _ in block], pa.int64()), "suffix": pa.array([b"en\n%d " % s for _, s, _ in block], pa.binary()), "split": pa.array([0] * len(block), pa.int32()), "c": pa.array([c for *_, c in block], pa.int64())})
+    want = Counter()
+    for p, s, c in itertools.chain(*blocks):
+        want[p, b"en\n%d " % s] += c
+    got = Counter()
+    for found in collocations.combined((table(b) for b in blocks), rows, size):
+        assert found.schema.equals(table([]).schema)
+        for r in found.to_pylist():
+            got[r["part"], r["suffix"]] += r["c"]
+    assert got == want
