@@ -1,10 +1,12 @@
 """Phrases whose words stand together more often than their parts would by chance, mined with suffix-sigma.
 
-1. All words of a language are counted, then the pairs of frequent words, then the triples of frequent pairs.  What occurs fewer than ``least``
-   times is in no phrase, so a suffix ends before it.  Frequent ones are known to the tasks by bitmaps of hash slots, whose size is fixed; slots that are
-   shared let too much through, which the counts then take out.
-2. Each word starts a suffix: it and up to MAX_WORDS - 1 words after it, within its piece.  Equal suffixes of a task are one row with a
-   count, as far as it holds them.  Rows are shuffled by language and first word.  Words with more than 1/HOT of all words are salted by their second word, such pairs by the suffix.
+1. All words of a language are counted, then the pairs of frequent words, then the triples of frequent pairs.  A word has a hash of 64 bits that no
+   other word of the table has (that is looked up; if two share one, all is hashed anew with another seed), and a run is the hashes of its words, so these counts
+   are exact; runs are spelled once, from the table of words.  What occurs fewer than ``least`` times is in no phrase.  Frequent words and runs are
+   known to the tasks by bitmaps of hash slots, whose size is fixed; slots that are shared let too much through, which the counts then take out.
+2. Longer phrases are counted by suffixes: a word and up to MAX_WORDS - 1 words after it, within its piece and as far as its triples are frequent, if these are
+   more than COUNTED words.  Equal suffixes of a task are one row with a count, as far as it holds them.  Rows are shuffled by language and first word.
+   Words with more than 1/HOT of all words are salted by their second word, such pairs by the suffix.
 3. A partition sorts its suffixes in descending order and keeps one stack of open prefixes.  A prefix is closed when a suffix comes
    that doesn't begin with it; then its count is known, and added to that of the prefix before.  Counts that salting has split are added up after.
 4. Candidates are joined to the counts of their parts at each cut, and to the phrases that contain them.
@@ -14,6 +16,8 @@ Texts are handled as UTF-8 bytes: all separators are ASCII, and bytes are in the
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -31,7 +35,7 @@ TOP = 2000
 #: A candidate goes if a longer one has so many hundredths of its count.
 SHARE = 100
 UNKNOWN = "und"
-#: Words of the longest runs that are counted before suffixes are cut.
+#: Words of the longest runs that are counted by the hashes of their words; longer ones are counted by suffixes.
 COUNTED = 3
 #: Bits of a bitmap of frequent runs, and of a part of it.
 SLOTS = 1 << 26
@@ -39,12 +43,16 @@ _CHUNK = 1 << 18
 #: Words and pairs with more than one in so many of all words are hot; there are fewer of each than that.
 HOT = 1024
 #: Bytes of texts that are hashed at once; a longer text is a block by itself.
-BLOCK = 4_000_000
-#: Distinct words or pairs that a task holds before it returns their counts.
+BLOCK = 2_000_000
+#: Distinct words or runs that a task holds before it returns their counts.
 HELD = 1 << 20
-#: Bytes of distinct suffixes that a task holds, at most HELD of them, before it returns their counts.
+#: Bytes of distinct words or suffixes that a task holds, at most HELD of them, before it returns their counts.
 HELD_BYTES = 96_000_000
-_LANG_MIX, _NEXT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B185EBCA87)
+#: Bytes of a word that are hashed as a polynomial; of long words, those of two letters can be made to agree for every base.
+LONG = 64
+#: Columns of the hashes of a run's words; null beyond its last.
+KEYS = [f"h{i}" for i in range(1, COUNTED + 1)]
+_NEXT = np.uint64(0x9E3779B185EBCA87)
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[32] = 1
 _CLASS[[46, 44, 59, 58, 33, 63, 10, 11, 12, 13]] = 2  # . , ; : ! ? and line ends
@@ -56,9 +64,9 @@ def _shifted(x: np.ndarray, by: int) -> np.ndarray:
 
 
 class Words:
-    """The words of a block of texts of one language, in order."""
+    """The words of a block of texts of one language, in order; another ``seed`` gives other hashes."""
 
-    def __init__(self, lang: bytes, texts: list[bytes]) -> None:
+    def __init__(self, lang: bytes, texts: list[bytes], seed: int = 0) -> None:
         self.data = re.sub(rb"[ \t]+", b" ", b"\n".join(texts).lower()) + b"\n"
         codes = np.frombuffer(self.data, np.uint8)
         kind = _CLASS[codes]
@@ -67,10 +75,18 @@ class Words:
         step = np.diff(inside, append=0)
         self.starts, self.ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         ends_piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
-        salt = np.uint64(int.from_bytes(lang[:64], "little") % (1 << 61) + len(lang)) * _LANG_MIX
-        self.hashes = mix(span_hashes(codes, self.starts, self.ends) + salt)
+        digest = lambda x: np.uint64(int.from_bytes(hashlib.blake2b(x, digest_size=8, key=seed.to_bytes(8)).digest()))
+        hashes = span_hashes(codes + np.uint64(seed << 8) if seed else codes, self.starts, self.ends)
+        for i in np.flatnonzero(self.ends - self.starts > LONG).tolist():
+            hashes[i] = digest(self.data[self.starts[i] : self.ends[i]])
+        self.hashes = mix(hashes + digest(lang))
         self.goes_on = np.append(ends_piece[1:] == ends_piece[:-1], False)[: len(self.starts)]  # the next word is in the same piece
 
+    def texts(self) -> pa.Array:
+        codes = np.frombuffer(self.data, np.uint8)
+        offsets = np.append(0, np.cumsum(self.ends - self.starts)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(codes[_CLASS[codes] == 0])])
+
     def runs(self, k: int) -> np.ndarray:
         """Hash of each word and the k-1 after it; of use where they are in one piece."""
         out = self.hashes
@@ -149,37 +165,99 @@ def parts_of(hashes: np.ndarray, hot: Hot) -> np.ndarray:
     return out
 
 
-def _hashed(docs: DataFrame, frequent: list[Frequent]) -> DataFrame:
-    """(lang, h, c): counts of the runs of one word more than ``frequent`` tells of; of words, also with a null h the number of each language's."""
+def chained(runs: np.ndarray) -> np.ndarray:
+    """What ``Words.runs`` has for these runs, rows of the hashes of their words."""
+    out = runs[:, 0]
+    for i in range(1, runs.shape[1]):
+        out = mix(out * _NEXT + runs[:, i])
+    return out
 
-    k = len(frequent) + 1
+
+def distinct(runs: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of distinct rows, and the sums of their ``c``; rows that only their chained hash takes for equal stay apart, and may then be several places."""
+    order = np.argsort(chained(runs))
+    new = np.zeros(len(runs), bool)
+    new[:1] = True
+    for i in range(runs.shape[1]):
+        own = runs[:, i][order]
+        new[1:] |= own[1:] != own[:-1]
+    at = np.flatnonzero(new)
+    return order[at], np.add.reduceat(c[order], at) if len(at) else c
+
+
+def _words(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """(h, lang, word, c): hashes and counts of words; also, with a null h and word, the number of each language's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, int] = {}
+
+        def block(lang: bytes, texts: list[bytes]) -> pa.Table:
+            w = Words(lang, texts, seed)
+            total[lang.decode()] = total.get(lang.decode(), 0) + len(w.hashes)
+            found = w.texts().dictionary_encode()
+            at = found.indices.to_numpy()
+            h = np.zeros(len(found.dictionary), np.uint64)
+            h[at] = w.hashes
+            c = np.bincount(at, minlength=len(h)).astype(np.int64)
+            return pa.table({"h": pa.array(h.view(np.int64)), "lang": pa.repeat(lang.decode(), len(h)), "word": found.dictionary, "c": pa.array(c)})
+
+        for found in combined(block(*b) for b in _batches(batches)):
+            yield from found.to_batches(max_chunksize=100_000)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(total), pa.int64()), pa.array(list(total)), pa.nulls(len(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["h", "lang", "word", "c"])
+        common.release()
+
+    return common.small_batches(docs).mapInArrow(run, "h long, lang string, word binary, c long")
+
+
+def _runs(docs: DataFrame, frequent: list[Frequent], seed: int = 0) -> DataFrame:
+    """(h1, h2, ..., c): counts of the runs of one word more than ``frequent`` tells of, as the hashes of their words."""
+    k = len(frequent) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def together() -> tuple[np.ndarray, np.ndarray]:
-            h, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            return h, np.bincount(at, np.concatenate([x for _, x in held])).astype(np.int64)
+        def add(runs: np.ndarray, c: np.ndarray) -> None:
+            at, c = distinct(runs, c)
+            held.append((runs[at], c))
+
+        def together() -> None:
+            runs, c = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            add(runs, c)
 
-        def rows(h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(c)], names=["lang", "h", "c"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            runs, c = held.pop()
+            for lo in range(0, len(c), 100_000):
+                part = runs[lo : lo + 100_000].view(np.int64)
+                own = [pa.array(part[:, i].copy()) if i < k else pa.nulls(len(part), pa.int64()) for i in range(COUNTED)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(c[lo : lo + 100_000])], names=[*KEYS, "c"])
 
         for lang, texts in _batches(batches):
-            w = Words(lang, texts)
-            total[lang.decode()] = total.get(lang.decode(), 0) + len(w.hashes)
-            held.append(np.unique(w.runs(k)[w.open_runs(frequent)[-1]], return_counts=True))
-            if sum(len(h) for h, _ in held) > 2 * HELD:
-                held[:] = [together()]
-                if len(held[0][0]) > HELD:
-                    yield rows(*held.pop())
+            w = Words(lang, texts, seed)
+            at = np.flatnonzero(w.open_runs(frequent)[-1])
+            add(np.stack([w.hashes[at + i] for i in range(k)], axis=1), np.ones(len(at), np.int64))
+            if sum(len(c) for _, c in held) > 2 * HELD:
+                together()
+                if len(held[0][1]) > HELD:
+                    yield from rows()
         if held:
-            yield rows(*together())
-        if k == 1 and total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.nulls(len(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["lang", "h", "c"])
+            together()
+            yield from rows()
         common.release()
 
-    return common.small_batches(docs).mapInArrow(run, "lang string, h long, c long")
+    return common.small_batches(docs).mapInArrow(run, ", ".join(f"{x} long" for x in [*KEYS, "c"]))
+
+
+def _chained(counts: DataFrame, k: int) -> DataFrame:
+    """Rows of ``_runs`` of ``k`` words with the run's hash ``h`` beside those of its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = chained(np.stack([b.column(i).to_numpy().view(np.uint64) for i in range(k)], axis=1))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(h.view(np.int64))], names=[*KEYS, "c", "h"])
+
+    return common.small_batches(counts.select(*KEYS, "c")).mapInArrow(run, ", ".join(f"{x} long" for x in [*KEYS, "c", "h"]))
 
 
 def _hot(counts: DataFrame, words: int) -> Hot:
@@ -188,8 +266,8 @@ def _hot(counts: DataFrame, words: int) -> Hot:
     return {r["h"] % (1 << 64): r["n"] for r in hot}
 
 
-def _frequent(hashed: DataFrame, least: int, words: int) -> tuple[Frequent, Hot]:
-    """Runs that occur ``least`` times, and those that are hot among ``words`` words.  What comes to the driver is the bitmap and fewer than HOT hashes."""
+def _frequent(counts: DataFrame, words: int) -> tuple[Frequent, Hot]:
+    """Bitmap of the hashes of a table (h, c, ...), and those that are hot among ``words`` words.  What comes to the driver is the bitmap and fewer than HOT hashes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bits = None, np.zeros(_CHUNK, bool)
@@ -209,50 +287,46 @@ def _frequent(hashed: DataFrame, least: int, words: int) -> tuple[Frequent, Hot]
         if now is not None:
             yield row()
 
-    counts = common.cut(hashed.filter("h is not null").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least), "frequent")
     slot = F.col("h").bitwiseAND(F.lit(SLOTS - 1))
     dealt = counts.select(F.floor(slot / _CHUNK).cast("int").alias("chunk"), (slot % _CHUNK).cast("int").alias("slot"))
     bits = common.small_batches(dealt.repartition("chunk").sortWithinPartitions("chunk")).mapInArrow(pack, "chunk int, bits binary")
     chunks = {r["chunk"]: bytes(r["bits"]) for r in bits.toLocalIterator()}
-    hot = _hot(counts, words)
-    common.drop(counts)
-    return Frequent(chunks), hot
+    return Frequent(chunks), _hot(counts, words)
 
 
-def suffixes(w: Words, lang: bytes, frequent: list[Frequent], hot: list[Hot], words: int = MAX_WORDS) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct suffixes of a block, each word followed by a blank; the part that each goes to; of how many words, at most, its prefixes are split over parts; and counts."""
+def suffixes(w: Words, lang: bytes, frequent: list[Frequent], hot: list[Hot], words: int = MAX_WORDS, above: int = 0) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct suffixes of a block that have more than ``above`` words, each followed by a blank; the part that each goes to; of how many words, at most, its prefixes are split over parts; and counts."""
     n = len(w.hashes)
     runs = w.open_runs(frequent)[: len(frequent)]
-    often, longest = runs[0], len(runs)
-    last, whole, alive = np.arange(n), w.hashes.copy(), often.copy()
+    longest = len(runs)
+    last, alive = np.arange(n), runs[0].copy()
     for k in range(1, words):
         # the suffix goes on if its last words, as many as were counted, are a frequent run
         alive = alive & (runs[k] if k < longest else _shifted(runs[-1], k - longest + 1))
-        at = np.flatnonzero(alive)
-        if not len(at):
-            break
-        whole[at] = mix(whole[at] * _NEXT + w.hashes[at + k])
-        last[at] = at + k
-    index = np.flatnonzero(often)
-    _, first, counts = np.unique(whole[index], return_index=True, return_counts=True)
-    index = index[first]
-    second = np.where(last[index] > index, np.append(w.hashes[1:], np.uint64(0))[index], np.uint64(0))
+        last[alive] += 1
+    index = np.flatnonzero(runs[0] & (last - np.arange(n) >= above))
+    size = last[index] - index + 1
+    own = np.stack([np.where(size > k, w.hashes[np.minimum(index + k, n - 1)], np.uint64(0)) for k in range(words)] + [size.astype(np.uint64)], axis=1)
+    first, counts = distinct(own, np.ones(len(index), np.int64))
+    index, size, own = index[first], size[first], own[first]
+    second = own[:, 1] if words > 1 else np.zeros(len(index), np.uint64)
     by_word = parts_of(w.hashes[index], hot[0])
     # a hot pair's first word is hot too, so all rows of that word say that its count is split
-    by_pair = np.where((by_word > 1) & (last[index] > index), parts_of(w.runs(2)[index], hot[1]), np.uint64(1))
-    salt = mix(second + np.uint64(1)) % by_word + mix(whole[index] + np.uint64(1)) % by_pair
+    by_pair = np.where((by_word > 1) & (size > 1), parts_of(w.runs(2)[index], hot[1]), np.uint64(1))
+    salt = mix(second + np.uint64(1)) % by_word + mix(chained(own) + np.uint64(1)) % by_pair
     split = np.where(by_pair > 1, words, np.where(by_word > 1, 1, 0)).astype(np.int32)
     keys = [lang + b"\n" + w.data[a:b] + b" " for a, b in zip(w.starts[index].tolist(), w.ends[last[index]].tolist())]
     return keys, mix(w.hashes[index] + salt).view(np.int64), split, counts
 
 
 def _together(held: list[pa.Table]) -> pa.Table:
-    found = pa.concat_tables(held).group_by(["part", "suffix", "split"], use_threads=False).aggregate([("c", "sum")])
-    return found.select(["part", "suffix", "split", "c_sum"]).rename_columns(["part", "suffix", "split", "c"])
+    names = held[0].column_names
+    found = pa.concat_tables(held).group_by([x for x in names if x != "c"], use_threads=False).aggregate([("c", "sum")])
+    return found.rename_columns([x.removesuffix("_sum") for x in found.column_names]).select(names)
 
 
 def combined(blocks: Iterator[pa.Table], rows: int = HELD, size: int = HELD_BYTES) -> Iterator[pa.Table]:
-    """Rows (part, suffix, split, c) of several blocks, equal suffixes as one row, as many as a task holds."""
+    """Rows (..., c) of several blocks, equal ones as one row with the sum of ``c``, as many as a task holds."""
     held: list[pa.Table] = []
     for block in blocks:
         held.append(block)
@@ -264,9 +338,9 @@ def combined(blocks: Iterator[pa.Table], rows: int = HELD, size: int = HELD_BYTE
         yield _together(held)
 
 
-def _suffixes(docs: DataFrame, frequent: list[Frequent], hot: list[Hot], words: int) -> DataFrame:
+def _suffixes(docs: DataFrame, frequent: list[Frequent], hot: list[Hot], words: int, above: int = 0, seed: int = 0) -> DataFrame:
     def block(lang: bytes, texts: list[bytes]) -> pa.Table:
-        keys, part, split, counts = suffixes(Words(lang, texts), lang, frequent, hot, words)
+        keys, part, split, counts = suffixes(Words(lang, texts, seed), lang, frequent, hot, words, above)
         return pa.table({"part": pa.array(part), "suffix": pa.array(keys, pa.binary()), "split": pa.array(split), "c": pa.array(counts.astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,22 +400,55 @@ def _stacked(suffix_rows: DataFrame, least: int) -> DataFrame:
     return common.small_batches(suffix_rows).mapInArrow(run, "lang binary, phrase binary, f long")
 
 
+def _spelled(runs: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, phrase, size, f) of the runs (h1, h2, ..., c), from the table ``known`` of words (h, lang, word); and a table that this reads."""
+    each = runs.select(*KEYS, "c", F.posexplode(F.array_compact(F.array(*KEYS))).alias("at", "h"))
+    uses = each.groupBy("h").agg(F.count("*").alias("uses"))
+    spelling = common.cut(uses.join(known.select("h", "lang", "word"), "h"), "spelling")
+    own = F.sort_array(F.collect_list(F.struct("at", "lang", F.col("word").cast("string").alias("word"))))
+    met = common.join_counted(each, spelling, ["h"], "uses").groupBy(*KEYS, "c").agg(own.alias("own"))
+    return met.select(F.col("own")[0]["lang"].alias("lang"), F.array_join(F.col("own.word"), " ").alias("phrase"), F.size("own").alias("size"), F.col("c").alias("f")), spelling
+
+
+def _counted(docs: DataFrame) -> tuple[DataFrame, int]:
+    """A table of the rows of ``_words`` added up, and a seed with which no two words of it have one hash."""
+    for seed in itertools.count():
+        counted = common.cut(_words(docs, seed).groupBy("h", "lang", "word").agg(F.sum("c").alias("c")), "word-counts")
+        if not counted.filter("h is not null").groupBy("h").count().filter("count > 1").limit(1).count():
+            return counted, seed
+        common.drop(counted)
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, n) of each language, and (lang, phrase, size, f) of all phrases of 1 to ``words`` words that occur ``least`` times, as tables."""
     held = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    first = common.cut(_hashed(held, []), "word-counts")
-    totals = common.cut(first.filter("lang is not null").groupBy("lang").agg(F.sum("c").alias("n")), "totals")
+    counted, seed = _counted(held)
+    totals = common.cut(counted.filter("h is null").select("lang", F.col("c").alias("n")), "totals")
+    known = common.cut(counted.filter("h is not null").filter(F.col("c") >= least), "words")
+    common.drop(counted)
     n = totals.agg(F.sum("n")).first()[0] or 0
-    frequent, hot = (list(x) for x in zip(_frequent(first, least, n)))
-    common.drop(first)
-    for _ in range(1, min(COUNTED, words)):
-        more, hotter = _frequent(_hashed(held, frequent), least, n)
+    frequent, hot = (list(x) for x in zip(_frequent(known, n)))
+    phrases = known.select("lang", F.col("word").cast("string").alias("phrase"), F.lit(1).alias("size"), F.col("c").alias("f"))
+    used = [known]
+    for k in range(2, min(COUNTED, words) + 1):
+        counts = _runs(held, frequent, seed).groupBy(*KEYS).agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
+        runs = common.cut(_chained(counts, k), "frequent")
+        more, hotter = _frequent(runs, n)
         frequent.append(more)
         hot.append(hotter)
-    rows = _suffixes(held, frequent, [*hot, {}], words).repartition("part").select("suffix", "split", "c").sortWithinPartitions(F.desc("suffix"))
-    found = _stacked(rows, least).select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "f")
-    counts = found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    return totals, common.cut(counts.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "f"), "phrases")
+        spelled, spelling = _spelled(runs, known)
+        phrases = phrases.union(spelled)
+        used += [runs, spelling]
+    if words > COUNTED:
+        rows = _suffixes(held, frequent, hot, words, COUNTED, seed).repartition("part").select("suffix", "split", "c").sortWithinPartitions(F.desc("suffix"))
+        found = _stacked(rows, least).select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), F.size(F.split(F.col("phrase").cast("string"), " ")).alias("size"), "f")
+        # shorter prefixes have been counted above, from all words and not from these suffixes
+        longer = found.filter(F.col("size") > COUNTED).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+        phrases = phrases.union(longer)
+    out = common.cut(phrases, "phrases")
+    for table in used:
+        common.drop(table)
+    return totals, out
 
 
 def _exact(c: str | Column) -> Column:

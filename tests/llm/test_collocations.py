@@ -125,3 +125,35 @@ def test_combined_suffixes_keep_their_counts(rows, size):
         for r in found.to_pylist():
             got[r["part"], r["suffix"]] += r["c"]
     assert got == want
+
+
+def test_suffixes_are_only_cut_for_longer_phrases(spark, monkeypatch):
+    """Words, pairs and triples are spelled from the table of words: no task returns them, however many tasks have them."""
+    made, real = [], collocations._suffixes
+    monkeypatch.setattr(collocations, "_suffixes", lambda *args, **more: made.append(real(*args, **more)) or made[-1])
+    rows = [("en", f"a{i} b{i} c{i}. " * 3 + "l m n o p. ") for i in range(30)] * 8
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(8)
+    _, phrases = collocations.phrase_counts(docs, least=20)
+    assert phrases.count() == 30 * 6 + 15 and {r.f for r in phrases.collect()} == {24, 240}
+    assert {bytes(r.suffix) for r in made[0].collect()} == {b"en\nl m n o p ", b"en\nm n o p "}
+
+
+def test_long_words_of_one_polynomial_hash(spark):
+    """Thue-Morse words and their complements agree modulo 2**64 for every base."""
+    bits = "".join(str(i.bit_count() % 2) for i in range(4096))
+    one, other = bits.translate({48: "a", 49: "b"}), bits.translate({48: "b", 49: "a"})
+    rows = [("en", f"{one} x. {other} y. {one} x. ")] * 30
+    assert result(spark, rows, least=20) == plain(rows, 20)
+
+
+def test_words_that_share_a_hash_are_hashed_anew(spark, monkeypatch):
+    seeds, real = [], collocations._words
+
+    def words(docs, seed=0):
+        seeds.append(seed)
+        found = real(docs, seed)
+        return found if seed else found.selectExpr("if(h is null, null, 7) as h", "lang", "word", "c")
+
+    monkeypatch.setattr(collocations, "_words", words)
+    rows = [("en", "one two three. ")] * 30 + [("de", "one two. ")] * 25
+    assert result(spark, rows, least=20) == plain(rows, 20) and seeds == [0, 1]
